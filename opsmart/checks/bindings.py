@@ -1,5 +1,8 @@
 """The supplied tables seen as the engine's own tables.
 
+The layers are stored as they are in production: silver is written once per session and data
+directory, the marts read the stored silver, and the serving queries read the stored gold.
+
 Orders play tickets, line items reservations, customers users, parts items and rooms, and events
 the daily exports. Every row of a source table becomes (at least) one row here; missing and dirty
 values are put in by arithmetic on the keys, since the supplied tables have none. The same
@@ -8,6 +11,7 @@ definitions exist as SQL in ``prelude``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +24,8 @@ from opsmart.functions import facility, people, text
 from opsmart.functions import times as when_
 from opsmart.operators.latest import latest_per_key
 from opsmart.plans import dims, silver
+from opsmart.sources import lake
+from opsmart.sources.landing import clean_names
 
 RUN_STAMP = "2024-02-01 00:00:00"
 SNAPSHOT_DAY = "2024-01-31"
@@ -53,6 +59,10 @@ def _text_ts(ts: Column) -> Column:
     return F.date_format(ts, when_.TIMESTAMP_FORMAT)
 
 
+# (application, data directory, table) -> folder it was stored in by this process.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 class Tables:
     """All bindings of one data directory."""
 
@@ -69,6 +79,15 @@ class Tables:
         """A fresh shared folder."""
         return session.shared_dir(self.spark, label)
 
+    def stored(self, table: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table of a stored layer; the first use writes it."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, table)
+        if key not in _STORED:
+            path = self.scratch(table)
+            lake.replace_snapshot(build(), path)
+            _STORED[key] = path
+        return lake.read_table(self.spark, _STORED[key])
+
     @cached_property
     def codes(self) -> dict[str, DataFrame]:
         return dims.all_code_tables(self.spark)
@@ -103,8 +122,13 @@ class Tables:
             "deleted": (k % 40 == 0).cast("int"),
         }
 
-    @cached_property
+    @property
     def tickets(self) -> DataFrame:
+        """Stored silver tickets."""
+        return self.stored("silver_tickets", lambda: self.typed_tickets)
+
+    @cached_property
+    def typed_tickets(self) -> DataFrame:
         """Silver tickets."""
         k, when, code = F.col("o_orderkey"), self._ticket_times(), self._ticket_codes()
         columns = {
@@ -189,8 +213,13 @@ class Tables:
             .otherwise(F.concat(name, F.lit(".customer"), key, F.lit("@x.y")))
         )
 
-    @cached_property
+    @property
     def users(self) -> DataFrame:
+        """Stored silver users."""
+        return self.stored("silver_users", lambda: self.typed_users)
+
+    @cached_property
+    def typed_users(self) -> DataFrame:
         """Silver users, the columns the marts use."""
         login = text.clean_str(self._login())
         return self.source("customer").select(
@@ -241,8 +270,13 @@ class Tables:
             .otherwise(F.concat(F.lit("(S"), size, F.lit(")")))
         )
 
-    @cached_property
+    @property
     def items(self) -> DataFrame:
+        """Stored silver items."""
+        return self.stored("silver_items", lambda: self.typed_items)
+
+    @cached_property
+    def typed_items(self) -> DataFrame:
         """Silver items, the columns the marts use."""
         return self.source("part").select(
             F.col("p_partkey").alias("reservation_item_id"),
@@ -320,8 +354,13 @@ class Tables:
         rows = self.source("lineitem").select(*[c.alias(n) for n, c in columns.items()])
         return conform(rows, silver_schema("reservations"))
 
-    @cached_property
+    @property
     def reservations(self) -> DataFrame:
+        """Stored silver reservations."""
+        return self.stored("silver_reservations", lambda: self.typed_reservations)
+
+    @cached_property
+    def typed_reservations(self) -> DataFrame:
         """Silver reservations: the newest row per id."""
         return latest_per_key(
             self.reservation_versions,
@@ -390,8 +429,6 @@ class Tables:
     @cached_property
     def bronze_rooms(self) -> DataFrame:
         """The sheet under its cleaned column names, with lineage."""
-        from opsmart.sources.landing import clean_names
-
         return self.room_sheet.toDF(*clean_names(RAW_ROOM_HEADERS)).withColumns(
             {
                 "_source_file": F.lit("part"),
@@ -402,8 +439,13 @@ class Tables:
             }
         )
 
-    @cached_property
+    @property
     def rooms(self) -> DataFrame:
+        """Stored silver rooms."""
+        return self.stored("silver_rooms", lambda: self.typed_rooms)
+
+    @cached_property
+    def typed_rooms(self) -> DataFrame:
         """Silver rooms."""
         return silver.rooms(self.bronze_rooms, self.run_ts)
 

@@ -205,7 +205,7 @@ def _(t):
 @check("sf_14_over_capacity", "SELECT employee_count > total_capacity AS over, count(*) AS rooms FROM rm GROUP BY 1")
 def _(t):
     over = numbers.exceeds(F.col("employee_count"), F.col("total_capacity"))
-    return counted(t.rooms, over.alias("over"), name="rooms")
+    return counted(t.typed_rooms, over.alias("over"), name="rooms")
 
 
 @check("sf_15_person_name", "SELECT c_custkey AS user_id, first_name, last_name, full_name FROM us_named")
@@ -222,27 +222,27 @@ def _(t):
 
 @check("sf_16_floor", "SELECT floor, count(*) AS rooms FROM rm GROUP BY floor")
 def _(t):
-    return counted(t.rooms, "floor", name="rooms")
+    return counted(t.typed_rooms, "floor", name="rooms")
 
 
 @check("sf_17_room", "SELECT room, count(*) AS rooms FROM rm GROUP BY room")
 def _(t):
-    return counted(t.rooms, "room", name="rooms")
+    return counted(t.typed_rooms, "room", name="rooms")
 
 
 @check("sf_18_organization_type", "SELECT organization_type, count(*) AS rooms FROM rm GROUP BY 1")
 def _(t):
-    return counted(t.rooms, "organization_type", name="rooms")
+    return counted(t.typed_rooms, "organization_type", name="rooms")
 
 
 @check("sf_19_space_type", "SELECT space_type, occupancy_status, count(*) AS rooms FROM rm GROUP BY 1, 2")
 def _(t):
-    return counted(t.rooms, "space_type", "occupancy_status", name="rooms")
+    return counted(t.typed_rooms, "space_type", "occupancy_status", name="rooms")
 
 
 @check("sf_20_item_name", "SELECT reservation_item_id, reservation_item_name FROM it")
 def _(t):
-    return t.items
+    return t.typed_items
 
 
 @check("sf_21_is_one", """SELECT reservation_item_id, is_active, is_deleted, is_recursive FROM its""")
@@ -257,7 +257,7 @@ def _(t):
 def _(t):
     parts = [F.col("site"), F.col("floor"), F.col("room")]
     return counted(
-        t.rooms,
+        t.typed_rooms,
         text.natural_key(*parts).alias("safe_key"),
         text.natural_key(*parts, null_marker=None).alias("joined_key"),
         name="rows",

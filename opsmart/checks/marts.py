@@ -26,21 +26,24 @@ def unstamped(df: DataFrame) -> DataFrame:
 
 
 def room_mart(t: Tables) -> DataFrame:
-    return gs.room_current(t.rooms, t.run_ts)
+    """The stored room mart."""
+    return gold(t, jobs.ROOM_MART)
 
 
 def gold(t: Tables, table: str) -> DataFrame:
-    """One gold table over the bindings, by its serving name."""
-    inputs = {
-        "space": lambda: {"space_repartition": t.rooms, jobs.ROOM_MART: room_mart(t)},
-        "reservations": lambda: {
-            "reservations": t.reservations,
-            "users": t.users,
-            "reserveditems": t.items,
-        },
-        "tickets": lambda: {"tickets": t.tickets, "users": t.users, **t.codes},
-    }
-    return jobs.BUILDERS[table](inputs[serving_tables()[table]](), t.run_ts)
+    """One stored gold table, by its serving name."""
+    return t.stored(f"gold_{table}", lambda: jobs.BUILDERS[table](_inputs(t, table), t.run_ts))
+
+
+def _inputs(t: Tables, table: str) -> dict[str, DataFrame]:
+    domain = serving_tables()[table]
+    if domain == "tickets":
+        return {"tickets": t.tickets, "users": t.users, **t.codes}
+    if domain == "reservations":
+        return {"reservations": t.reservations, "users": t.users, "reserveditems": t.items}
+    if table == jobs.ROOM_MART:
+        return {"space_repartition": t.rooms}
+    return {jobs.ROOM_MART: room_mart(t)}
 
 
 # --- silver ---
@@ -71,7 +74,7 @@ def _(t):
 
 @check("sv_rooms", "SELECT * EXCLUDE (_ingest_ts, _silver_ts) FROM rm")
 def _(t):
-    return unstamped(t.rooms)
+    return unstamped(silver.rooms(t.bronze_rooms, t.run_ts))
 
 
 @check("sv_dims", """SELECT 'status' AS dim, CAST(status_code AS BIGINT) AS code, status AS label, count(*) AS tickets FROM te GROUP BY 2, 3
@@ -98,7 +101,7 @@ def dimension_usage(tickets: DataFrame, codes: dict[str, DataFrame]) -> DataFram
 # --- space ---
 @check("k_s01_room_current", "SELECT * FROM rc")
 def _(t):
-    return unstamped(room_mart(t))
+    return unstamped(gs.room_current(t.rooms, t.run_ts))
 
 
 @check("k_s02_global", "SELECT * FROM s_global")

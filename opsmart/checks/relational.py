@@ -192,7 +192,7 @@ def _(t):
 # --- window ---
 @check("w_01_latest", "SELECT * FROM rs")
 def _(t):
-    return t.reservations
+    return t.typed_reservations
 
 
 # --- sorts and limits ---

@@ -212,7 +212,7 @@ def _(t):
 def _(t):
     path = t.scratch("silver")
     invalid = F.count_if(F.col("is_invalid_duration"))
-    out, audit = observed(t.reservations, "audit", invalid=invalid)
+    out, audit = observed(t.typed_reservations, "audit", invalid=invalid)
     lake.replace_snapshot(out, path)
     back = lake.read_table(t.spark, path).agg(F.count(F.lit(1)).alias("rows_read_back"))
     return back.select(
@@ -243,11 +243,11 @@ def _store_silver(t: Tables, *names: str) -> str:
     """Silver tables of the bindings, stored; returns the silver root."""
     root = t.scratch("silver")
     frames = {
-        "space_repartition": lambda: t.rooms,
-        "reservations": lambda: t.reservations,
-        "reserveditems": lambda: t.items,
-        "users": lambda: t.users,
-        "tickets": lambda: t.tickets,
+        "space_repartition": lambda: t.typed_rooms,
+        "reservations": lambda: t.typed_reservations,
+        "reserveditems": lambda: t.typed_items,
+        "users": lambda: t.typed_users,
+        "tickets": lambda: t.typed_tickets,
     }
     for name in names:
         lake.replace_snapshot(frames[name](), f"{root}/{name}")

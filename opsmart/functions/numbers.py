@@ -5,37 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from opsmart.functions.text import BLANK, DASH, NULL_WORD
-
 # Wide enough for a sum over 10^18 values; ten places are kept of each value.
 FIXED_POINT = "decimal(28,10)"
+# Holds every 64-bit integer exactly, with decimals to cut off.
+_DECIMAL = "decimal(38,10)"
 
 
-def _number_text(c: Column) -> Column:
-    """Trimmed text with a decimal point; the texts that stand for NULL become NULL."""
-    text = F.trim(c.cast("string"))
-    known = ~F.lower(text).isin(BLANK, DASH, NULL_WORD)
-    return F.when(known, F.translate(text, ",", "."))
-
-
-def _whole(c: Column, type_name: str) -> Column:
-    # Only the digits before the point count ('9,5' -> 9); the text route keeps 64-bit ids exact.
-    return F.regexp_replace(_number_text(c), r"\.[0-9]*$", "").try_cast(type_name)
+def _with_point(c: Column) -> Column:
+    return F.translate(c.cast("string"), ",", ".")
 
 
+# try_cast ignores surrounding blanks and gives NULL for '', '-', 'null' and other words, so the
+# texts that stand for a missing number need no tests of their own.
 def to_int(c: Column) -> Column:
-    """32-bit integer, truncated; anything unreadable is NULL."""
-    return _whole(c, "int")
+    """32-bit integer, decimals cut off ('9,5' -> 9); anything unreadable is NULL."""
+    return _with_point(c).try_cast(_DECIMAL).try_cast("int")
 
 
 def to_long(c: Column) -> Column:
-    """64-bit integer; anything unreadable is NULL."""
-    return _whole(c, "bigint")
+    """64-bit integer id; anything unreadable is NULL."""
+    return c.try_cast("bigint")
 
 
 def to_double(c: Column) -> Column:
     """Double with comma or point decimals; anything unreadable is NULL."""
-    return _number_text(c).try_cast("double")
+    return _with_point(c).try_cast("double")
 
 
 def is_one(c: Column) -> Column:

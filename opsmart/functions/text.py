@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 # Texts that stand for "no value" in the exports.
 BLANK = ""
 DASH = "-"
-NULL_WORD = "null"
 
 
 def norm(c: Column) -> Column:

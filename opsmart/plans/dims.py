@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from opsmart.contracts import silver_schema
@@ -88,9 +89,19 @@ def code_tables(site: str = DEFAULT_SITE) -> dict[str, dict[int, str | None]]:
 
 
 def code_table(spark: SparkSession, table: str, site: str = DEFAULT_SITE) -> DataFrame:
-    """One code table; a few dozen rows at most."""
-    rows = list(code_tables(site)[table].items())
-    return spark.createDataFrame(rows, silver_schema(table))
+    """One code table; a few dozen rows at most.
+
+    Built from an Arrow table, which Spark keeps as a local relation of the plan: using it starts
+    no Python worker.
+    """
+    schema = silver_schema(table)
+    labels = code_tables(site)[table]
+    key, label = schema.names
+    columns = {
+        key: pa.array(labels.keys(), pa.int64()),
+        label: pa.array(labels.values(), pa.string()),
+    }
+    return spark.createDataFrame(pa.table(columns), schema)
 
 
 def all_code_tables(spark: SparkSession, site: str = DEFAULT_SITE) -> dict[str, DataFrame]:

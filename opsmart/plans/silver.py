@@ -126,8 +126,13 @@ def tickets(bronze: DataFrame, run_ts: Column | None = None, wide: bool = False)
 
 
 def reservations(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
-    """Reservations with duration and validity, newest version per ``reservation_id``."""
-    start, end = when_.parse_ts(F.col("begin")), when_.parse_ts(F.col("end"))
+    """Reservations with duration and validity, newest version per ``reservation_id``.
+
+    Both ends are parsed in a projection of their own: the derived columns use them several times.
+    """
+    parsed = {"start_ts": F.col("begin"), "end_ts": F.col("end")}
+    bronze = bronze.withColumns({n: when_.parse_ts(c) for n, c in parsed.items()})
+    start, end = F.col("start_ts"), F.col("end_ts")
     columns = {
         "reservation_id": num.to_long(F.col("id")),
         "user_id": num.to_long(F.col("users_id")),
@@ -163,8 +168,7 @@ def reserveditems(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
 
 def rooms(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Rooms of the facility sheet; rows without a room are dropped. Not deduplicated here."""
-    headcount = num.to_int(F.col("nb_employes"))
-    capacity = num.to_int(F.col("capacite_totale"))
+    named = bronze.where(F.col("salle").isNotNull())
     columns = {
         "site": text.clean_text(F.col("viilage")),
         "floor": place.floor_label(F.col("etage")),
@@ -174,10 +178,9 @@ def rooms(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
         "organization_type": place.organization_type_label(F.col("type_de_lorganisation")),
         "space_type": place.space_type_label(F.col("type_de_lespace"), F.col("etat")),
         "activity": text.clean_text(F.col("activite"), place.NOT_AVAILABLE),
-        "employee_count": headcount,
-        "total_capacity": capacity,
+        "employee_count": num.to_int(F.col("nb_employes")),
+        "total_capacity": num.to_int(F.col("capacite_totale")),
         "area_m2": num.to_double(F.col("surface_m2")),
-        "occupancy_rate_pct": num.percent_of(headcount, capacity),
         "_ingestion_date": F.col("_ingestion_date").cast("date"),
         "_source_file": F.col("_source_file"),
         "_source_system": F.col("_source_system"),
@@ -185,8 +188,9 @@ def rooms(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
         "_ingest_ts": F.col("_ingest_ts"),
         "_silver_ts": when_.run_stamp(run_ts),
     }
-    named = bronze.where(F.col("salle").isNotNull())
-    return conform(_project(named, columns), silver_schema("space_repartition"))
+    rate = num.percent_of(F.col("employee_count"), F.col("total_capacity"))
+    typed = _project(named, columns).withColumn("occupancy_rate_pct", rate)
+    return conform(typed, silver_schema("space_repartition"))
 
 
 BUILDERS = {
