@@ -61,14 +61,15 @@ def read_latest(spark: SparkSession, root: str, column: str = INGESTION_DATE) ->
 
 
 def latest_partition(df: DataFrame, column: str = INGESTION_DATE) -> DataFrame:
-    """The rows of the greatest ``column`` value of any frame; an empty frame is an error.
+    """The rows of the greatest ``column`` value of any frame; no value at all is an error.
 
-    The maximum is a scalar subquery: on a table partitioned by ``column`` it becomes a
-    partition filter of the scan.
+    Only the one maximum comes to the driver. As a literal it prunes partitions while the second
+    read is planned; on a partitioned table the first read opens no data column either.
     """
-    problem = F.raise_error(F.lit(f"no {column} found"))
-    newest = df.select(F.coalesce(F.max(column), problem.cast("date"))).scalar()
-    return df.where(F.col(column) == newest)
+    newest = df.agg(F.max(column)).first()[0]
+    if newest is None:
+        raise ValueError(f"no {column} found")
+    return df.where(F.col(column) == F.lit(newest))
 
 
 def replace_partitions(df: DataFrame, root: str, column: str = INGESTION_DATE) -> None:
