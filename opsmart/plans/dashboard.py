@@ -37,8 +37,8 @@ def item_pressure(reservations: DataFrame, newest: int | None = None, listed: in
     if newest is not None:
         rows = top_k(rows, [desc("start_ts"), desc("reservation_id")], newest)
     seconds = F.round(F.col("duration_hours") * 3600).cast("bigint")
-    per_item = rows.groupBy("reservation_item_id").agg(
-        F.max("reservation_item_name").alias("name"),
+    # The name depends on the id: as a second key it keeps the aggregation a hash aggregation.
+    per_item = rows.groupBy("reservation_item_id", F.col("reservation_item_name").alias("name")).agg(
         F.count(F.lit(1)).alias("reservation_count"),
         F.coalesce(F.sum(seconds), F.lit(0)).alias("_seconds"),
     )

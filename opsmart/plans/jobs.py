@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from opsmart.contracts import SERVING, landing_schema, serving_tables
 from opsmart.operators.audit import observed
 from opsmart.plans import dims, gold_reservations, gold_space, gold_tickets, silver
+from opsmart.session import shuffles_for
 from opsmart.sources import lake, landing, publish
 
 CSV_ENTITIES = ("space_repartition",)
@@ -40,9 +41,11 @@ def build_silver(
 ) -> dict[str, int]:
     """Newest bronze day to a silver snapshot; returns the audit counts."""
     column = landing.CSV_PARTITION if entity in CSV_ENTITIES else lake.INGESTION_DATE
-    bronze = lake.read_latest(spark, f"{bronze_root}/{entity}", column)
+    root = f"{bronze_root}/{entity}"
+    bronze = lake.read_latest(spark, root, column)
     out, audit = observed(silver.BUILDERS[entity](bronze, run_ts), f"silver_{entity}")
-    lake.replace_snapshot(out, f"{silver_root}/{entity}")
+    with shuffles_for(spark, [lake.latest_folder(spark, root, column)]):
+        lake.replace_snapshot(out, f"{silver_root}/{entity}")
     return audit.get
 
 
@@ -114,12 +117,14 @@ def build_gold(
     KPI marts scan the stored silver table (two to four columns each); the space KPIs read the
     stored room mart, which is already one row per room.
     """
-    tables = {t: lake.read_table(spark, f"{silver_root}/{t}") for t in SILVER_OF[domain]}
-    for name in SERVING[domain]:
-        path = f"{gold_root}/{domain}/{name}"
-        lake.replace_snapshot(BUILDERS[name](tables, run_ts), path)
-        if name == ROOM_MART:
-            tables[name] = lake.read_table(spark, path)
+    paths = {t: f"{silver_root}/{t}" for t in SILVER_OF[domain]}
+    tables = {t: lake.read_table(spark, path) for t, path in paths.items()}
+    with shuffles_for(spark, list(paths.values())):
+        for name in SERVING[domain]:
+            path = f"{gold_root}/{domain}/{name}"
+            lake.replace_snapshot(BUILDERS[name](tables, run_ts), path)
+            if name == ROOM_MART:
+                tables[name] = lake.read_table(spark, path)
     return list(SERVING[domain])
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +59,34 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="opsmart-")
     return f"{root.rstrip('/')}/opsmart/{label}-{uuid.uuid4().hex}"
+
+
+def stored_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Size of stored files, from the file system's own bookkeeping; a missing path counts 0."""
+    total = 0
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+@contextmanager
+def shuffles_for(
+    spark: SparkSession, paths: list[str], target: int = 128 << 20, expansion: int = 4
+) -> Iterator[int]:
+    """Enough shuffle partitions for jobs over ``paths``; the former number returns afterwards.
+
+    One partition per ``target`` bytes of input, decompressed by ``expansion``, and never fewer
+    than the session has. Too many do no harm - AQE merges small ones - while too few would make
+    reduce tasks spill, and AQE cannot split the shuffle of an aggregation or a window.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(key))
+    wanted = max(before, math.ceil(stored_bytes(spark, paths) * expansion / target))
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(key, str(before))

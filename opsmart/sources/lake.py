@@ -52,12 +52,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_latest(spark: SparkSession, root: str, column: str = INGESTION_DATE) -> DataFrame:
-    """The newest date partition. Only that folder is listed and scanned."""
+def latest_folder(spark: SparkSession, root: str, column: str = INGESTION_DATE) -> str:
+    """Folder of the newest date partition; no partition at all is an error."""
     dates = partition_dates(spark, root, column)
     if not dates:
         raise ValueError(f"no {column} partition under {root}")
-    return spark.read.option("basePath", root).parquet(f"{root}/{column}={dates[-1]}")
+    return f"{root}/{column}={dates[-1]}"
+
+
+def read_latest(spark: SparkSession, root: str, column: str = INGESTION_DATE) -> DataFrame:
+    """The newest date partition. Only that folder is listed and scanned."""
+    return spark.read.option("basePath", root).parquet(latest_folder(spark, root, column))
 
 
 def latest_partition(df: DataFrame, column: str = INGESTION_DATE) -> DataFrame:
