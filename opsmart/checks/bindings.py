@@ -1,7 +1,8 @@
 """The supplied tables seen as the engine's own tables.
 
-The layers are stored as they are in production: silver is written once per session and data
-directory, the marts read the stored silver, and the serving queries read the stored gold.
+The layers are stored as they are in production: bronze, silver and gold tables are written once
+per session and data directory. Silver builders read stored bronze, the marts stored silver, the
+serving queries stored gold.
 
 Orders play tickets, line items reservations, customers users, parts items and rooms, and events
 the daily exports. Every row of a source table becomes (at least) one row here; missing and dirty
@@ -29,6 +30,7 @@ from opsmart.sources.landing import clean_names
 
 RUN_STAMP = "2024-02-01 00:00:00"
 SNAPSHOT_DAY = "2024-01-31"
+ROWS_PER_FILE = 50_000
 RAW_ROOM_HEADERS = (
     "Viilage", "Étage", "Salle", "État", "Nom de l'organisation", "Type de l'organisation",
     "Type de l'espace", "Activité", "Nb employés", "Capacité totale", "Surface m²",
@@ -84,7 +86,7 @@ class Tables:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, table)
         if key not in _STORED:
             path = self.scratch(table)
-            lake.replace_snapshot(build(), path)
+            lake.replace_snapshot(build(), path, ROWS_PER_FILE)
             _STORED[key] = path
         return lake.read_table(self.spark, _STORED[key])
 
@@ -154,8 +156,13 @@ class Tables:
         rows = self.source("orders").select(*[c.alias(n) for n, c in columns.items()])
         return conform(rows, silver_schema("tickets"))
 
-    @cached_property
+    @property
     def bronze_tickets(self) -> DataFrame:
+        """Stored bronze tickets."""
+        return self.stored("bronze_tickets", lambda: self.exported_tickets)
+
+    @cached_property
+    def exported_tickets(self) -> DataFrame:
         """Ticket export rows: text only, dirty codes, a second version of every fourth ticket."""
         k, when, code = F.col("o_orderkey"), self._ticket_times(), self._ticket_codes()
         version = F.col("version")
@@ -228,8 +235,13 @@ class Tables:
             people.display_name(login).alias("full_name"),
         )
 
-    @cached_property
+    @property
     def bronze_users(self) -> DataFrame:
+        """Stored bronze users."""
+        return self.stored("bronze_users", lambda: self.exported_users)
+
+    @cached_property
+    def exported_users(self) -> DataFrame:
         """User export rows, with a second version of every third user."""
         k, version = F.col("c_custkey"), F.col("version")
         day = F.to_timestamp(F.lit("2024-01-01 08:00:00"))
@@ -283,8 +295,13 @@ class Tables:
             facility.item_label(self._item_name()).alias("reservation_item_name"),
         )
 
-    @cached_property
+    @property
     def bronze_items(self) -> DataFrame:
+        """Stored bronze items."""
+        return self.stored("bronze_items", lambda: self.exported_items)
+
+    @cached_property
+    def exported_items(self) -> DataFrame:
         """Item export rows, with an older version of every fifth item and some without id."""
         k, version = F.col("p_partkey"), F.col("version")
         older = F.concat(F.lit("old "), F.col("p_name"))
@@ -369,8 +386,13 @@ class Tables:
             ["start_ts", "end_ts", "user_id", "reservation_item_id"],
         )
 
-    @cached_property
+    @property
     def bronze_reservations(self) -> DataFrame:
+        """Stored bronze reservations."""
+        return self.stored("bronze_reservations", lambda: self.exported_reservations)
+
+    @cached_property
+    def exported_reservations(self) -> DataFrame:
         """Reservation export rows."""
         ids = self._reservation_ids()
         start, end = self._reservation_times()
@@ -426,8 +448,13 @@ class Tables:
             *[c.alias(h) for c, h in zip(cells, RAW_ROOM_HEADERS)]
         )
 
-    @cached_property
+    @property
     def bronze_rooms(self) -> DataFrame:
+        """Stored bronze rooms."""
+        return self.stored("bronze_rooms", lambda: self.exported_rooms)
+
+    @cached_property
+    def exported_rooms(self) -> DataFrame:
         """The sheet under its cleaned column names, with lineage."""
         return self.room_sheet.toDF(*clean_names(RAW_ROOM_HEADERS)).withColumns(
             {

@@ -292,7 +292,7 @@ def _(t):
     type_code, category_id, location_id, requester_user_id, last_updater_user_id, ingestion_date FROM tks""")
 def _(t):
     root, bronze, silver_root = t.scratch("landing"), t.scratch("bronze"), t.scratch("silver")
-    export = t.bronze_tickets.drop("ingestion_date", "_source_file", "_source_system", "_ingest_bronze_ts")
+    export = t.exported_tickets.drop("ingestion_date", "_source_file", "_source_system", "_ingest_bronze_ts")
     for day, rows in ((DAY_BEFORE, export.where("status = 'abc'")), (SNAPSHOT_DAY, export)):
         rows.write.json(f"{root}/tickets/{lake.INGESTION_DATE}={day}")
     jobs.ingest(t.spark, "tickets", root, bronze, t.run_ts)

@@ -87,9 +87,13 @@ def replace_partitions(df: DataFrame, root: str, column: str = INGESTION_DATE) -
     )
 
 
-def replace_snapshot(df: DataFrame, path: str) -> None:
-    """Replace a whole table, schema included. ``df`` must not read ``path``."""
-    df.write.mode("overwrite").parquet(path)
+def replace_snapshot(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """Replace a whole table, schema included. ``df`` must not read ``path``.
+
+    ``rows_per_file`` bounds the files a task writes (0 = no bound): later scans of a small table
+    can then use several tasks, without a shuffle before this write.
+    """
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
 def register_catalogue(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
