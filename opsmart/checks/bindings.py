@@ -208,7 +208,7 @@ class Tables:
 
     # --- users <- customer ---
     @staticmethod
-    def _login() -> Column:
+    def login() -> Column:
         k, name = F.col("c_custkey"), F.lower("c_mktsegment")
         key = k.cast("string")
         return (
@@ -228,7 +228,7 @@ class Tables:
     @cached_property
     def typed_users(self) -> DataFrame:
         """Silver users, the columns the marts use."""
-        login = text.clean_str(self._login())
+        login = text.clean_str(self.login())
         return self.source("customer").select(
             F.col("c_custkey").alias("user_id"),
             login.alias("user_name"),
@@ -248,7 +248,7 @@ class Tables:
         modified = F.when(k % 9 != 0, _hours_after(day, k % 100 + version))
         raw = {
             "id": F.when(k % 499 == 0, F.lit("null")).otherwise(k.cast("string")),
-            "name": self._login(),
+            "name": self.login(),
             "is_active": (k + version) % 2,
             "is_deleted": F.when(k % 31 == 0, F.lit("null")).otherwise(F.lit("0")),
             "is_deleted_ldap": F.lit("0"),

@@ -210,7 +210,7 @@ def _(t):
 
 @check("sf_15_person_name", "SELECT c_custkey AS user_id, first_name, last_name, full_name FROM us_named")
 def _(t):
-    login = text.clean_str(t._login())
+    login = text.clean_str(t.login())
     first, last = people.login_parts(login)
     return t.source("customer").select(
         F.col("c_custkey").alias("user_id"),

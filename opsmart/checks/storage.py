@@ -337,17 +337,15 @@ def _(t):
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
-@check("jb_4_publish_frames", """SELECT 'kpi_tickets_by_category_period' AS table_name, count(*) AS rows FROM m_category
-    UNION ALL SELECT 'tickets_cards', count(*) FROM m_cards
-    UNION ALL SELECT 'reservations_kpi_by_user_current', count(*) FROM r_user
-    UNION ALL SELECT 'space_kpi_by_site_current', count(*) FROM s_site""")
+@check("jb_4_publish_frames", " UNION ALL ".join(_COUNTS))
 def _(t):
-    tables = ("kpi_tickets_by_category_period", "tickets_cards", "reservations_kpi_by_user_current", "space_kpi_by_site_current")
-    frames = [
-        publish.publish_frame(gold(t, n), n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
-        for n in tables
+    counts = [
+        publish.publish_frame(gold(t, n), n)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(n).alias("table_name"), "rows")
+        for n in serving_tables()
     ]
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return reduce(lambda a, b: a.unionByName(b), counts)
 
 
 @check("jb_5_build_dimensions", """SELECT 'status' AS dim, CAST(status_code AS BIGINT) AS code, status AS label, count(*) AS tickets FROM te GROUP BY 2, 3

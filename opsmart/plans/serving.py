@@ -19,6 +19,7 @@ BUILT = "gold_kpi_build_ts"
 
 
 def or_zero(name: str, type_name: str) -> Column:
+    """A column with 0 (or false) for NULL, in the type the query returns."""
     zero = F.lit(False) if type_name == "boolean" else F.lit(0)
     return F.coalesce(F.col(name), zero).cast(type_name).alias(name)
 

@@ -15,7 +15,7 @@ from opsmart.functions import times as when_
 from opsmart.operators.audit import observed
 from opsmart.sources import lake
 
-# Source systems and partition columns of the two export kinds.
+# Source systems, partition columns, reader options and header rules of the exports.
 JSON_SYSTEM = "glpi"
 CSV_SYSTEM = "drive_csv"
 CSV_PARTITION = "_ingestion_date"
@@ -29,15 +29,16 @@ CSV_OPTIONS = {
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
 }
+WORD_BREAKS = r"[ \-/]+"
+NOT_IN_NAMES = r"[^a-z0-9_]"
+NAMELESS = "col"
 
 
 def clean_name(name: str) -> str:
-    """Header text as an ASCII column name."""
-    plain = "".join(
-        ch for ch in unicodedata.normalize("NFKD", name) if not unicodedata.combining(ch)
-    )
-    underscored = re.sub(r"[ \-/]+", "_", plain.lower().strip())
-    return re.sub(r"[^a-z0-9_]", "", underscored) or "col"
+    """Header text as an ASCII column name: no accents, words joined by underscores."""
+    letters = filter(lambda ch: not unicodedata.combining(ch), unicodedata.normalize("NFKD", name))
+    words = re.split(WORD_BREAKS, "".join(letters).lower().strip())
+    return re.sub(NOT_IN_NAMES, "", "_".join(words)) or NAMELESS
 
 
 def clean_names(names: Sequence[str]) -> list[str]:

@@ -162,9 +162,9 @@ def test_room_label(spark):
 
 
 def test_organization_and_space_type(spark):
-    values = ["Le CoStorage 2", "-", "", None, "Startup "]
+    values = ["Le CoStorage 2", "-", "", None, "Company "]
     assert one_column(spark, facility.organization_type_label, values) == [
-        "costorage", "n/a", "n/a", "n/a", "startup",
+        "costorage", "n/a", "n/a", "n/a", "company",
     ]
     space = one_column(spark, lambda c: facility.space_type_label(c, F.lit(" Loué ")), ["Bureau", "-", None])
     assert space == ["bureau", "loué", "loué"]

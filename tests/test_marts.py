@@ -182,11 +182,11 @@ def test_reservations_per_day_and_item(spark):
 def test_room_current(gold):
     names = ["room_nk", "employee_count", "occupancy_rate_pct", "density_emp_per_100m2", "is_over_capacity"]
     assert rows(gold("space_room_current"), *names) == [
-        ("village a|rdc|salle 01", 5, 50.0, 10.0, False),
-        ("village a|rdc|salle 03", 3, 150.0, 15.0, True),
-        ("village a|∅|salle 02", None, 0.0, None, None),
-        ("village b|rdc|accueil", 8, None, 8 / 80.5 * 100.0, None),
-        ("village b|rdc|terrasse", 7, None, None, True),
+        ("site a|rdc|salle 01", 5, 50.0, 10.0, False),
+        ("site a|rdc|salle 03", 3, 150.0, 15.0, True),
+        ("site a|∅|salle 02", None, 0.0, None, None),
+        ("site b|rdc|accueil", 8, None, 8 / 80.5 * 100.0, None),
+        ("site b|rdc|terrasse", 7, None, None, True),
     ]
 
 
@@ -200,15 +200,15 @@ def test_space_kpis(gold):
     density = gold("space_kpi_global_current").first().avg_density_emp_per_100m2
     assert density == pytest.approx((10 + 15 + 8 / 80.5 * 100) / 3)
     assert rows(gold("space_kpi_by_site_current"), "site", "total_spaces", "weighted_occupancy_rate_pct") == [
-        ("village a", 3, 50.0), ("village b", 2, None),
+        ("site a", 3, 50.0), ("site b", 2, None),
     ]
     assert rows(gold("space_kpi_by_site_space_type_current")) == [
-        ("village a", "bureau", 2, 50.0, 14, 5), ("village a", "réservation", 1, 20.0, 2, 3),
-        ("village b", "bureau", 1, 80.5, None, 8), ("village b", "terrasse", 1, 0.0, 0, 7),
+        ("site a", "bureau", 2, 50.0, 14, 5), ("site a", "réservation", 1, 20.0, 2, 3),
+        ("site b", "bureau", 1, 80.5, None, 8), ("site b", "terrasse", 1, 0.0, 0, 7),
     ]
     org = gold("space_kpi_by_site_org_type_current").select("site", "organization_type", "spaces_count")
     assert rows(org) == [
-        ("village a", "n/a", 1), ("village a", "startup", 2), ("village b", "costorage", 1), ("village b", "n/a", 1),
+        ("site a", "n/a", 1), ("site a", "company", 2), ("site b", "costorage", 1), ("site b", "n/a", 1),
     ]
 
 
@@ -216,11 +216,11 @@ def test_space_kpis(gold):
 def test_space_serving(gold):
     assert serving.space_global(gold("space_kpi_global_current")).first().as_of_ts == "2024-02-06 00:00:00+00"
     by_site = serving.space_by_site(gold("space_kpi_by_site_current")).collect()
-    assert [r.site for r in by_site] == ["village b", "village a"]  # unknown occupancy comes first
-    split = serving.space_by_site_space_type(gold("space_kpi_by_site_space_type_current"), "village b")
+    assert [r.site for r in by_site] == ["site b", "site a"]  # unknown occupancy comes first
+    split = serving.space_by_site_space_type(gold("space_kpi_by_site_space_type_current"), "site b")
     assert [tuple(r)[1:6] for r in split.collect()] == [("bureau", 1, 80.5, 0, 8), ("terrasse", 1, 0.0, 0, 7)]
-    org = serving.space_by_site_org_type(gold("space_kpi_by_site_org_type_current"), "village a").collect()
-    assert [r.organization_type for r in org] == ["startup", "n/a"]
+    org = serving.space_by_site_org_type(gold("space_kpi_by_site_org_type_current"), "site a").collect()
+    assert [r.organization_type for r in org] == ["company", "n/a"]
 
 
 def test_room_list(gold):
@@ -228,7 +228,7 @@ def test_room_list(gold):
     every = serving.space_rooms(mart, site="", floor=None).collect()
     assert [r.room for r in every] == ["salle 01", "salle 03", "salle 02", "accueil", "terrasse"]
     assert (every[2].employee_count, every[2].is_over_capacity, every[2].area_m2) == (0, False, 0.0)
-    assert serving.space_rooms(mart, site="village a", occupancy_status="loué").count() == 1
+    assert serving.space_rooms(mart, site="site a", occupancy_status="loué").count() == 1
     assert serving.space_rooms(mart, limit=2).count() == 2
     with pytest.raises(ValueError):
         serving.space_rooms(mart, limit=0)
@@ -328,8 +328,8 @@ def test_ticket_figures(gold):
 
 def test_site_and_user_figures(gold):
     sites = gold("space_kpi_by_site_current")
-    assert rows(dashboard.banded_sites(sites)) == [("village a", 50.0, "green"), ("village b", None, "green")]
-    assert rows(dashboard.site_comparison(sites)) == [("village a", 8, 1, 16, 1, 1), ("village b", 15, 1, 0, 1, 0)]
+    assert rows(dashboard.banded_sites(sites)) == [("site a", 50.0, "green"), ("site b", None, "green")]
+    assert rows(dashboard.site_comparison(sites)) == [("site a", 8, 1, 16, 1, 1), ("site b", 15, 1, 0, 1, 0)]
     points = dashboard.trend_points(gold("reservations_kpi_trends_by_month"))
     assert rows(points) == [("2024-01", 2, 8.5, 4.25), ("2024-02", 3, 3.0, 1.5)]
     users = dashboard.named_users(gold("reservations_kpi_by_user_current"))
