@@ -32,10 +32,10 @@ RESERVATIONS = [
 
 # site, floor, room, status, org type, space type, people, seats, area
 ROOMS = [
-    ("site a", "rdc", "salle 01", "loué", "company", "bureau", 5, 10, 50.0),
-    ("site a", "rdc", "salle 01", "loué", "company", "bureau", 4, 10, 50.0),
+    ("site a", "rdc", "salle 01", "loué", "society", "bureau", 5, 10, 50.0),
+    ("site a", "rdc", "salle 01", "loué", "society", "bureau", 4, 10, 50.0),
     ("site a", None, "salle 02", "non loué", "n/a", "bureau", None, 4, None),
-    ("site a", "rdc", "salle 03", "réservation", "company", "réservation", 3, 2, 20.0),
+    ("site a", "rdc", "salle 03", "réservation", "society", "réservation", 3, 2, 20.0),
     ("site b", "rdc", "terrasse", "par personne", "n/a", "terrasse", 7, 0, 0.0),
     ("site b", "rdc", "accueil", "loué", "costorage", "bureau", 8, None, 80.5),
 ]

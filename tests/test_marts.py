@@ -208,7 +208,7 @@ def test_space_kpis(gold):
     ]
     org = gold("space_kpi_by_site_org_type_current").select("site", "organization_type", "spaces_count")
     assert rows(org) == [
-        ("site a", "n/a", 1), ("site a", "company", 2), ("site b", "costorage", 1), ("site b", "n/a", 1),
+        ("site a", "n/a", 1), ("site a", "society", 2), ("site b", "costorage", 1), ("site b", "n/a", 1),
     ]
 
 
@@ -220,7 +220,7 @@ def test_space_serving(gold):
     split = serving.space_by_site_space_type(gold("space_kpi_by_site_space_type_current"), "site b")
     assert [tuple(r)[1:6] for r in split.collect()] == [("bureau", 1, 80.5, 0, 8), ("terrasse", 1, 0.0, 0, 7)]
     org = serving.space_by_site_org_type(gold("space_kpi_by_site_org_type_current"), "site a").collect()
-    assert [r.organization_type for r in org] == ["company", "n/a"]
+    assert [r.organization_type for r in org] == ["society", "n/a"]
 
 
 def test_room_list(gold):
