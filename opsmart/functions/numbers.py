@@ -56,14 +56,23 @@ def ratio(part: Column, whole: Column, if_empty: float | None = None) -> Column:
     )
 
 
+def _fixed(c: Column) -> Column:
+    # try_cast: a NaN or infinite measurement is an unknown one, not a failed job.
+    return c.try_cast(FIXED_POINT)
+
+
 def exact_sum(c: Column) -> Column:
-    """Sum of doubles in fixed point: the same result however tasks split or are retried."""
-    return F.sum(c.cast(FIXED_POINT)).cast("double")
+    """Sum of doubles in fixed point: the same result however tasks split or are retried.
+
+    NaN and infinite values count as missing.
+    """
+    return F.sum(_fixed(c)).cast("double")
 
 
 def exact_avg(c: Column) -> Column:
-    """Mean of the non-NULL doubles, summed in fixed point. NULL when there are none."""
-    return F.when(F.count(c) > 0, exact_sum(c) / F.count(c))
+    """Mean of the known doubles, summed in fixed point. NULL when there are none."""
+    known = F.count(_fixed(c))
+    return F.when(known > 0, exact_sum(c) / known)
 
 
 def half_up(c: Column, places: int = 0) -> Column:

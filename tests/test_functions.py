@@ -106,6 +106,12 @@ def test_exact_avg_of_nothing_is_null(spark):
     assert df.agg(numbers.exact_avg(F.col("x"))).first()[0] is None
 
 
+def test_exact_sum_leaves_out_what_is_no_number(spark):
+    df = spark.createDataFrame([(1.5,), (float("nan"),), (float("inf"),), (None,), (2.0,)], "x double")
+    row = df.agg(numbers.exact_sum(F.col("x")), numbers.exact_avg(F.col("x"))).first()
+    assert tuple(row) == (3.5, 1.75)
+
+
 def test_parse_ts(spark):
     values = ["2024-01-31 10:20:30", "0000-00-00 00:00:00", "", "x", None]
     stamp = dt.datetime(2024, 1, 31, 10, 20, 30)
