@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import os
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -40,7 +44,7 @@ def map_rows(
     ``batch`` rows, so a task holds a few batches at any time, whatever the size of its partition.
     """
     importable(df.sparkSession)
-    names, arrow = _arrow(df, schema)
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def inputs() -> Iterator[tuple]:
@@ -61,14 +65,6 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
-def _arrow(df: DataFrame, schema: str) -> tuple[list[str], pa.Schema]:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    spark_schema = StructType.fromDDL(schema)
-    return spark_schema.names, to_arrow_schema(spark_schema)
-
-
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows)
     return pa.RecordBatch.from_arrays(
@@ -83,3 +79,31 @@ def sha256(data: bytes) -> str:
 def text_or_empty(name: str = "text"):
     """The column with null read as the empty text."""
     return F.coalesce(F.col(f"`{name}`"), F.lit(""))
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder for an intermediate table under ``spark.checkpoint.dir``.
+
+    Only a local-mode session without that setting gets a temporary folder of its own machine; a
+    cluster must name one that all executors share.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        root = tempfile.mkdtemp(prefix="llm-")
+    return f"{root.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back: its lineage ends there, and it
+    survives the loss of executors."""
+    spark = df.sparkSession
+    path = shared_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def tasks(spark: SparkSession, rows: int, each: int) -> int:
+    """Groups for ``rows`` at ``each`` rows a group, at least the session's shuffle partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))

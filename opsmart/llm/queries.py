@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsmart.llm import bpe
+from opsmart.llm import bpe, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_simhash": simhash.op6_simhash,
+    "op7_quality_rules": rules.op7_quality_rules,
     "op10_bpe": bpe.op10_bpe,
 }
 
