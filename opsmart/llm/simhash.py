@@ -264,6 +264,23 @@ def near_duplicates(
     return found.join(placed, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def one_of_each(docs: DataFrame, radius: int, shingle: int) -> DataFrame:
+    """The rows of ``docs`` without those whose component has a smaller ``doc_id``.
+
+    Of repeated rows with one ``doc_id`` one stays. Rows without ``doc_id`` cannot be named by a
+    component and all stay.
+    """
+    named = docs.filter("doc_id is not null")
+    kept = (
+        near_duplicates(named, radius, shingle)
+        .filter("doc_id = component_id")
+        .select("doc_id")
+        .distinct()
+    )
+    chosen = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return chosen.unionByName(docs.filter("doc_id is null"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
