@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsmart.llm import bpe, mixing, pii, rules, simhash
+from opsmart.llm import bpe, chat, html, mixing, pii, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix": mixing.op4_mix,
     "op5_pii": pii.op5_pii,
     "op6_simhash": simhash.op6_simhash,
     "op7_quality_rules": rules.op7_quality_rules,
+    "op8_chat": chat.op8_chat,
+    "op9_html": html.op9_html,
     "op10_bpe": bpe.op10_bpe,
 }
 
 SQL: dict[str, str] = {
     "op4_mix": mixing.OP4_SQL,
+    "op8_chat": chat.OP8_SQL,
 }
