@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsmart.llm import bpe, chat, html, mixing, pii, rules, simhash
+from opsmart.llm import ann, bpe, chat, html, langid, mixing, pii, rules, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": suffixes.op1_suffix_dedup,
+    "op2_ann": ann.op2_ann,
+    "op3_langid": langid.op3_langid,
     "op4_mix": mixing.op4_mix,
     "op5_pii": pii.op5_pii,
     "op6_simhash": simhash.op6_simhash,
