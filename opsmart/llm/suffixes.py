@@ -136,19 +136,20 @@ class Part:
         start = np.concatenate([start, self.at[each]])
         end = np.concatenate([end, self.at[each] + self.span])
         key = np.concatenate([anchor[whole], self.anchor[each]])
-        content = self._content(start, end)
+        content = content_hash(self.data, start, end)
         by_itself = np.append(np.zeros(len(whole), bool), _among(self.anchor[each], hot))
         key = np.where(by_itself, _mixed(content), key)
         return Pieces(key, content, start, end, np.concatenate([doc[whole], self.doc[each]]))
 
-    def _content(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """A polynomial hash of each stretch, with its length."""
-        n = len(self.data)
-        rise = _powers(_ODD[7], n + 1)[:n]
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[1][self.data] * rise)])
-        fall = _powers(_INVERSE, n + 1)
-        found = (sums[end] - sums[start]) * fall[start]
-        return _mixed(found + (end - start).astype(np.uint64) * _ODD[0])
+
+def content_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A polynomial hash of each stretch, with its length."""
+    n = len(data)
+    rise = _powers(_ODD[7], n + 1)[:n]
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[1][data] * rise)])
+    fall = _powers(_INVERSE, n + 1)
+    found = (sums[end] - sums[start]) * fall[start]
+    return _mixed(found + (end - start).astype(np.uint64) * _ODD[0])
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -185,8 +186,19 @@ def _numbers(ids: list) -> np.ndarray:
     return np.array([_LAST if i is None else i for i in ids], np.int64)
 
 
-def _words(column: pa.ChunkedArray, dtype) -> list[np.ndarray]:
-    return [np.frombuffer(b, dtype) for b in column.to_pylist()]
+def _packed(data: bytes | np.ndarray) -> bytes:
+    """Bytes as they travel: their number and a Zstandard frame."""
+    raw = data if isinstance(data, bytes) else data.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, "zstd", asbytes=True)
+
+
+def _words(column: pa.ChunkedArray, dtype, packed: bool = False) -> list[np.ndarray]:
+    return [np.frombuffer(_unpacked(b) if packed else b, dtype) for b in column.to_pylist()]
 
 
 # --- 1: which anchors are shared ---
@@ -260,8 +272,8 @@ def _shared_rows(named: pa.Table, hot_from: int) -> pa.Table:
 
 _SENT = pa.schema(
     {
-        "shard": pa.int64(), "block": pa.int64(), "keys": pa.binary(), "contents": pa.binary(),
-        "docs": pa.binary(), "sizes": pa.binary(), "data": pa.binary(),
+        "shard": pa.int64(), "block": pa.int64(), "keys": pa.binary(), "docs": pa.binary(),
+        "sizes": pa.binary(), "data": pa.binary(),
     }
 )
 
@@ -306,7 +318,7 @@ def _sent(shards: int):
         order, first = _classes(key, content)
         doc = np.minimum.reduceat(doc[order], first)
         one = order[first]
-        key, content, size = key[one], content[one], size[one].astype("<i4")
+        key, size = key[one], size[one].astype("<i4")
         shard = (key % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0))
@@ -315,8 +327,11 @@ def _sent(shards: int):
             at = order[i:j]
             data = b"".join([texts[t] for t in one[at].tolist()])
             rows.append(
-                (int(shard[at[0]]), block, *(x[at].tobytes() for x in (key, content, doc, size)), data)
-            )
+                (
+                    int(shard[at[0]]), block, key[at].tobytes(),
+                    *map(_packed, (doc[at], size[at], data)),
+                )
+            )
         return _table(rows, _SENT)
 
     return run
@@ -366,8 +381,13 @@ def repeated_ranges(segments: list[bytes], docs: np.ndarray, span: int = SPAN) -
 
 def _answered(sent: pa.Table) -> pa.Table:
     """What a shard tells its blocks."""
-    keys, contents = _words(sent.column("keys"), "<u8"), _words(sent.column("contents"), "<u8")
-    docs, sizes = _words(sent.column("docs"), "<i8"), _words(sent.column("sizes"), "<i4")
+    keys, docs = _words(sent.column("keys"), "<u8"), _words(sent.column("docs"), "<i8", True)
+    sizes = _words(sent.column("sizes"), "<i4", True)
+    data = [_unpacked(d) for d in sent.column("data").to_pylist()]
+    contents = []
+    for own, text in zip(sizes, data):
+        end = np.cumsum(own, dtype=np.int64)
+        contents.append(content_hash(np.frombuffer(text, np.uint8), end - own, end))
     key, content, doc = map(np.concatenate, (keys, contents, docs))
     order, first = _classes(key, content)
     number = np.empty(len(key), np.int64)
@@ -384,11 +404,11 @@ def _answered(sent: pa.Table) -> pa.Table:
         place[crowded] = np.arange(len(crowded))
         texts: list[bytes] = [b""] * len(crowded)
         at = 0
-        for own, data in zip(sizes, sent.column("data").to_pylist()):
+        for own, text in zip(sizes, data):
             offsets = np.cumsum(own) - own
             wanted = place[number[at : at + len(own)]]
             for i in np.flatnonzero(wanted >= 0).tolist():
-                texts[wanted[i]] = data[offsets[i] : offsets[i] + own[i]]
+                texts[wanted[i]] = text[offsets[i] : offsets[i] + own[i]]
             at += len(own)
         found = repeated_ranges(texts, smallest[crowded])
         ranges = {int(c): r for c, r in zip(crowded, found) if len(r)}
@@ -408,9 +428,9 @@ def _answered(sent: pa.Table) -> pa.Table:
         rows.append(
             (
                 block, own_keys[told].tobytes(), own_contents[told].tobytes(),
-                smallest[own[told]].tobytes(),
-                np.array([len(r) // 2 for r in each], "<i4").tobytes(),
-                np.concatenate([none, *each]).astype("<i4").tobytes(),
+                _packed(smallest[own[told]]),
+                _packed(np.array([len(r) // 2 for r in each], "<i4")),
+                _packed(np.concatenate([none, *each]).astype("<i4")),
             )
         )
     return _table(rows, _ANSWERS)
@@ -430,16 +450,16 @@ class _Known:
     """The answers a block has got, by class."""
 
     def __init__(self, told: pa.Table):
-        def whole(name: str, dtype: str) -> np.ndarray:
+        def whole(name: str, dtype: str, packed: bool = False) -> np.ndarray:
             column = told.column(name).drop_null()
-            return np.concatenate([np.zeros(0, dtype), *_words(column, dtype)])
+            return np.concatenate([np.zeros(0, dtype), *_words(column, dtype, packed)])
 
         key, content = whole("keys", "<u8"), whole("contents", "<u8")
         self.order = np.argsort(self.name(key, content), kind="stable")
         self.names = self.name(key, content)[self.order]
-        self.smallest = whole("smallest", "<i8")
-        self.counts = whole("counts", "<i4").astype(np.int64)
-        self.ranges = whole("ranges", "<i4").reshape(-1, 2).astype(np.int64)
+        self.smallest = whole("smallest", "<i8", True)
+        self.counts = whole("counts", "<i4", True).astype(np.int64)
+        self.ranges = whole("ranges", "<i4", True).reshape(-1, 2).astype(np.int64)
         self.first = np.cumsum(self.counts) - self.counts
 
     @staticmethod
@@ -534,7 +554,7 @@ def deduplicated(
     )
     sent = by_block.cogroup(shared.groupBy("block")).applyInArrow(
         _sent(blocks),
-        "shard long, block long, keys binary, contents binary, docs binary, sizes binary, data binary",
+        "shard long, block long, keys binary, docs binary, sizes binary, data binary",
     )
     answers = sent.groupBy("shard").applyInArrow(
         _answered,
