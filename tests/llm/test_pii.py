@@ -1,0 +1,77 @@
+import random
+import re
+
+import pytest
+
+from opsmart.llm import pii
+
+PATTERNS = (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+)
+
+
+def brute(text):
+    found = []
+    for kind, pattern in enumerate(PATTERNS):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if (
+                kind == 0
+                or kind == 1 and all(int(p) <= 255 for p in m[0].split("."))
+                or kind == 2 and 14 <= len(digits) <= 19 and pii.luhn(digits)
+                or kind == 3 and 10 <= len(digits) <= 15
+            ):
+                found.append((*m.span(), kind))
+    return sorted(found, key=lambda s: (s[0], s[2]))
+
+
+def test_plain_detectors_equal_the_patterns():
+    pick = random.Random(4)
+    parts = ["a", "b.", "@", "@", "1", "255", "256.", "1.2.3.4", ".", "+", "+1", " ", "-", "(", ")", "4111111111111111", "é", "x@y.z", "4111 1111 1111 1111"]
+    for _ in range(20000):
+        text = "".join(pick.choice(parts) for _ in range(pick.randint(0, 16)))
+        assert pii.detect(text) == brute(text), text
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("write to john.doe (at) example (dot) com now", "email", "john.doe (at) example (dot) com"),
+        ("john dot doe at example dot com", "email", "john dot doe at example dot com"),
+        ("jоhn@exаmple.com", "email", "jоhn@exаmple.com"),
+        ("call plus one four one five five five five one two three four", "phone", "plus one four one five five five five one two three four"),
+        ("＋１ (415) 555-2671 x", "phone", "＋１ (415) 555-2671"),
+        ("at 192[.]168[.]1[.]20", "ip", "192[.]168[.]1[.]20"),
+        ("4111​1111​1111​1111", "card", "4111​1111​1111​1111"),
+    ],
+)
+def test_disguises_map_back(text, kind, span):
+    found = pii.spans(text)[1]
+    assert (kind, span) in [(pii.KINDS[k], text[a:b]) for a, b, k in found]
+
+
+@pytest.mark.parametrize("text", ["look at the dot com boom", "one two three four were there", "we met at noon", "Привет мир", "ñandú é ü"])
+def test_plain_prose_stays(text):
+    assert pii.spans(text) == ([], [])
+
+
+def test_plain_spans_stay_and_long_texts_take_linear_time():
+    text = "john@x.org and jane (at) y (dot) org"
+    base, every = pii.spans(text)
+    assert base == [(0, 10, 0)] and set(base) < set(every)
+    pii.spans("a" * 200_000 + " " * 200_000 + "(" * 100_000 + "1" * 100_000 + "+1" * 50_000)
+
+
+def test_query_rows(spark):
+    rows = [(1, "mail a@b.co"), (2, None), (3, ""), (1, "mail a@b.co"), (None, "+1 (415) 555-2671")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "9L AS n_chars", "'x' AS spans")
+    out = sorted(pii.find(df).collect(), key=lambda r: r.doc_id or 0)
+    assert [(r.doc_id, r.n_email, r.n_phone, r.spans) for r in out] == [
+        (None, 0, 1, "phone:0:17"), (1, 1, 0, "email:5:11"), (1, 1, 0, "email:5:11"), (2, 0, 0, ""), (3, 0, 0, ""),
+    ]
+    clean = sorted(pii.redact(df).collect(), key=lambda r: r.doc_id or 0)
+    assert [(r.text, r.n_chars) for r in clean] == [("<PHONE>", 7), ("mail <EMAIL>", 12), ("mail <EMAIL>", 12), (None, 9), ("", 9)]
+    assert pii.find(df.limit(0)).count() == 0
