@@ -214,15 +214,19 @@ def sample(docs: DataFrame) -> DataFrame:
     labelled = docs.filter(
         ~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = labelled.select("lang", "doc_id").distinct()
+    # One row per language, at most LANGUAGES of them.
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(LANGUAGES)
+    hashed = F.xxhash64("doc_id")
+    # Of a large language only rows of low hash, some four times what is wanted, meet in the window.
+    low = F.pmod(hashed, F.lit(1 << 20)) * F.col("n") < F.lit(4 * TRAIN_DOCS) * F.lit(1 << 20)
+    by_hash = Window.partitionBy("lang").orderBy(F.pmod(hashed, F.lit(1 << 20)), "doc_id")
     chosen = (
-        labelled.select("lang", "doc_id")
-        .distinct()
+        ids.join(F.broadcast(sizes), "lang")
+        .filter(low)
         .withColumn("place", F.row_number().over(by_hash))
         .filter(F.col("place") <= TRAIN_DOCS)
-        .drop("place")
-        .orderBy("lang", F.xxhash64("doc_id"), "doc_id")
-        .limit(TRAIN_DOCS * LANGUAGES)
+        .select("lang", "doc_id")
     )
 
     def windows(rows: Iterator[tuple]) -> Iterator[tuple]:
