@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opsmart.llm.common import table
+from opsmart.llm.common import table, tasks
 
 BLOCK = 32
 #: Largest integer weight; the sum over the sources is the length of a cycle.
@@ -120,8 +120,7 @@ def schedule(weights: DataFrame) -> DataFrame:
 
 def numbered(docs: DataFrame, weights: DataFrame) -> DataFrame:
     """``docs`` with ``_key``, its ``_weight`` and ``_rank``, the row's number in its source from 0."""
-    rows = docs.count()
-    ranges = max(1, -(-rows // RANGE_ROWS))
+    ranges = tasks(docs.sparkSession, docs.count(), RANGE_ROWS)
     hashed = F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("z"))
     prefix = F.coalesce(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long"), F.lit((1 << 32) - 1))
     keyed = (
