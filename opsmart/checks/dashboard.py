@@ -45,10 +45,12 @@ def _cell(code: int) -> str:
     return f"CAST(coalesce(sum(ticket_count) FILTER (WHERE priority_code = {code}), 0) AS BIGINT)"
 
 
-@check("d_04_technician_matrix", f"""SELECT last_updater_full_name AS technician, {_cell(6)} AS major, {_cell(5)} AS very_high,
+@check("d_04_technician_matrix", f"""SELECT last_updater_user_id, last_updater_full_name AS technician, {_cell(6)} AS major, {_cell(5)} AS very_high,
     {_cell(4)} AS high, {_cell(3)} AS medium, {_cell(2)} AS low,
-    CAST(coalesce(sum(ticket_count) FILTER (WHERE priority_code BETWEEN 2 AND 6), 0) AS BIGINT) AS row_total
-    FROM m_load WHERE period = 'ALL' GROUP BY 1""")
+    CAST(coalesce(sum(ticket_count) FILTER (WHERE priority_code IS NULL OR priority_code NOT BETWEEN 2 AND 6), 0)
+      AS BIGINT) AS other,
+    CAST(sum(ticket_count) AS BIGINT) AS row_total
+    FROM m_load WHERE period = 'ALL' GROUP BY 1, 2""")
 def _(t):
     return dashboard.technician_matrix(gold(t, "kpi_load_by_technician_priority_period"))
 
@@ -94,9 +96,9 @@ def _(t):
 
 
 @check("d_10_coloured_pressure", f"""SELECT *, CASE WHEN occupancy > 80 THEN 'red' WHEN occupancy > 60 THEN 'yellow'
-    ELSE 'green' END AS colour FROM ({_PRESSURE.format(rows=_NEWEST)})""")
+    ELSE 'green' END AS colour FROM ({_PRESSURE.format(rows="re")})""")
 def _(t):
-    pressure = dashboard.item_pressure(gold(t, "reservations_enriched_current"), newest=500)
+    pressure = dashboard.item_pressure(gold(t, "reservations_enriched_current"))
     return dashboard.coloured_pressure(pressure)
 
 

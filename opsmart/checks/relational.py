@@ -268,7 +268,8 @@ def _(t):
 
 @check("so_04_pivot", """SELECT type_code, coalesce(count(*) FILTER (WHERE priority_code = 6), 0) AS major,
     coalesce(count(*) FILTER (WHERE priority_code = 2), 0) AS low,
-    count(*) FILTER (WHERE priority_code IN (2, 6)) AS row_total FROM tk GROUP BY 1""")
+    count(*) FILTER (WHERE priority_code IS NULL OR priority_code NOT IN (2, 6)) AS other,
+    count(*) AS row_total FROM tk GROUP BY 1""")
 def _(t):
     counts = counted(t.tickets, "type_code", "priority_code")
     return pivot_sum(counts, ["type_code"], "priority_code", {6: "major", 2: "low"}, "ticket_count")

@@ -21,6 +21,10 @@ def _int_zero(name: str) -> str:
     return f"CAST(coalesce({name}, 0) AS INTEGER) AS {name}"
 
 
+def _big_zero(name: str) -> str:
+    return f"CAST(coalesce({name}, 0) AS BIGINT) AS {name}"
+
+
 # --- space ---
 @check("q_s1_global", f"SELECT *, {_AS_OF} FROM s_global LIMIT 1")
 def _(t):
@@ -32,14 +36,14 @@ def _(t):
     return serving.space_by_site(gold(t, "space_kpi_by_site_current"))
 
 
-@check("q_s3_by_site_space_type", f"""SELECT site, space_type, {_int_zero("spaces_count")}, {_zero("sum_area_m2")},
-    {_int_zero("sum_capacity")}, {_int_zero("sum_employees")}, {_AS_OF} FROM s_space_type WHERE site = '{_SITE}'""")
+@check("q_s3_by_site_space_type", f"""SELECT site, space_type, {_big_zero("spaces_count")}, {_zero("sum_area_m2")},
+    {_big_zero("sum_capacity")}, {_big_zero("sum_employees")}, {_AS_OF} FROM s_space_type WHERE site = '{_SITE}'""")
 def _(t):
     return serving.space_by_site_space_type(gold(t, "space_kpi_by_site_space_type_current"), _SITE)
 
 
-@check("q_s4_by_site_org_type", f"""SELECT site, organization_type, {_int_zero("spaces_count")},
-    {_int_zero("sum_employees")}, {_zero("sum_area_m2")}, {_int_zero("sum_capacity")}, {_AS_OF}
+@check("q_s4_by_site_org_type", f"""SELECT site, organization_type, {_big_zero("spaces_count")},
+    {_big_zero("sum_employees")}, {_zero("sum_area_m2")}, {_big_zero("sum_capacity")}, {_AS_OF}
     FROM s_org_type WHERE site = '{_SITE}'""")
 def _(t):
     return serving.space_by_site_org_type(gold(t, "space_kpi_by_site_org_type_current"), _SITE)

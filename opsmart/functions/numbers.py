@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Wide enough for a sum over 10^18 values; ten places are kept of each value.
-FIXED_POINT = "decimal(28,10)"
+# Wide enough for a sum over 10^10 values below LARGE; ten places are kept of each value. A double
+# of LARGE and above has no places after the point.
+FIXED_POINT, WHOLE = "decimal(28,10)", "decimal(38,0)"
+LARGE = 1e17
 # Holds every 64-bit integer exactly, with decimals to cut off.
 _DECIMAL = "decimal(38,10)"
 
@@ -23,8 +25,10 @@ def to_int(c: Column) -> Column:
 
 
 def to_long(c: Column) -> Column:
-    """64-bit integer id; anything unreadable is NULL."""
-    return c.try_cast("bigint")
+    """64-bit integer id, also when an exporter wrote it as '12.0'; anything unreadable is NULL."""
+    return F.coalesce(
+        c.try_cast("bigint"), _with_point(c).try_cast(_DECIMAL).try_cast("bigint")
+    )
 
 
 def to_double(c: Column) -> Column:
@@ -34,7 +38,7 @@ def to_double(c: Column) -> Column:
 
 def is_one(c: Column) -> Column:
     """0/1 code as a boolean; NULL stays NULL."""
-    return c.try_cast("int") == F.lit(1)
+    return to_int(c) == F.lit(1)
 
 
 def percent_of(part: Column, whole: Column, positive_only: bool = False) -> Column:
@@ -56,25 +60,37 @@ def ratio(part: Column, whole: Column, if_empty: float | None = None) -> Column:
     )
 
 
-def _fixed(c: Column) -> Column:
-    # try_cast: a NaN or infinite measurement is an unknown one, not a failed job.
-    return c.try_cast(FIXED_POINT)
+def _finite(c: Column) -> Column:
+    x = c.cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), x)
 
 
 def exact_sum(c: Column) -> Column:
     """Sum of doubles in fixed point: the same result however tasks split or are retried.
 
-    NaN and infinite values count as missing.
+    NaN and infinite values count as missing (see ``not_finite``). Every finite value counts; one
+    beyond 38 digits, or a sum that has more, fails the job.
     """
-    return F.sum(_fixed(c)).cast("double")
+    x = _finite(c)
+    small = F.sum(F.when(F.abs(x) < LARGE, x).cast(FIXED_POINT))
+    large = F.sum(F.when(F.abs(x) >= LARGE, x).cast(WHOLE))
+    total = F.coalesce(small.cast("double"), F.lit(0.0)) + F.coalesce(
+        large.cast("double"), F.lit(0.0)
+    )
+    return F.when(F.count(x) > 0, total)
 
 
 def exact_avg(c: Column) -> Column:
     """Mean of the known doubles, summed in fixed point. NULL when there are none."""
-    known = F.count(_fixed(c))
+    known = F.count(_finite(c))
     return F.when(known > 0, exact_sum(c) / known)
 
 
+def not_finite(c: Column) -> Column:
+    """How many values are NaN or infinite, which the exact sums leave out."""
+    return F.count(F.when(c.isNotNull() & _finite(c).isNull(), 1))
+
+
 def half_up(c: Column, places: int = 0) -> Column:
     """Rounded, halves away from zero."""
     return F.round(c, places)

@@ -51,7 +51,9 @@ def asc(name: str) -> Column:
 
 def top_k(df: DataFrame, order: Sequence[Column], n: int = DEFAULT_LIMIT) -> DataFrame:
     """First ``n`` rows in the given order; each task keeps only its own best ``n``."""
-    return df.orderBy(*order).limit(check_limit(n))
+    if n < 1:
+        raise ValueError(f"at least one row has to be asked for, got {n}")
+    return df.orderBy(*order).limit(n)
 
 
 def page(
@@ -62,28 +64,51 @@ def page(
     sort_by: str | None = None,
     sort_order: str = "asc",
 ) -> DataFrame:
-    """One page of a stable order: ``sort_by``, then the unique column."""
+    """One page of a stable order: ``sort_by``, then the unique column.
+
+    Tasks keep all rows up to the end of the page; for deep pages use ``page_after``.
+    """
     if page_no < 1:
         raise ValueError("pages are numbered from 1")
     if sort_order not in ("asc", "desc"):
         raise ValueError("sort_order is 'asc' or 'desc'")
     direction = asc if sort_order == "asc" else desc
     order = ([direction(sort_by)] if sort_by else []) + [asc(unique)]
-    size = check_limit(page_size)
-    return df.orderBy(*order).offset((page_no - 1) * size).limit(size)
+    if page_size < 1:
+        raise ValueError(f"a page has at least one row, got {page_size}")
+    return df.orderBy(*order).offset((page_no - 1) * page_size).limit(page_size)
+
+
+def page_after(
+    df: DataFrame,
+    unique: str,
+    last: object | None,
+    page_size: int = DEFAULT_LIMIT,
+) -> DataFrame:
+    """The page behind the row whose unique value is ``last`` (None: the first page), by that
+    column. The seek is a filter on the scan, so a deep page costs as much as the first."""
+    rows = df if last is None else df.where(F.col(unique) > F.lit(last))
+    return top_k(rows, [asc(unique)], page_size)
 
 
 def pivot_sum(
     df: DataFrame, rows: Sequence[str], column: str, values: Mapping[int, str], measure: str
 ) -> DataFrame:
-    """Zero-filled matrix: one output column per listed value, plus the row total.
+    """Zero-filled matrix: one output column per listed value, ``other`` for the rest (values not
+    listed and NULL), and the row total over all.
 
     The values are given, so no extra job looks for them.
     """
-    names = list(values.values())
-    matrix = df.groupBy(*rows).pivot(column, list(values)).agg(F.sum(measure))
+    listed = F.col(column).isin(list(values))
+    sums = {
+        name: F.coalesce(F.sum(F.when(F.col(column) == v, F.col(measure))), F.lit(0))
+        for v, name in values.items()
+    }
+    sums["other"] = F.coalesce(
+        F.sum(F.when(~F.coalesce(listed, F.lit(False)), F.col(measure))), F.lit(0)
+    )
     return (
-        matrix.withColumnsRenamed({str(v): name for v, name in values.items()})
-        .na.fill(0, names)
-        .withColumn("row_total", reduce(add, [F.col(n) for n in names]))
+        df.groupBy(*rows)
+        .agg(*[c.alias(name) for name, c in sums.items()])
+        .withColumn("row_total", reduce(add, [F.col(n) for n in sums]))
     )

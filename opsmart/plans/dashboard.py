@@ -87,11 +87,16 @@ def busiest_window(peaks: DataFrame) -> DataFrame:
 
 
 def technician_matrix(load: DataFrame, period: str = ALL_PERIODS) -> DataFrame:
-    """Technician x priority counts, zero-filled, largest total first."""
+    """Technician x priority counts, zero-filled, largest total first.
+
+    Keyed by id: technicians who share a name, or have none, stay apart. ``other`` counts the
+    priorities without a column.
+    """
     rows = load.where(F.col("period") == period)
-    matrix = pivot_sum(rows, ["last_updater_full_name"], "priority_code", PRIORITY_COLUMNS, "ticket_count")
+    keys = ["last_updater_user_id", "last_updater_full_name"]
+    matrix = pivot_sum(rows, keys, "priority_code", PRIORITY_COLUMNS, "ticket_count")
     return matrix.withColumnRenamed("last_updater_full_name", "technician").orderBy(
-        desc("row_total"), asc("technician")
+        desc("row_total"), asc("technician"), asc("last_updater_user_id")
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from opsmart.contracts import SERVING, landing_schema, serving_tables
 from opsmart.operators.audit import observed
 from opsmart.plans import dims, gold_reservations, gold_space, gold_tickets, silver
-from opsmart.session import shuffles_for
+from opsmart.session import pin, shuffles_for
 from opsmart.sources import lake, landing, publish
 
 CSV_ENTITIES = ("space_repartition",)
@@ -25,6 +25,7 @@ def ingest(
     spark: SparkSession, entity: str, landing_root: str, bronze_root: str, run_ts: Column | None = None
 ) -> dict[str, object]:
     """Landing to bronze: load the days bronze lacks; nothing to do is not an error."""
+    pin(spark)
     src, dst = f"{landing_root}/{entity}", f"{bronze_root}/{entity}"
     if entity in CSV_ENTITIES:
         return landing.ingest_csv(spark, src, dst, entity, run_ts)
@@ -40,6 +41,7 @@ def build_silver(
     spark: SparkSession, entity: str, bronze_root: str, silver_root: str, run_ts: Column | None = None
 ) -> dict[str, int]:
     """Newest bronze day to a silver snapshot; returns the audit counts."""
+    pin(spark)
     column = landing.CSV_PARTITION if entity in CSV_ENTITIES else lake.INGESTION_DATE
     root = f"{bronze_root}/{entity}"
     bronze = lake.read_latest(spark, root, column)

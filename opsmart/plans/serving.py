@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from opsmart.functions.text import as_text, stamp_text
 from opsmart.functions.times import ALL_PERIODS
-from opsmart.operators.select import DEFAULT_LIMIT, asc, desc, filter_optional, page, top_k
+from opsmart.operators.select import DEFAULT_LIMIT, asc, check_limit, desc, filter_optional, page, top_k
 
 BUILT = "gold_kpi_build_ts"
 
@@ -50,7 +50,7 @@ def space_by_site(mart: DataFrame) -> DataFrame:
 
 def _site_split(mart: DataFrame, site: str, kind: str, measures: Sequence[str]) -> DataFrame:
     types = {"sum_area_m2": "double"}
-    zeroed = [or_zero(m, types.get(m, "int")) for m in measures]
+    zeroed = [or_zero(m, types.get(m, "bigint")) for m in measures]
     rows = mart.where(F.col("site") == site).select("site", kind, *zeroed, _as_of())
     return rows.orderBy(desc("spaces_count"), asc(kind))
 
@@ -179,7 +179,7 @@ def ticket_list(
         stamp_text(F.col("updated_ts")).alias("last_updated"),
         stamp_text(F.col("solved_ts")).alias("resolution_date"),
     )
-    return page(shaped, "ticket_id", page_no, page_size, sort_by, sort_order)
+    return page(shaped, "ticket_id", page_no, check_limit(page_size), sort_by, sort_order)
 
 
 # --- reservations -------------------------------------------------------------------------
@@ -197,7 +197,7 @@ def _shown(enriched: DataFrame) -> DataFrame:
 
 def _newest(enriched: DataFrame, limit: int) -> DataFrame:
     # Sort and cut on the typed columns, format the surviving rows only.
-    return _shown(top_k(enriched, [desc("start_ts"), desc("reservation_id")], limit))
+    return _shown(top_k(enriched, [desc("start_ts"), desc("reservation_id")], check_limit(limit)))
 
 
 def reservation_cards(mart: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def reservations_of_item(enriched: DataFrame, item_id: int, limit: int = DEFAULT
 
 
 def _most_reserved(mart: DataFrame, key: str, limit: int) -> DataFrame:
-    best = top_k(mart, [desc("reservations_count"), asc(key)], limit)
+    best = top_k(mart, [desc("reservations_count"), asc(key)], check_limit(limit))
     return best.select(*_without(mart, BUILT), _built())
 
 

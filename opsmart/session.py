@@ -16,7 +16,7 @@ RESULT_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Settings that only change speed; a cluster's own values win.
+# Settings that only change speed; values the session already has win.
 # - AQE coalesces small shuffle partitions, splits skewed join partitions and turns a
 #   sort-merge join into a broadcast join once the measured side is small enough.
 # - advisoryPartitionSizeInBytes keeps a reduce task well inside executor memory.
@@ -34,9 +34,14 @@ def build_session(app: str = "opsmart", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**TUNING_CONF, **conf, **RESULT_CONF}.items():
+    for key, value in {**conf, **RESULT_CONF}.items():
         builder = builder.config(key, value)
-    return pin(builder.getOrCreate())
+    spark = pin(builder.getOrCreate())
+    given = spark.sparkContext.getConf()
+    for key, value in TUNING_CONF.items():
+        if key not in conf and not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def pin(spark: SparkSession) -> SparkSession:
@@ -72,19 +77,34 @@ def stored_bytes(spark: SparkSession, paths: list[str]) -> int:
     return total
 
 
+def shuffle_partitions(size: int, least: int, most: int, target: int = 128 << 20) -> int:
+    """Partitions of ``target`` bytes for ``size`` bytes, between ``least`` and ``most``."""
+    return max(least, min(most, math.ceil(size / target)))
+
+
 @contextmanager
 def shuffles_for(
-    spark: SparkSession, paths: list[str], target: int = 128 << 20, expansion: int = 4
+    spark: SparkSession,
+    paths: list[str],
+    target: int = 128 << 20,
+    expansion: int = 4,
+    per_core: int = 32,
 ) -> Iterator[int]:
     """Enough shuffle partitions for jobs over ``paths``; the former number returns afterwards.
 
-    One partition per ``target`` bytes of input, decompressed by ``expansion``, and never fewer
-    than the session has. Too many do no harm - AQE merges small ones - while too few would make
-    reduce tasks spill, and AQE cannot split the shuffle of an aggregation or a window.
+    One partition per ``target`` bytes of input, decompressed by ``expansion``, never fewer than the
+    session has and at most ``per_core`` for each of its cores: the driver tracks one output per map
+    task and partition, so their number must not follow the input without bound. Beyond that bound
+    partitions grow, and spill.
     """
     key = "spark.sql.shuffle.partitions"
     before = int(spark.conf.get(key))
-    wanted = max(before, math.ceil(stored_bytes(spark, paths) * expansion / target))
+    wanted = shuffle_partitions(
+        stored_bytes(spark, paths) * expansion,
+        before,
+        per_core * spark.sparkContext.defaultParallelism,
+        target,
+    )
     spark.conf.set(key, str(wanted))
     try:
         yield wanted

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LOG = logging.getLogger(__name__)
 INGESTION_DATE = "ingestion_date"
 _DATE = r"\d{4}-\d{2}-\d{2}"
 
@@ -29,9 +32,14 @@ def partition_dates(spark: SparkSession, root: str, column: str = INGESTION_DATE
 
 
 def has_files(spark: SparkSession, folder: str) -> bool:
-    """Whether a folder holds at least one non-hidden file."""
+    """Whether a folder holds at least one non-hidden file; one that cannot be listed is reported
+    and holds none."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    try:
+        listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    except Py4JJavaError as error:
+        _LOG.warning("skipped %s: %s", folder, error.java_exception)
+        return False
     return any(s.isFile() and not s.getPath().getName().startswith(("_", ".")) for s in listing)
 
 
@@ -42,8 +50,13 @@ def missing_dates(
     landing_column: str = INGESTION_DATE,
     bronze_column: str = INGESTION_DATE,
 ) -> list[str]:
-    """Landing dates that bronze does not have yet, oldest first."""
-    done = set(partition_dates(spark, bronze, bronze_column))
+    """Landing dates that bronze does not have yet, oldest first; an empty bronze folder is not
+    a loaded day."""
+    done = {
+        d
+        for d in partition_dates(spark, bronze, bronze_column)
+        if has_files(spark, f"{bronze}/{bronze_column}={d}")
+    }
     return [d for d in partition_dates(spark, landing, landing_column) if d not in done]
 
 

@@ -56,8 +56,9 @@ def test_to_int(spark):
 
 
 def test_to_long_is_exact(spark):
-    values = ["9007199254740993", "null", " 7 ", "x", None]
-    assert one_column(spark, numbers.to_long, values) == [9007199254740993, None, 7, None, None]
+    values = ["9007199254740993", "null", " 7 ", "x", None, "12.0", "1e3", "12,0", "99999999999999999999"]
+    expected = [9007199254740993, None, 7, None, None, 12, 1000, 12, None]
+    assert one_column(spark, numbers.to_long, values) == expected
 
 
 def test_to_double(spark):
@@ -66,7 +67,8 @@ def test_to_double(spark):
 
 
 def test_is_one(spark):
-    assert one_column(spark, numbers.is_one, ["1", "0", "2", "x", None]) == [True, False, False, None, None]
+    values = ["1", "0", "2", "x", None, "1.0"]
+    assert one_column(spark, numbers.is_one, values) == [True, False, False, None, None, True]
 
 
 @pytest.mark.parametrize(
@@ -110,6 +112,12 @@ def test_exact_sum_leaves_out_what_is_no_number(spark):
     df = spark.createDataFrame([(1.5,), (float("nan"),), (float("inf"),), (None,), (2.0,)], "x double")
     row = df.agg(numbers.exact_sum(F.col("x")), numbers.exact_avg(F.col("x"))).first()
     assert tuple(row) == (3.5, 1.75)
+    assert df.agg(numbers.not_finite(F.col("x"))).first()[0] == 2
+
+
+def test_exact_sum_keeps_large_values(spark):
+    df = spark.createDataFrame([(2e18,), (1.0,), (1e30,), (-1e30,)], "x double")
+    assert df.agg(numbers.exact_sum(F.col("x"))).first()[0] == 2e18 + 1
 
 
 def test_parse_ts(spark):

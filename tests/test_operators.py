@@ -102,9 +102,21 @@ def test_filter_optional(facts):
 
 
 def test_limits_are_checked(facts):
+    with pytest.raises(ValueError):
+        select.top_k(facts, [select.asc("id")], 0)
     for n in (0, 10_001):
         with pytest.raises(ValueError):
-            select.top_k(facts, [select.asc("id")], n)
+            select.check_limit(n)
+    assert select.top_k(facts, [select.asc("id")], 20_000).count() == 5
+
+
+def test_seek_paging(facts):
+    def ids(*args):
+        return [r.id for r in select.page_after(facts, "id", *args).collect()]
+
+    assert (ids(None, 2), ids(2, 2), ids(4, 2), ids(5, 2)) == ([1, 2], [3, 4], [5], [])
+    plan = select.page_after(facts, "id", 2, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "offset" not in plan.lower()
 
 
 def test_null_order_of_the_serving_database(facts):
@@ -132,7 +144,7 @@ def test_page(facts):
 def test_pivot_sum_fills_zeros(spark):
     df = spark.createDataFrame([("t", 5, 2), ("t", 5, 1), ("t", 9, 7), ("u", 6, 4)], "who string, code int, n int")
     out = select.pivot_sum(df, ["who"], "code", {6: "major", 5: "high"}, "n")
-    assert rows(out) == [("t", 0, 3, 3), ("u", 4, 0, 4)]
+    assert rows(out) == [("t", 0, 3, 7, 10), ("u", 4, 0, 0, 4)]
 
 
 def test_key_report_and_require_unique(facts):

@@ -170,13 +170,19 @@ def test_shared_dir_needs_a_shared_folder_on_a_cluster(spark):
     assert session.shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_shuffle_partitions_are_bounded():
+    assert session.shuffle_partitions(400 << 40, 200, 32 * 4000) == 128_000
+    assert session.shuffle_partitions(1 << 40, 200, 128_000) == 8192
+    assert session.shuffle_partitions(1, 200, 128_000) == 200
+
+
 def test_shuffle_partitions_follow_the_input(spark, folder):
     lake.replace_snapshot(spark.range(10_000).repartition(2), f"{folder}/t")
     size = session.stored_bytes(spark, [f"{folder}/t", f"{folder}/none"])
     assert size > 0
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    with session.shuffles_for(spark, [f"{folder}/t"], target=size // 50, expansion=1) as n:
+    with session.shuffles_for(spark, [f"{folder}/t"], target=size // 50, expansion=1, per_core=99) as n:
         assert 50 <= n <= 52 and spark.conf.get(key) == str(n)
     assert spark.conf.get(key) == before
     with session.shuffles_for(spark, [f"{folder}/t"]) as n:
