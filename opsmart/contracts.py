@@ -27,10 +27,6 @@ LANDING_FIELDS = {
     "computers": "id name",
 }
 
-SPACE_FIELDS = """
-    viilage etage salle etat nom_de_lorganisation type_de_lorganisation type_de_lespace
-    activite nb_employes capacite_totale surface_m2"""
-
 
 def landing_schema(entity: str) -> T.StructType:
     """All-text schema of one landing entity."""

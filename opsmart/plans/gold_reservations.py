@@ -102,11 +102,18 @@ def _invalid_count() -> Column:
 
 
 def cards_current(reservations: DataFrame, run_ts: Column | None = None) -> DataFrame:
-    """Totals over all reservations, as one row."""
-    kpis = reservations.agg(
-        F.count(F.lit(1)).alias("total_reservations"),
-        *hour_aggs(),
-        _invalid_count(),
+    """Totals over all reservations, as one row.
+
+    The fact is reduced to (item, user) first, so both distinct counts expand only that result.
+    """
+    pairs = reservations.groupBy("reservation_item_id", "user_id").agg(
+        F.count(F.lit(1)).alias("_rows"), *hour_aggs(), _invalid_count()
+    )
+    kpis = pairs.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_reservations"),
+        F.sum("_seconds").alias("_seconds"),
+        F.coalesce(F.sum("_timed"), F.lit(0)).alias("_timed"),
+        F.coalesce(F.sum("invalid_duration_count"), F.lit(0)).alias("invalid_duration_count"),
         F.countDistinct("reservation_item_id").alias("distinct_items"),
         F.countDistinct("user_id").alias("distinct_users"),
     )

@@ -183,8 +183,8 @@ INCIDENT = 1
 
 
 def count_by(tickets: DataFrame, key: str) -> DataFrame:
-    """Row count per value of one column."""
-    return counted(tickets, key, name="count")
+    """Row count per value of one column, most frequent first."""
+    return counted(tickets, key, name="count").orderBy(F.desc("count"), F.asc_nulls_first(key))
 
 
 def of_type(tickets: DataFrame, type_code: int = INCIDENT) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opsmart.contracts import SERVING, landing_schema, serving_tables
 from opsmart.operators.audit import observed
@@ -34,18 +35,22 @@ def ingest(
 
 def build_dimensions(spark: SparkSession, silver_root: str, site: str = dims.DEFAULT_SITE) -> None:
     """Write the literal code tables."""
+    pin(spark)
     dims.write_code_tables(spark, silver_root, site)
 
 
 def build_silver(
     spark: SparkSession, entity: str, bronze_root: str, silver_root: str, run_ts: Column | None = None
 ) -> dict[str, int]:
-    """Newest bronze day to a silver snapshot; returns the audit counts."""
+    """Newest bronze day to a silver snapshot; returns the audit counts: rows, and rows of them
+    whose id could not be read."""
     pin(spark)
     column = landing.CSV_PARTITION if entity in CSV_ENTITIES else lake.INGESTION_DATE
     root = f"{bronze_root}/{entity}"
     bronze = lake.read_latest(spark, root, column)
-    out, audit = observed(silver.BUILDERS[entity](bronze, run_ts), f"silver_{entity}")
+    key = silver.KEYS.get(entity)
+    unkeyed = {"unreadable_ids": F.count_if(F.col(key).isNull())} if key else {}
+    out, audit = observed(silver.BUILDERS[entity](bronze, run_ts), f"silver_{entity}", **unkeyed)
     with shuffles_for(spark, [lake.latest_folder(spark, root, column)]):
         lake.replace_snapshot(out, f"{silver_root}/{entity}")
     return audit.get
@@ -104,6 +109,16 @@ BUILDERS: dict[str, Builder] = {
 }
 
 
+#: How the enriched facts are stored, after the filters of the serving queries: reservations in a
+#: folder per month, tickets in ranges of creation time (the id splits rows without one).
+FACT_LAYOUT = {
+    "reservations_enriched_current": {
+        "partition_by": "start_month",
+        "cluster_by": ("user_id", "reservation_item_id"),
+    },
+    "tickets_enriched": {"cluster_by": ("created_ts", "ticket_id")},
+}
+
 SILVER_OF = {
     "space": ["space_repartition"],
     "reservations": ["reservations", "users", "reserveditems"],
@@ -119,12 +134,14 @@ def build_gold(
     KPI marts scan the stored silver table (two to four columns each); the space KPIs read the
     stored room mart, which is already one row per room.
     """
+    pin(spark)
     paths = {t: f"{silver_root}/{t}" for t in SILVER_OF[domain]}
     tables = {t: lake.read_table(spark, path) for t, path in paths.items()}
-    with shuffles_for(spark, list(paths.values())):
+    with shuffles_for(spark, [lake.current_version(spark, p) or p for p in paths.values()]):
         for name in SERVING[domain]:
             path = f"{gold_root}/{domain}/{name}"
-            lake.replace_snapshot(BUILDERS[name](tables, run_ts), path)
+            layout = FACT_LAYOUT.get(name, {})
+            lake.replace_snapshot(BUILDERS[name](tables, run_ts), path, **layout)
             if name == ROOM_MART:
                 tables[name] = lake.read_table(spark, path)
     return list(SERVING[domain])
@@ -135,7 +152,15 @@ def gold_paths(gold_root: str) -> dict[str, str]:
     return {table: f"{gold_root}/{domain}/{table}" for table, domain in serving_tables().items()}
 
 
-def publish_gold(spark: SparkSession, domain: str, gold_root: str, target: publish.JdbcTarget) -> list[str]:
+def publish_gold(
+    spark: SparkSession,
+    domain: str,
+    gold_root: str,
+    target: publish.JdbcTarget,
+    fact_partitions: int = publish.FACT_PARTITIONS,
+    kpi_partitions: int = publish.KPI_PARTITIONS,
+) -> list[str]:
     """Send a domain's stored gold tables to the serving database."""
+    pin(spark)
     gold = {t: lake.read_table(spark, f"{gold_root}/{domain}/{t}") for t in SERVING[domain]}
-    return publish.publish_domain(domain, gold, target)
+    return publish.publish_domain(domain, gold, target, fact_partitions, kpi_partitions)

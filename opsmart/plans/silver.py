@@ -1,7 +1,8 @@
 """Bronze to silver: one cleaned, typed row per business key.
 
 Every builder is a single projection (one pass, no shuffle) followed by ``latest_per_key``,
-whose map-side limit leaves at most one row per key and task to shuffle.
+whose map-side limit leaves at most one row per key and task to shuffle. Rows whose id cannot be
+read are kept one by one, spread over the tasks.
 """
 
 from __future__ import annotations
@@ -62,8 +63,11 @@ def _business(columns: dict[str, Column], *keys: str) -> list[str]:
 
 
 def _versioned(df: DataFrame, columns: dict[str, Column], key: str, newest: list[str]) -> DataFrame:
-    rows = _project(df, columns)
-    return latest_per_key(rows, [key], newest, [c for c in _business(columns, key) if c not in newest])
+    """One row per key; rows without a readable key are no versions of each other and all stay."""
+    apart = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    rows = _project(df, columns).withColumn("_unkeyed", apart)
+    ties = [c for c in _business(columns, key) if c not in newest]
+    return latest_per_key(rows, [key, "_unkeyed"], newest, ties).drop("_unkeyed")
 
 
 def users(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
@@ -193,6 +197,14 @@ def rooms(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
     return conform(typed, silver_schema("space_repartition"))
 
 
+#: Business key of each table that has one.
+KEYS = {
+    "users": "user_id",
+    "tickets": "ticket_id",
+    "reservations": "reservation_id",
+    "reserveditems": "reservation_item_id",
+}
+
 BUILDERS = {
     "users": users,
     "tickets": tickets,

@@ -1,18 +1,62 @@
-"""Date-partitioned and snapshot tables on shared storage (Parquet)."""
+"""Date-partitioned and snapshot tables on shared storage (Parquet).
+
+A day of a date-partitioned table counts as loaded once its manifest, the list of its files, is
+written after the job's commit. A snapshot is a folder of versions; a version is visible once its
+mark is written after the commit, and the former version stays for readers that still use it.
+"""
 
 from __future__ import annotations
 
+import json
 import logging
 import re
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOG = logging.getLogger(__name__)
 INGESTION_DATE = "ingestion_date"
 _DATE = r"\d{4}-\d{2}-\d{2}"
+_MANIFESTS = "_loaded"
+_VERSIONS = "_versions"
+_MARK = "_COMMITTED"
+
+
+def _located(spark: SparkSession, name: str):
+    """The Hadoop file system of a path, and the path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _write_text(spark: SparkSession, name: str, text: str) -> None:
+    fs, path = _located(spark, name)
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, name: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    fs, path = _located(spark, name)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the entries of a folder; none if it is missing."""
+    fs, path = _located(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
 
 def partition_dates(spark: SparkSession, root: str, column: str = INGESTION_DATE) -> list[str]:
@@ -22,27 +66,40 @@ def partition_dates(spark: SparkSession, root: str, column: str = INGESTION_DATE
     and the answer has one entry per day. Other folder names are ignored; a missing root has no
     dates.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
     pattern = re.compile(f"{re.escape(column)}=({_DATE})")
-    names = (status.getPath().getName() for status in fs.listStatus(path))
-    return sorted({m.group(1) for m in map(pattern.fullmatch, names) if m})
+    return sorted({m.group(1) for m in map(pattern.fullmatch, _names(spark, root)) if m})
+
+
+def _data_files(spark: SparkSession, folder: str) -> list[str]:
+    return sorted(n for n in _names(spark, folder) if not n.startswith(("_", ".")))
 
 
 def has_files(spark: SparkSession, folder: str) -> bool:
     """Whether a folder holds at least one non-hidden file; one that cannot be listed is reported
     and holds none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs, path = _located(spark, folder)
     try:
-        listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        listing = fs.listStatus(path)
     except Py4JJavaError as error:
         _LOG.warning("skipped %s: %s", folder, error.java_exception)
         return False
     return any(s.isFile() and not s.getPath().getName().startswith(("_", ".")) for s in listing)
 
 
+def _manifest(root: str, column: str, day: str) -> str:
+    return f"{root}/{_MANIFESTS}/{column}={day}"
+
+
+def is_loaded(spark: SparkSession, root: str, day: str, column: str = INGESTION_DATE) -> bool:
+    """Whether the day's manifest is whole and all files it lists are there."""
+    text = _read_text(spark, _manifest(root, column, day))
+    count, _, rest = (text or "").partition("\n")
+    files = rest.split("\n") if rest else []
+    if count != str(len(files)):
+        return False
+    return set(files) <= set(_data_files(spark, f"{root}/{column}={day}"))
+
+
 def missing_dates(
     spark: SparkSession,
     landing: str,
@@ -50,19 +107,22 @@ def missing_dates(
     landing_column: str = INGESTION_DATE,
     bronze_column: str = INGESTION_DATE,
 ) -> list[str]:
-    """Landing dates that bronze does not have yet, oldest first; an empty bronze folder is not
-    a loaded day."""
-    done = {
-        d
-        for d in partition_dates(spark, bronze, bronze_column)
-        if has_files(spark, f"{bronze}/{bronze_column}={d}")
-    }
-    return [d for d in partition_dates(spark, landing, landing_column) if d not in done]
+    """Landing dates that bronze does not have yet, oldest first.
+
+    An empty or half-written bronze folder is not a loaded day: the manifest decides.
+    """
+    dates = partition_dates(spark, landing, landing_column)
+    return [d for d in dates if not is_loaded(spark, bronze, d, bronze_column)]
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table."""
-    return spark.read.parquet(path)
+    """A stored table; of a snapshot its newest committed version."""
+    version = current_version(spark, path)
+    if version is None:
+        return spark.read.parquet(path)
+    # The stored schema keeps the types of partition columns, whose folder names hold only text.
+    schema = T.StructType.fromJson(json.loads(_read_text(spark, f"{version}/{_MARK}")))
+    return spark.read.schema(schema).parquet(version).select(*[f"`{n}`" for n in schema.names])
 
 
 def latest_folder(spark: SparkSession, root: str, column: str = INGESTION_DATE) -> str:
@@ -90,23 +150,86 @@ def latest_partition(df: DataFrame, column: str = INGESTION_DATE) -> DataFrame:
     return df.where(F.col(column) == F.lit(newest))
 
 
-def replace_partitions(df: DataFrame, root: str, column: str = INGESTION_DATE) -> None:
-    """Write a frame so that only the dates it contains are replaced."""
+def replace_partitions(
+    df: DataFrame, root: str, column: str = INGESTION_DATE, days: Sequence[str] | None = None
+) -> None:
+    """Write a frame so that only the dates it contains are replaced, then record those days.
+
+    ``days`` names the days the frame was read from; by default the days found in it are recorded.
+    Named days lose their manifest before the write, so a write that fails midway leaves them to be
+    loaded again.
+    """
+    spark, seen = df.sparkSession, Observation()
+    for day in days or ():
+        fs, path = _located(spark, _manifest(root, column, day))
+        fs.delete(path, False)
+    out = df.observe(seen, F.collect_set(F.col(column).cast("string")).alias("days"))
     (
-        df.write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(root)
     )
-
-
-def replace_snapshot(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
-    """Replace a whole table, schema included. ``df`` must not read ``path``.
-
-    ``rows_per_file`` bounds the files a task writes (0 = no bound): later scans of a small table
-    can then use several tasks, without a shuffle before this write.
+    for day in sorted({*(days or ()), *seen.get["days"]}):
+        files = _data_files(spark, f"{root}/{column}={day}")
+        _write_text(spark, _manifest(root, column, day), "\n".join([str(len(files)), *files]))
+
+
+def _committed(spark: SparkSession, path: str) -> list[str]:
+    """Names of the committed versions of a snapshot, oldest first."""
+    folder = f"{path}/{_VERSIONS}"
+    found = sorted(n for n in _names(spark, folder) if n.startswith("v-"))
+    return [n for n in found if _MARK in _names(spark, f"{folder}/{n}")]
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest committed version; None for a table that is no snapshot."""
+    folder = f"{path}/{_VERSIONS}"
+    fs, root = _located(spark, folder)
+    if not fs.exists(root):
+        return None
+    versions = _committed(spark, path)
+    if not versions:
+        raise ValueError(f"no committed version of {path}")
+    return f"{folder}/{versions[-1]}"
+
+
+def replace_snapshot(
+    df: DataFrame,
+    path: str,
+    rows_per_file: int = 0,
+    partition_by: str | None = None,
+    cluster_by: Sequence[str] = (),
+) -> None:
+    """Replace a whole table, schema included, by a new version.
+
+    Readers see the former version until the new one is committed; a failed write changes nothing.
+    ``df`` may read the table itself. Two versions are kept, older and failed ones are deleted.
+
+    ``rows_per_file`` bounds the files a task writes (0 = no bound). ``partition_by`` stores a folder
+    per value of one column: rows are rebalanced on it, so that AQE splits a value with very many
+    rows, and sorted by ``cluster_by`` inside. ``cluster_by`` alone stores ranges of those columns.
+    Either way the statistics of files and row groups let filters on them skip data.
     """
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+    spark, folder = df.sparkSession, f"{path}/{_VERSIONS}"
+    before = _names(spark, folder)
+    kept = _committed(spark, path)[-1:]
+    number = 1 + max((int(n.split("-")[1]) for n in before if n.startswith("v-")), default=0)
+    version = f"{folder}/v-{number:010d}-{uuid.uuid4().hex[:8]}"
+    out = df
+    if partition_by is not None:
+        out = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster_by)
+    elif cluster_by:
+        out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    writer = out.write.option("maxRecordsPerFile", rows_per_file)
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(version)
+    _write_text(spark, f"{version}/{_MARK}", df.schema.json())
+    for name in before:
+        if name not in kept:
+            fs, old = _located(spark, f"{folder}/{name}")
+            fs.delete(old, True)
 
 
 def register_catalogue(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ import re
 import unicodedata
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ JSON_SYSTEM = "glpi"
 CSV_SYSTEM = "drive_csv"
 CSV_PARTITION = "_ingestion_date"
 CORRUPT = "_corrupt_record"
+EXTRA = "_extra_fields"
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
@@ -53,34 +55,98 @@ def clean_names(names: Sequence[str]) -> list[str]:
     return out
 
 
+def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """JSON lines (column ``value``) as declared text fields, with nothing lost.
+
+    Fields beyond ``schema`` are kept in the map ``_extra_fields`` (NULL if there are none), a broken
+    line in ``_corrupt_record``. A line that holds a list gives one row for each of its elements.
+    The schema is fixed, so there is no inference pass and bronze does not drift from day to day.
+    """
+    others = [c for c in lines.columns if c != "value"]
+    listed = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>"))
+    records = lines.where(F.col("value").rlike(r"\S")).select(
+        *others, F.explode(F.coalesce(listed, F.array("value"))).alias("_record")
+    )
+    declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    known = [F.lit(name) for name in schema.names]
+    parsed = records.select(
+        *others,
+        F.from_json("_record", declared, {"columnNameOfCorruptRecord": CORRUPT}).alias("_fields"),
+        F.map_filter(
+            F.from_json("_record", "map<string,string>"), lambda name, _: ~name.isin(known)
+        ).alias(EXTRA),
+    )
+    extra = F.when(F.size(EXTRA) > 0, F.col(EXTRA)).alias(EXTRA)
+    return parsed.select("_fields.*", extra, *others)
+
+
 def read_json_day(
     spark: SparkSession, folders: Sequence[str], schema: T.StructType | None, base: str
 ) -> DataFrame:
     """JSON-lines scan of day folders; the day is the partition column.
 
-    With a schema there is no inference pass, and a broken line is kept in
-    ``_corrupt_record`` instead of being lost.
+    With a schema every line goes through ``parse_lines``; without one Spark infers the fields.
     """
-    reader = spark.read.option("basePath", base).option("multiLine", "false")
-    if schema is not None:
-        reader = reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.json(list(folders))
+    reader = spark.read.option("basePath", base)
+    if schema is None:
+        return reader.option("multiLine", "false").json(list(folders))
+    lines = reader.text(list(folders)).withColumn("_source_file", F.col("_metadata.file_path"))
+    return parse_lines(lines, schema)
 
 
-def read_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """CSV scan of one folder: every value as text, cleaned header names.
+def _files_by_header(spark: SparkSession, folders: Sequence[str]) -> list[list[str]]:
+    """The CSV files of ``folders``, grouped by header line.
+
+    One text scan with a minimum per file gives the headers; only file names and headers reach the
+    driver, which lists the files for every scan anyway. A header that a quoted line break splits is
+    not compared: its file is a group of its own.
+    """
+    lines = spark.read.text(list(folders)).where(
+        (F.col("_metadata.file_block_start") == 0) & F.col("value").rlike(r"\S")
+    )
+    placed = lines.select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")
+    )
+    headers = placed.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for file, header in sorted(tuple(r) for r in headers.collect()):
+        whole = header.count('"') % 2 == 0
+        groups.setdefault(header if whole else file, []).append(unquote(file))
+    return list(groups.values())
+
+
+def csv_scans(spark: SparkSession, folders: Sequence[str]) -> list[DataFrame]:
+    """One scan for each distinct header among the files of ``folders``: every value as text,
+    cleaned header names, and the file each row comes from.
 
     ``multiLine`` keeps a file in one task, so exports should come as many files.
     """
-    raw = spark.read.options(**CSV_OPTIONS).csv(folder)
-    return raw.toDF(*clean_names(raw.columns))
+    scans = []
+    for files in _files_by_header(spark, folders):
+        raw = spark.read.options(**CSV_OPTIONS).csv(files)
+        file = F.col("_metadata.file_path")
+        # The position stands for the name until the names are clean.
+        numbered = raw.toDF(*[f"_c{i}" for i in range(len(raw.columns))])
+        named = [F.col(f"_c{i}").alias(n) for i, n in enumerate(clean_names(raw.columns))]
+        scans.append(numbered.select(*named, file.alias("_source_file")))
+    return scans
+
+
+def _united(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_csv(spark: SparkSession, *folders: str) -> DataFrame:
+    """The CSV files of the folders, united by column name; a column a file lacks is NULL there."""
+    return _united(csv_scans(spark, folders)).drop("_source_file")
 
 
 def with_lineage(df: DataFrame, system: str, run_ts: Column, stamp: str) -> DataFrame:
-    """Source file, source system and ingest time of each row. Call it right on a scan."""
+    """Source file, source system and ingest time of each row. Call it right on a scan, unless the
+    frame already has its source files."""
+    file = "_source_file" if "_source_file" in df.columns else "_metadata.file_path"
     return df.withColumns(
-        {"_source_file": F.col("_metadata.file_path"), "_source_system": F.lit(system), stamp: run_ts}
+        {"_source_file": F.col(file), "_source_system": F.lit(system), stamp: run_ts}
     )
 
 
@@ -104,31 +170,29 @@ def ingest_json(
     days = read_json_day(spark, folders, schema, landing)
     stamped = with_lineage(days, JSON_SYSTEM, when_.run_stamp(run_ts), "_ingest_bronze_ts")
     out, audit = observed(stamped, "ingest_json")
-    lake.replace_partitions(out, bronze)
-    return {"dates": [f.rsplit("=", 1)[1] for f in folders], "rows": audit.get["rows"]}
+    loaded = [f.rsplit("=", 1)[1] for f in folders]
+    lake.replace_partitions(out, bronze, days=loaded)
+    return {"dates": loaded, "rows": audit.get["rows"]}
 
 
 def ingest_csv(
     spark: SparkSession, landing: str, bronze: str, entity: str, run_ts: Column | None = None
 ) -> dict[str, object]:
-    """The same for CSV exports, whose columns come from each day's own header.
+    """The same for CSV exports, whose columns come from each file's own header.
 
-    Days are united by column name, so a reordered header does not shift values; a column a day
-    lacks is NULL there.
+    Files of all days are grouped by header and each group is one scan, so the plan grows with the
+    number of distinct headers, not with the number of days. Groups are united by column name: a
+    reordered header does not shift values, and a column a file lacks is NULL there.
     """
     dates = lake.missing_dates(spark, landing, bronze, bronze_column=CSV_PARTITION)
     folders = {d: f"{landing}/{lake.INGESTION_DATE}={d}" for d in dates}
     folders = {d: f for d, f in folders.items() if lake.has_files(spark, f)}
-    if not folders:
+    scans = csv_scans(spark, list(folders.values())) if folders else []
+    if not scans:
         return {"dates": [], "rows": 0}
-    stamp = when_.run_stamp(run_ts)
-    days = [
-        with_lineage(read_csv(spark, folder), CSV_SYSTEM, stamp, "_ingest_ts").withColumns(
-            {"_entity": F.lit(entity), CSV_PARTITION: F.lit(d).cast("date")}
-        )
-        for d, folder in folders.items()
-    ]
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), days)
-    out, audit = observed(together, "ingest_csv")
-    lake.replace_partitions(out, bronze, CSV_PARTITION)
+    day = F.regexp_extract("_source_file", rf"/{lake.INGESTION_DATE}=([0-9-]+)/[^/]*$", 1)
+    stamped = with_lineage(_united(scans), CSV_SYSTEM, when_.run_stamp(run_ts), "_ingest_ts")
+    stamped = stamped.withColumns({"_entity": F.lit(entity), CSV_PARTITION: day.cast("date")})
+    out, audit = observed(stamped, "ingest_csv")
+    lake.replace_partitions(out, bronze, CSV_PARTITION, list(folders))
     return {"dates": list(folders), "rows": audit.get["rows"]}

@@ -107,6 +107,20 @@ def test_silver_users(spark, built):
     ]
 
 
+def test_silver_keeps_every_row_without_a_readable_id(spark):
+    from opsmart.plans import silver
+
+    fields = "id name is_active is_deleted is_deleted_ldap date_creation date_mod last_login".split()
+    ids = ["0.0", "1.0", "1", "x", "y", "y", None]
+    stamps = ["2024-01-01", "file", "glpi", "2024-01-02 00:00:00"]
+    rows = [(i, "n", *[None] * 6, *stamps) for i in ids]
+    names = [*fields, "ingestion_date", "_source_file", "_source_system", "_ingest_bronze_ts"]
+    bronze = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    bronze = bronze.withColumn("_ingest_bronze_ts", F.col("_ingest_bronze_ts").cast("timestamp"))
+    out = [r.user_id for r in silver.users(bronze).collect()]
+    assert sorted(out, key=lambda v: -1 if v is None else v) == [None] * 4 + [0, 1]
+
+
 def test_silver_tickets(spark, built):
     one, two = table(spark, built, "silver", "tickets").orderBy("ticket_id").collect()
     assert (one.title, one.status_code, one.priority_code, one.is_deleted) == ("t1", 5, 6, 0)
@@ -148,6 +162,13 @@ def test_gold_reservations(spark, built):
     assert item.where("reservation_item_id = 10").first().reservation_item_name == "Salle COSY - Salle 4"
 
 
+def test_fact_layout_lets_filters_skip_data(spark, built):
+    fact = table(spark, built, "gold", "reservations/reservations_enriched_current")
+    plan = fact.where("start_month = '2024-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(start_month" in plan
+    assert fact.columns[0] == "reservation_id" and fact.count() == 3
+
+
 def test_running_again_changes_nothing(spark, built):
     roots = built[0]
     assert jobs.ingest(spark, "tickets", roots["landing"], roots["bronze"]) == {"dates": [], "rows": 0}

@@ -68,6 +68,33 @@ def test_ingest_json_keeps_lineage_and_broken_lines(spark, folder):
     assert good._source_file.endswith("ingestion_date=2024-01-01/part-0.json")
     assert str(good._ingest_bronze_ts) == "2024-01-05 00:00:00"
     assert (bad.id, bad._corrupt_record) == (None, "{broken")
+    assert (good._extra_fields, bad._extra_fields) == ({"extra": "5"}, None)
+
+
+def test_ingest_json_lists_blank_lines_and_nested_values(spark, folder):
+    src, dst = f"{folder}/landing", f"{folder}/bronze"
+    rows = ['[{"id": 1}, {"id": 2, "more": {"a": [1]}}]', "", "   ", '{"id": 3, "name": {"x": 1}}', "[]"]
+    export(src, "2024-01-01", rows)
+    assert landing.ingest_json(spark, src, dst, USERS)["rows"] == 3
+    out = lake.read_table(spark, dst).orderBy("id").collect()
+    assert [(r.id, r.name, r._extra_fields) for r in out] == [
+        ("1", None, None), ("2", None, {"more": '{"a":[1]}'}), ("3", '{"x":1}', None),
+    ]
+
+
+def test_only_recorded_days_are_loaded(spark, roots):
+    """An empty day, a day without manifest and a day that lost a file are loaded again."""
+    src, dst = roots
+    (Path(dst) / "ingestion_date=2024-01-02").mkdir(parents=True)
+    half = Path(dst) / "ingestion_date=2024-01-01"
+    spark.range(5).write.parquet(str(half))
+    assert landing.ingest_json(spark, src, dst, USERS)["dates"] == ["2024-01-01", "2024-01-02"]
+    assert days(spark, dst) == {"2024-01-01": 2, "2024-01-02": 1}
+    next(half.glob("*.parquet")).unlink()
+    assert landing.ingest_json(spark, src, dst, USERS)["dates"] == ["2024-01-01"]
+    assert days(spark, dst) == {"2024-01-01": 2, "2024-01-02": 1}
+    lake._write_text(spark, f"{dst}/_loaded/ingestion_date=2024-01-02", "3\npart-0")
+    assert lake.missing_dates(spark, src, dst) == ["2024-01-02", "2024-01-03"]
 
 
 def test_ingest_json_can_infer(spark, folder):
@@ -98,6 +125,30 @@ def test_snapshot_replaces_schema(spark, folder):
     assert lake.read_table(spark, path).count() == 2
 
 
+def test_failed_snapshot_changes_nothing(spark, folder):
+    path = f"{folder}/table"
+    lake.replace_snapshot(spark.range(3), path)
+    before = lake.read_table(spark, path)
+    with pytest.raises(Exception, match="broken"):
+        lake.replace_snapshot(spark.range(9).select(F.raise_error(F.lit("broken")).alias("id")), path)
+    assert lake.read_table(spark, path).count() == 3
+    lake.replace_snapshot(lake.read_table(spark, path).where("id > 0"), path)
+    assert lake.read_table(spark, path).count() == 2
+    assert before.count() == 3  # its version is still there
+    assert len(list((Path(path) / "_versions").iterdir())) == 2
+
+
+def test_snapshot_by_month_keeps_types_and_prunes(spark, folder):
+    path = f"{folder}/table"
+    rows = [("2024-01", 1), ("2024-02", 2), (None, 3)]
+    lake.replace_snapshot(spark.createDataFrame(rows, "m string, v int"), path, 0, "m", ["v"])
+    out = lake.read_table(spark, path)
+    assert out.dtypes == [("m", "string"), ("v", "int")]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(rows, key=str)
+    plan = out.where("m = '2024-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(m" in plan
+
+
 def test_partition_overwrite_leaves_other_days(spark, folder):
     path = f"{folder}/table"
     both = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "v int, ingestion_date string")
@@ -145,6 +196,32 @@ def test_ingest_csv(spark, folder):
     assert out.first()._source_system == "drive_csv"
 
 
+def test_csv_files_of_one_day_may_differ_in_header(spark, folder):
+    day = Path(folder) / "landing" / "ingestion_date=2024-01-01"
+    day.mkdir(parents=True)
+    (day / "a 1.csv").write_text("Salle,Etat\nS1,loue\n", encoding="utf-8")
+    (day / "b.csv").write_text("\nEtat,Salle,Plus\nlibre,S2,x\n", encoding="utf-8")
+    (day / "c.csv").write_text('"Sal\nle",Etat\nS3,loue\n', encoding="utf-8")
+    (day / "d.csv").write_text("", encoding="utf-8")
+    assert landing.ingest_csv(spark, f"{folder}/landing", f"{folder}/bronze", "e")["rows"] == 3
+    out = lake.read_table(spark, f"{folder}/bronze").orderBy("etat", "salle").collect()
+    assert sorted((str(r.salle), r.etat, r.plus) for r in out) == [
+        ("None", "loue", None), ("S1", "loue", None), ("S2", "libre", "x"),
+    ]
+
+
+def test_csv_plan_grows_with_headers_not_days(spark, folder):
+    folders = []
+    for n in range(300):
+        day = Path(folder) / f"ingestion_date={n:03d}"
+        day.mkdir()
+        (day / "a.csv").write_text("A,B\n1,2\n" if n % 2 else "B,A\n2,1\n", encoding="utf-8")
+        folders.append(str(day))
+    assert len(landing.csv_scans(spark, folders)) == 2
+    counts = landing.read_csv(spark, *folders).groupBy("a", "b").count().collect()
+    assert [tuple(r) for r in counts] == [("1", "2", 300)]
+
+
 def test_stream_loads_each_file_once(spark, folder):
     src, dst, state = (f"{folder}/{n}" for n in ("landing", "bronze", "state"))
     export(src, "2024-01-01", [{"id": 1}, {"id": 2}])
@@ -157,6 +234,17 @@ def test_stream_loads_each_file_once(spark, folder):
     assert days(spark, dst) == {"2024-01-01": 3, "2024-01-02": 1}
 
 
+def test_stream_and_batch_have_one_schema(spark, folder):
+    src, state = f"{folder}/landing", f"{folder}/state"
+    export(src, "2024-01-01", [{"id": 1, "extra": True}, "{broken"])
+    ingest_available(spark, src, f"{folder}/stream", state, USERS)
+    landing.ingest_json(spark, src, f"{folder}/batch", USERS)
+    frames = [lake.read_table(spark, f"{folder}/{n}").drop("_ingest_bronze_ts") for n in ("stream", "batch")]
+    assert sorted(frames[0].dtypes) == sorted(frames[1].dtypes)
+    a, b = ({str(r) for r in f.select(*sorted(f.columns)).collect()} for f in frames)
+    assert a == b and any("{broken" in r for r in a)
+
+
 # --- contracts and publishing ---
 def test_conform_projects_casts_and_checks(spark):
     df = spark.createDataFrame([(1, "x", 3), (0, "y", None), (None, "z", 4)], "flag int, extra string, n int")
@@ -209,3 +297,21 @@ def test_publish_table_writes_once_with_truncate(spark, monkeypatch):
     assert len(seen) == 1
     assert (calls["format"], calls["mode"], calls["truncate"]) == ("jdbc", "overwrite", "true")
     assert calls["numPartitions"] == "2"
+
+
+def test_publish_domain_checks_keys_before_it_empties_a_table(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(publish, "publish_table", lambda df, table, target, n: written.append((table, n)))
+    target = publish.JdbcTarget("h", "d", "u", "p")
+
+    def gold(site):
+        frames = {t: spark.createDataFrame([], contracts.serving_schema(t)) for t in contracts.SERVING["space"]}
+        rows = spark.createDataFrame([(s,) for s in site], "site string")
+        blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in contracts.serving_schema("space_kpi_by_site_current")[1:]]
+        return frames | {"space_kpi_by_site_current": rows.select("site", *blanks)}
+
+    with pytest.raises(ValueError, match="space_kpi_by_site_current: repeated key"):
+        publish.publish_domain("space", gold(["a", "a"]), target)
+    assert written == []
+    publish.publish_domain("space", gold(["a", "b"]), target, fact_partitions=64, kpi_partitions=3)
+    assert dict(written)["space_room_current"] == 64 and dict(written)["space_kpi_by_site_current"] == 3
