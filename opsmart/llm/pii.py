@@ -7,8 +7,8 @@ character of the result the stretch of source characters it came from. The detec
 rewritten text, and what they find there is mapped back. Spans found plainly always stay; a rewritten
 one is added if the rewriting touched it and no plain span of its kind covers it.
 
-Only texts that hold a trigger (a character beyond the Latin ranges, a digit word, a bracketed sign)
-are rewritten; finding triggers reads the whole text. All detectors take linear time.
+Only texts that hold a trigger (a character beyond the Latin ranges, a digit word, a bracketed sign, a
+domain behind a spoken ``at``) are rewritten; finding triggers reads the whole text. All detectors take linear time.
 
 Defined results: a null text counts as empty and has no spans; rows are judged one by one, so
 repeated ids and texts give repeated rows. Offsets count code points, the end is exclusive.
@@ -139,6 +139,14 @@ DIGIT_WORDS = {
 AT_WORDS, DOT_WORDS, PLUS_WORDS = "at|arroba|arobase|ät", "dot|punkt|point|punto", "plus|más"
 # Words that follow "at" in plain prose.
 NO_DOMAIN = "the|a|an|this|that|these|those|my|our|your|his|her|its|their|which|one"
+# Words that precede "at" and a domain in plain prose.
+NO_LOCAL = frozenset(
+    "us me you it him her them is are was were be been look looks looking looked meet met meeting find "
+    "found visit available hosted online published posted read more info information site website page "
+    "blog details here store shop work works worked working based learn live stay buy sold sell register "
+    "registered contact reach reached order orders up out in on or and log login not only now today also "
+    "back all listed see seen check home them downloaded download documented".split()
+)
 #: Digit words so common as other words that they are no trigger by themselves.
 WEAK = {"un", "uno", "oh", "one", "dos", "six", "null"}
 
@@ -150,10 +158,13 @@ _BRACKETS = re.compile(
 )
 _PART = rf"(?:(?: (?:{DOT_WORDS}) |\.)[a-z0-9_%+-]{{1,64}}){{0,8}}"
 _SPOKEN = re.compile(
-    rf"(?<![\w%+-])[a-z0-9_%+-]{{1,64}}{_PART} (?:{AT_WORDS}) "
-    rf"(?!(?:{NO_DOMAIN}) )[a-z0-9-]{{1,64}}{_PART} (?:{DOT_WORDS}) [a-z]{{2,24}}\b",
+    rf"(?<![\w%+-])(?P<local>[a-z0-9_%+-]{{1,64}}{_PART})(?P<at>@| (?:{AT_WORDS}) (?!(?:{NO_DOMAIN}) ))"
+    rf"(?P<domain>[a-z0-9-]{{1,64}}{_PART}(?: (?:{DOT_WORDS}) |\.)[a-z]{{2,24}}\b)",
     re.I,
 )
+_AT_DOMAIN = re.compile(rf" (?:{AT_WORDS}) [a-z0-9-]{{1,64}}\.[a-z0-9]", re.I)
+#: An address that is already whole; what follows a spoken dot then is prose.
+_WHOLE = re.compile(r"@\S*\.(?:com|org|net|edu|gov|info|de|fr|es)\Z", re.I)
 _SIGNS = re.compile(rf" (?:(?P<at>{AT_WORDS})|(?P<dot>{DOT_WORDS})) ", re.I)
 _TOKEN = rf"(?:{'|'.join(sorted(DIGIT_WORDS, key=len, reverse=True))}|[0-9]+)"
 _SPELLED = re.compile(
@@ -221,7 +232,21 @@ def signs(trace: Trace) -> None:
     trace.rewrite([(*m.span(), "@" if m["at"] else ".") for m in _BRACKETS.finditer(trace.text)])
     edits = []
     for whole in _SPOKEN.finditer(trace.text):
+        spoken_domain = " " in whole["domain"]
+        if whole["at"] != "@" and not spoken_domain:
+            # "look at example.com" is prose, unless the domain itself was disguised.
+            start, end = trace.source(*whole.span("domain"))
+            if end - start == len(whole["domain"]) and (
+                whole["local"].lower().split()[-1] in NO_LOCAL or whole["domain"].lower().startswith("www.")
+            ):
+                continue
         for m in _SIGNS.finditer(trace.text, *whole.span()):
+            if m["dot"] and whole["at"] == "@":
+                # Beside a plain address "point" is a word of prose.
+                if not spoken_domain and m["dot"].lower() == "point":
+                    continue
+                if _WHOLE.search(trace.text, whole.start(), m.start()):
+                    break
             edits.append((*m.span(), "@" if m["at"] else "."))
     trace.rewrite(edits)
 
@@ -231,6 +256,7 @@ def triggered(text: str) -> bool:
     return bool(
         _ODD.search(text)
         or _BRACKETS.search(text)
+        or _AT_DOMAIN.search(text)
         or not _STRONG.isdisjoint(text.lower().translate(_BETWEEN).split())
     )
 

@@ -75,3 +75,26 @@ def test_query_rows(spark):
     clean = sorted(pii.redact(df).collect(), key=lambda r: r.doc_id or 0)
     assert [(r.text, r.n_chars) for r in clean] == [("<PHONE>", 7), ("mail <EMAIL>", 12), ("mail <EMAIL>", 12), (None, 9), ("", 9)]
     assert pii.find(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("at", ["@", " at ", " (at) ", "[at]", " AT ", " {@} "])
+@pytest.mark.parametrize("inner", [".", " dot ", "[.]"])
+@pytest.mark.parametrize("last", [".", " dot ", " [dot] ", "(.)", " punkt "])
+def test_all_mixtures_of_signs(at, inner, last):
+    for domain in (f"example{last}org", f"mail{inner}example{last}org"):
+        for local in ("john", f"john{inner}doe"):
+            address = f"{local}{at}{domain}"
+            text = f"mail: {address}, thanks"
+            assert pii.redacted(text) == "mail: <EMAIL>, thanks", text
+
+
+@pytest.mark.parametrize("text", ["look at example.com", "we are at www.example.com now", "see us at shop.example.org", "at a point in time. at one dot"])
+def test_domains_in_prose_stay(text):
+    assert pii.spans(text) == ([], [])
+
+
+def test_words_beside_a_plain_address_stay():
+    for text in ("at that point john@example.org wrote", "write to john@example.com dot your own i"):
+        found = pii.spans(text)[1]
+        assert [text[a:b] for a, b, _ in found] == [text[text.index("john") :].split()[0]]
+    pii.spans("a at b." * 30_000 + "a.b " * 30_000 + "x@y dot " * 30_000)
