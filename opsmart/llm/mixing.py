@@ -5,7 +5,7 @@ block k (from 0) of a source is released at slot ``floor(k P / a)`` and due by s
 ``ceil((k + 1) P / a)``. One block per slot is taken by earliest deadline among the released ones;
 for a single sequence of slots this meets every deadline, so after any number of slots each source
 stands less than one block away from its exact share. The schedule repeats after ``P`` slots: only
-one cycle is computed (weights and sources are bounded parameters), blocks of all cycles follow by
+one cycle is computed (weights are a bounded parameter), blocks of all cycles follow by
 arithmetic.
 
 A source that runs out gives its slots up and the order of the rest closes ranks, so every row has a
@@ -16,8 +16,13 @@ numbered inside (source, range), and shifted by the sizes of the earlier ranges.
 third of all rows is as evenly spread as the others.
 
 Defined results: a null source is a source of its own; rows with equal ``doc_id`` (also null) follow
-one another, ordered by text; an empty table gives an empty result. More than ``MAX_SOURCES``
-sources raise an error, as one cycle would no longer be a small table.
+one another, ordered by text; an empty table gives an empty result.
+
+One cycle of more than ``MAX_SOURCES`` sources would no longer be a small table. They are dealt into
+groups of about ``FAN`` by a hash, groups into groups again, until few are left; every group has a
+schedule of its own members, whose slots are its own blocks in the schedule one level up. With each
+level a source may stand up to one block further away from its share, and the weight of a group is
+the sum of its members' rounded to 1 / ``SCALE`` of the largest group's.
 """
 
 from __future__ import annotations
@@ -26,12 +31,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opsmart.llm.common import table, tasks
+from opsmart.llm.common import stored, table, tasks
 
 BLOCK = 32
 #: Largest integer weight; the sum over the sources is the length of a cycle.
 SCALE = 100
-MAX_SOURCES = 200
+MAX_SOURCES, FAN = 200, 50
 RANGE_ROWS = 100_000
 
 
@@ -55,14 +60,10 @@ def tempered_weights(docs: DataFrame, exponent: float = 0.5, scale: int = SCALE)
 def listed(weights: DataFrame) -> DataFrame:
     """All sources as one row: ``sources`` (structs of key, n and weight) and ``cycle``."""
     sources = F.sort_array(F.collect_list(F.struct("key", "n", "weight")))
-    one = weights.agg(sources.alias("sources")).select(
-        F.when(
-            F.size("sources") > MAX_SOURCES,
-            F.raise_error(F.lit(f"more than {MAX_SOURCES} sources")),
-        )
-        .otherwise(F.col("sources"))
-        .alias("sources")
-    )
+    return _with_cycle(weights.agg(sources.alias("sources")))
+
+
+def _with_cycle(one: DataFrame) -> DataFrame:
     total = F.aggregate("sources", F.lit(0).cast("long"), lambda s, x: s + x["weight"])
     return one.withColumn("cycle", total)
 
@@ -73,7 +74,13 @@ def schedule(weights: DataFrame) -> DataFrame:
     ``turn`` counts the source's earlier slots in the cycle, ``before`` those of every source in the
     order of ``listed``. At most MAX_SOURCES * SCALE rows of MAX_SOURCES numbers, 32 MB.
     """
-    one = listed(weights)
+    return _slots(listed(weights))
+
+
+def _slots(one: DataFrame) -> DataFrame:
+    """The schedule of every row's ``sources``, with the row's other columns."""
+    others = [c for c in one.columns if c not in ("sources", "cycle")]
+
     def due(taken: Column, t: Column) -> Column:
         """Deadline and index of each source's next block, null where it is not released."""
         return F.transform(
@@ -107,8 +114,9 @@ def schedule(weights: DataFrame) -> DataFrame:
     source = F.element_at("sources", F.col("pick")["at"] + 1)
     return (
         one.filter("cycle > 0")
-        .select("sources", F.posexplode(picks).alias("slot", "pick"))
+        .select(*others, "sources", F.posexplode(picks).alias("slot", "pick"))
         .select(
+            *others,
             F.col("slot").cast("long").alias("slot"),
             source["key"].alias("key"),
             source["weight"].alias("weight"),
@@ -155,6 +163,8 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, block: int = BLOCK)
     weights = tempered_weights(docs) if weights is None else weights
     added = ("block", "slot", "position", "in_ratio")
     docs = docs.drop(*added)
+    if weights.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
+        return _nested(docs, weights, block).select(*docs.columns, *added)
     cycle = schedule(weights)
     one = listed(weights)
     own = cycle.select(F.col("key").alias("_key"), "turn", F.col("slot").alias("_slot"), "before")
@@ -195,6 +205,85 @@ def _first_end(cycle: DataFrame, one: DataFrame, block: int) -> DataFrame:
     return cycle.join(sources, "key").filter(F.col("turn") == turn).agg(F.min(slot))
 
 
+def _levels(weights: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Per level ``key, parent, weight, cycle, slots`` (the slots of a cycle that are the key's own),
+    and the same without ``parent`` for what is left on top."""
+    own = F.sort_array(F.collect_list("slot")).alias("slots")
+    nodes, found = weights.select("key", "n", "weight"), []
+    while (count := nodes.count()) > MAX_SOURCES:
+        parent = F.pmod(F.xxhash64("key", F.lit(len(found))), F.lit(-(-count // FAN)))
+        nodes = stored(nodes.withColumn("parent", parent.cast("string")), "mix-nodes")
+        sources = F.sort_array(F.collect_list(F.struct("key", "n", "weight")))
+        one = _with_cycle(nodes.groupBy("parent").agg(sources.alias("sources")))
+        found.append(
+            _slots(one)
+            .groupBy("key", "parent", "weight")
+            .agg(own)
+            .join(one.select("parent", "cycle"), "parent")
+        )
+        sums = nodes.groupBy(F.col("parent").alias("key")).agg(
+            F.sum("n").alias("n"), F.sum("weight").alias("total")
+        )
+        share = SCALE * F.col("total") / sums.agg(F.max("total")).scalar()
+        nodes = sums.select("key", "n", F.greatest(F.lit(1), F.round(share)).cast("long").alias("weight"))
+    top = schedule(nodes).groupBy("key", "weight").agg(own)
+    return found, top.withColumn("cycle", listed(nodes).select("cycle").scalar())
+
+
+def _nested(docs: DataFrame, weights: DataFrame, block: int) -> DataFrame:
+    """``mixed`` for any number of sources."""
+    spark = docs.sparkSession
+    weights = stored(weights.select("key", "n", "weight"), "mix-weights")
+    levels, top = _levels(weights)
+    # The last block of a source holds no row: it marks where the source has run out.
+    blocks = weights.select(
+        "key",
+        F.col("key").alias("_key"),
+        "n",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / block))).alias("block"),
+    ).withColumn("slot", F.col("block"))
+    turn = F.element_at("slots", (F.col("slot") % F.col("weight") + 1).cast("int"))
+    slot = F.floor(F.col("slot") / F.col("weight")) * F.col("cycle") + turn
+    for level in levels:
+        blocks = (
+            blocks.join(level, "key")
+            .withColumn("slot", slot)
+            .drop("key", "weight", "cycle", "slots")
+            .withColumnRenamed("parent", "key")
+        )
+    blocks = blocks.join(F.broadcast(top), "key").withColumn("slot", slot)
+    rows = F.greatest(F.lit(0), F.least(F.lit(block), F.col("n") - block * F.col("block")))
+    blocks = stored(blocks.select("_key", "block", "slot", rows.alias("rows")), "mix-blocks")
+
+    ends = blocks.agg(F.max("slot").alias("last"), F.min(F.when(F.col("rows") == 0, F.col("slot"))).alias("stop"))
+    last, stop = ends.first()
+    ranges = tasks(spark, blocks.count(), RANGE_ROWS)
+    dealt = blocks.filter("rows > 0").withColumn(
+        "_range", F.floor(F.col("slot").cast("decimal(38,0)") * ranges / (last + 1)).cast("long")
+    )
+    # One row per range.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        dealt.groupBy("_range")
+        .agg(F.sum("rows").alias("sum"))
+        .select("_range", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("offset"))
+    )
+    inside = Window.partitionBy("_range").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    places = dealt.join(F.broadcast(offsets), "_range").select(
+        "_key",
+        "block",
+        "slot",
+        (F.col("offset") + F.coalesce(F.sum("rows").over(inside), F.lit(0))).alias("_before"),
+    )
+    return (
+        numbered(docs, weights)
+        .withColumn("block", F.floor(F.col("_rank") / block))
+        .join(places, ["_key", "block"])
+        .withColumn("position", F.col("_before") + F.col("_rank") % block)
+        .withColumn("in_ratio", F.col("slot") < F.lit(stop))
+    )
+
+
 def ordered(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in mixed order, with their own columns."""
     own = docs.select(

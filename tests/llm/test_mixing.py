@@ -63,3 +63,27 @@ def test_edges(spark):
     assert sorted(r.position for r in mixing.mixed(repeated).collect()) == list(range(9))
     assert mixing.ordered(repeated).columns == docs.columns
     assert mixing.mixed(docs.limit(0)).count() == 0
+
+
+def test_any_number_of_sources(spark, monkeypatch):
+    sizes = {f"s{i:03}": 3 + 40 * (i % 7 == 0) for i in range(230)} | {None: 60}
+    docs = frame(spark, sizes)
+    for fan, most in ((50, 200), (3, 8)):  # two levels, then several
+        monkeypatch.setattr(mixing, "FAN", fan)
+        monkeypatch.setattr(mixing, "MAX_SOURCES", most)
+        out = sorted(mixing.mixed(docs, block=2).collect(), key=lambda r: r.position)
+        assert [r.position for r in out] == list(range(sum(sizes.values())))
+        assert [r.slot for r in out] == sorted(r.slot for r in out)
+        assert len({r.doc_id for r in out}) == len(out) and len({r.slot for r in out}) == len({(r.source, r.block) for r in out})
+        assert any(r.in_ratio for r in out) and not out[-1].in_ratio
+        blocks = {}
+        for r in out:
+            blocks.setdefault(r.source, []).append(r.block)
+        assert all(b == sorted(b) for b in blocks.values())
+    # The same schedule as of few sources where both can run.
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
+    monkeypatch.setattr(mixing, "FAN", 100)
+    few = frame(spark, {"a": 90, "b": 40, "c": 11})
+    nested = sorted(map(tuple, mixing.mixed(few, block=4).collect()))
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 200)
+    assert nested == sorted(map(tuple, mixing.mixed(few, block=4).collect()))
