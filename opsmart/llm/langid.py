@@ -28,9 +28,10 @@ from opsmart.llm.common import importable, map_rows, table
 
 #: Bytes a window has, and units each direction has.
 WINDOW, UNITS = 48, 10
-#: Bounds of the training sample: languages, documents of each (those of smallest hash) and windows
-#: of each document.
-LANGUAGES, TRAIN_DOCS, TRAIN_WINDOWS = 64, 300, 8
+#: Bounds of the training sample: documents of each language (those of smallest hash) and windows of
+#: each document. Every language is learned; beyond ``LANGUAGES`` of them each has fewer documents, so
+#: that the sample stays bounded, but at least ``LEAST_DOCS``.
+LANGUAGES, TRAIN_DOCS, TRAIN_WINDOWS, LEAST_DOCS = 64, 300, 8, 20
 STEPS, BATCH, RATE = 260, 160, 0.02
 #: Windows that are read together in prediction.
 TOGETHER = 4096
@@ -192,13 +193,15 @@ def predict(network: Network, texts: list[str]) -> list[tuple[str, float]]:
     sums = np.empty((len(windows), len(network.classes)))
     lengths = np.full(len(windows), WINDOW)
     lengths[ends - 1] -= np.array([-len(d) % WINDOW for d in data])
-    for at in range(0, len(windows), TOGETHER):
-        found = network.probabilities(windows[at : at + TOGETHER])
-        part = lengths[at : at + TOGETHER]
+    # As many windows as take the memory of TOGETHER with LANGUAGES languages.
+    many = max(1, TOGETHER * LANGUAGES // max(LANGUAGES, len(network.classes)))
+    for at in range(0, len(windows), many):
+        found = network.probabilities(windows[at : at + many])
+        part = lengths[at : at + many]
         short = np.flatnonzero(part < WINDOW)
         for i in short:
             found[part[i] :, i] = 0
-        sums[at : at + TOGETHER] = found.sum(axis=0, dtype=np.float64)
+        sums[at : at + many] = found.sum(axis=0, dtype=np.float64)
     totals = np.add.reduceat(sums, ends - counts, axis=0) / np.array([len(d) for d in data])[:, None]
     for i, row in zip(which, totals):
         k = int(row.argmax())
@@ -209,23 +212,39 @@ def predict(network: Network, texts: list[str]) -> list[tuple[str, float]]:
 # --- on Spark ---
 
 
+def docs_of_each(languages: int) -> int:
+    """Documents that are learned from of each of so many languages."""
+    return max(LEAST_DOCS, TRAIN_DOCS * LANGUAGES // max(LANGUAGES, languages))
+
+
+def steps_for(languages: int) -> int:
+    """Steps of training: as each has fewer of a batch, more for more than sixteen languages."""
+    return STEPS * max(16, min(languages, 4 * LANGUAGES)) // 16
+
+
+def units_for(languages: int) -> int:
+    """Units of each direction: more for more than forty languages."""
+    return max(UNITS, min(4 * UNITS, languages // 4))
+
+
 def sample(docs: DataFrame) -> DataFrame:
     """``lang, windows``: the bounded training sample of the rows that are not held out."""
     labelled = docs.filter(
         ~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     ids = labelled.select("lang", "doc_id").distinct()
-    # One row per language, at most LANGUAGES of them.
-    sizes = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(LANGUAGES)
+    # One row per language.
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    each = docs_of_each(sizes.count())
     hashed = F.xxhash64("doc_id")
     # Of a large language only rows of low hash, some four times what is wanted, meet in the window.
-    low = F.pmod(hashed, F.lit(1 << 20)) * F.col("n") < F.lit(4 * TRAIN_DOCS) * F.lit(1 << 20)
+    low = F.pmod(hashed, F.lit(1 << 20)) * F.col("n") < F.lit(4 * each) * F.lit(1 << 20)
     by_hash = Window.partitionBy("lang").orderBy(F.pmod(hashed, F.lit(1 << 20)), "doc_id")
     chosen = (
         ids.join(F.broadcast(sizes), "lang")
         .filter(low)
         .withColumn("place", F.row_number().over(by_hash))
-        .filter(F.col("place") <= TRAIN_DOCS)
+        .filter(F.col("place") <= each)
         .select("lang", "doc_id")
     )
 
@@ -239,7 +258,7 @@ def sample(docs: DataFrame) -> DataFrame:
             for i in sorted(random.choice(count, min(count, TRAIN_WINDOWS), replace=False).tolist()):
                 yield lang, data[i * WINDOW : (i + 1) * WINDOW]
 
-    # At most TRAIN_DOCS * LANGUAGES short rows are broadcast.
+    # At most TRAIN_DOCS * LANGUAGES short rows are broadcast, or LEAST_DOCS a language.
     texts = labelled.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"])
     return map_rows(texts.select("lang", "doc_id", "text"), "lang string, window binary", windows)
 
@@ -248,7 +267,7 @@ def learned(docs: DataFrame) -> Network:
     """The network for these documents."""
     rows = sorted((r[0], bytes(r[1])) for r in sample(docs).collect())
     classes = sorted({lang for lang, _ in rows})
-    network = Network(classes)
+    network = Network(classes, units_for(len(classes)))
     if len(classes) > 1:
         windows = np.frombuffer(b"".join(w for _, w in rows), np.uint8).reshape(-1, WINDOW)
         number = {lang: i for i, lang in enumerate(classes)}
@@ -258,7 +277,7 @@ def learned(docs: DataFrame) -> Network:
         even = np.concatenate(
             [np.resize(np.flatnonzero(labels == k), each) for k in range(len(classes))]
         )
-        network.train(windows[even], labels[even])
+        network.train(windows[even], labels[even], steps_for(len(classes)))
     return network
 
 

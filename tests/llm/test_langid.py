@@ -60,3 +60,30 @@ def test_learning_uses_no_held_out_row(spark):
     df = spark.createDataFrame(rows(), "doc_id long, text string, lang string")
     marked = df.selectExpr("doc_id", "IF(crc32(CAST(doc_id AS STRING)) % 4 = 2, 'ZZZZ', text) AS text", "lang")
     assert all(b"ZZZZ" not in bytes(r[1]) for r in langid.sample(marked).collect())
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "STEPS", 40)
+    monkeypatch.setattr(langid, "LANGUAGES", 4)
+    pick = np.random.default_rng(5)
+    # Nine languages over a bound of four; the last code is the most frequent.
+    rows, letters = [], "abcdefghijklmnopqrstuvwxyzäö"
+    for i in range(500):
+        k = 8 if i % 2 else i // 2 % 8
+        own = letters[3 * k : 3 * k + 4]
+        rows.append((i, " ".join("".join(pick.choice(list(own), 5)) for _ in range(30)), f"l{k}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "TRAIN_DOCS", 30)
+    network = langid.learned(df)
+    assert network.classes == [f"l{k}" for k in range(9)]
+    lang = {i: l for i, _, l in rows}
+    out = [r for r in langid.identified(df, network).collect() if r.held_out]
+    assert {r.lang_pred for r in out} == set(network.classes)
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in out]) > 0.9
+
+
+def test_the_sample_stays_bounded():
+    for n in (1, 4, 64, 65, 200, 960):
+        assert n * langid.docs_of_each(n) <= langid.LANGUAGES * langid.TRAIN_DOCS
+    assert langid.docs_of_each(64) == langid.TRAIN_DOCS and langid.docs_of_each(5000) == langid.LEAST_DOCS
+    assert langid.steps_for(4) == langid.STEPS and langid.units_for(40) == langid.UNITS
