@@ -257,10 +257,13 @@ def near_duplicates(
     classes = stored(
         found.groupBy("fingerprint").agg(F.min("doc_id").alias("id")), "fingerprint-classes"
     )
-    roots = components(links(classes.filter("id is not null"), radius, limit))
-    placed = classes.join(roots, classes["id"] == roots["node"], "left").select(
-        "fingerprint", F.coalesce("root", "id").alias("component_id")
+    # Each fingerprint is its class's own id, also where no row of the class has a ``doc_id``.
+    roots = components(links(classes.select(F.col("fingerprint").alias("id"), "fingerprint"), radius, limit))
+    placed = classes.join(roots, classes["fingerprint"] == roots["node"], "left").withColumn(
+        "root", F.coalesce("root", "fingerprint")
     )
+    smallest = placed.groupBy("root").agg(F.min("id").alias("component_id"))
+    placed = placed.join(smallest, "root").select("fingerprint", "component_id")
     return found.join(placed, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from opsmart.llm import simhash
 
@@ -78,3 +79,17 @@ def test_documents(spark):
     kept = simhash.one_of_each(df, 2, 3)
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 3, 7]
     assert kept.columns == df.columns
+
+
+def test_rows_without_id_link_others(spark, monkeypatch):
+    values = {"five": 0b0000, "none": 0b0011, "nine": 0b1111, "far": -1, "two": 1 << 40}
+    monkeypatch.setattr(
+        simhash,
+        "fingerprints",
+        lambda docs, shingle: docs.select("doc_id", F.create_map(*[F.lit(x) for p in values.items() for x in p])[F.col("text")].cast("long").alias("fingerprint")),
+    )
+    rows = [(5, "five"), (None, "none"), (9, "nine"), (None, "far"), (2, "two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(df).collect()}
+    # None and 9 hang on 5 through the row without id; 2 differs from 5 in one bit.
+    assert found == {(5, 0): 2, (None, 3): 2, (9, 15): 2, (None, -1): None, (2, 1 << 40): 2}
