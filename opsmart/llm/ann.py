@@ -4,7 +4,9 @@ A unit vector is turned by pseudo-rotations (three rounds of random signs and a
 transform); its hash is the signed axis it then lies nearest to. Each of ``tables`` tables has its
 own rotations, ``functions`` of them joined to one bucket number. Every vector is indexed in one
 bucket per table; a query looks into the ``probes`` buckets whose axes it lies nearest to. What it
-meets is ranked exactly, by the inner product of the original vectors in double precision.
+meets is ranked exactly, by the inner product of the original vectors in double precision. Unit vectors
+are centred for the hash, so that a cone of vectors spreads over the buckets. A query that met fewer than
+k + 1 classes looks into eight times as many buckets, in the end into all.
 
 Equal vectors form one class and are hashed and compared once; a class keeps its k + 1 smallest ids,
 which is all that k nearest can show of it. Buckets are cut into blocks of at most about
@@ -31,7 +33,7 @@ from pyspark.sql.window import Window
 
 from opsmart.llm.common import importable, stored, table
 
-TABLES, FUNCTIONS, PROBES = 8, 1, 10
+TABLES, FUNCTIONS, PROBES = 8, 1, 16
 BLOCK, QUERIES = 4096, 16384
 SEED = 20
 
@@ -85,15 +87,39 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
-def _dealt(vectors: DataFrame, tables: int, functions: int, probes: int) -> DataFrame:
+def _unit(x: np.ndarray) -> np.ndarray:
+    size = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.where(size > 0, size, 1)
+
+
+def _centre(classes: DataFrame) -> np.ndarray | None:
+    """The mean of the unit vectors, to four decimals; none without a vector."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = None, 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                x = _unit(_matrix(batch.slice(at, 2048).column("embedding")))
+                total, n = x.sum(axis=0) + (0 if total is None else total), n + len(x)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()]), pa.array([n])], names=["total", "n"])
+
+    parts = classes.select("embedding").mapInArrow(run, "total array<double>, n long").collect()
+    if not parts:
+        return None
+    return np.round(np.sum([p.total for p in parts], axis=0) / sum(p.n for p in parts), 4)
+
+
+def _dealt(
+    vectors: DataFrame, tables: int, functions: int, probes: int, centre: np.ndarray
+) -> DataFrame:
     """``class, embedding`` once per table and probed bucket, with ``number`` and ``bucket``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                x = _matrix(part.column("embedding"))
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                x = _unit(_unit(_matrix(part.column("embedding"))) - centre)
                 for number in range(tables):
                     codes = probed(x, number, functions, probes)
                     rows = np.repeat(np.arange(len(x)), codes.shape[1])
@@ -166,6 +192,34 @@ def usable(vectors: DataFrame) -> DataFrame:
     return sound.filter(F.size("embedding") == F.coalesce(usual.scalar(), F.lit(0))).distinct()
 
 
+def _met(index: DataFrame, probing: DataFrame, k: int) -> DataFrame:
+    """``query, class, score``: of every block of classes the ``k + 1`` best of the queries that meet it."""
+    key = ["number", "bucket"]
+    blocks = (
+        index.groupBy(*key)
+        .agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        .join(
+            probing.groupBy(*key).agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts")), key
+        )
+    )
+
+    def cut(df: DataFrame, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
+        return (
+            df.join(blocks, key)
+            .withColumn(own, F.pmod(F.xxhash64("class"), F.col(own_count)).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)))
+            .select(*key, "block", "part", "class", "embedding")
+        )
+
+    group = [*key, "block", "part"]
+    return (
+        cut(probing, "part", "parts", "block", "blocks")
+        .groupBy(*group)
+        .cogroup(cut(index, "block", "blocks", "part", "parts").groupBy(*group))
+        .applyInArrow(_nearest(k + 1), "query long, class long, score double")
+    )
+
+
 def nearest(
     vectors: DataFrame,
     asked: DataFrame,
@@ -197,37 +251,26 @@ def nearest(
         .select(F.col("vec_id").alias("query_id"), "class", "embedding"),
         "vector-queries",
     )
-    index = _dealt(classes, tables, functions, 1)
-    probing = _dealt(
-        queries.select("class", "embedding").dropDuplicates(["class"]), tables, functions, probes
-    )
-    key = ["number", "bucket"]
-    blocks = (
-        index.groupBy(*key)
-        .agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        .join(
-            probing.groupBy(*key).agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts")), key
+    centre = _centre(classes)
+    centre = np.zeros(1) if centre is None else centre
+    index = _dealt(classes, tables, functions, 1, centre)
+    open_queries = queries.select("class", "embedding").dropDuplicates(["class"])
+    met = stored(_met(index, _dealt(open_queries, tables, functions, probes, centre), k).distinct(), "vectors-met")
+    buckets = (2 << max(1, (len(centre) - 1).bit_length())) ** functions
+    while probes < buckets:
+        # Queries that met too few classes look further, in the end into every bucket.
+        probes = min(8 * probes, buckets)
+        enough = met.groupBy("query").agg(F.countDistinct("class").alias("n")).filter(F.col("n") > k)
+        open_queries = stored(
+            open_queries.join(enough, open_queries["class"] == enough["query"], "left_anti"), "queries-open"
         )
-    )
-
-    def cut(df: DataFrame, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
-        return (
-            df.join(blocks, key)
-            .withColumn(own, F.pmod(F.xxhash64("class"), F.col(own_count)).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)))
-            .select(*key, "block", "part", "class", "embedding")
-        )
-
-    group = [*key, "block", "part"]
-    met = (
-        cut(probing, "part", "parts", "block", "blocks")
-        .groupBy(*group)
-        .cogroup(cut(index, "block", "blocks", "part", "parts").groupBy(*group))
-        .applyInArrow(_nearest(k + 1), "query long, class long, score double")
-    )
+        if open_queries.isEmpty():
+            break
+        more = _met(index, _dealt(open_queries, tables, functions, probes, centre), k)
+        met = stored(met.union(more).distinct(), "vectors-met")
     best_classes = Window.partitionBy("query").orderBy(F.desc("score"), "class")
     top = (
-        met.distinct()
+        met
         .withColumn("place", F.row_number().over(best_classes))
         .filter(F.col("place") <= k + 1)
         .select("query", "class", "score")

@@ -59,3 +59,27 @@ def test_edges(spark):
     assert [(r.vec_id, r.score) for r in out.orderBy("rank").collect()] == [(2, 1.0), (1, 0.0)]
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
     assert ann.probed(np.eye(4), 0, 2, 5).shape == (4, 5)
+
+
+def test_few_vectors_are_all_found(spark):
+    x = np.random.default_rng(2).normal(size=(15, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA)
+    out = ann.nearest(df, df).collect()
+    for q in range(15):
+        assert {r.vec_id for r in out if r.query_id == q} == set(range(15)) - {q}
+
+
+def test_recall_of_each_query_outside_a_cone(spark):
+    pick = np.random.default_rng(3)
+    cone = pick.normal(size=(3000, 64)) * 0.3 + 2 * pick.normal(size=64)
+    x = np.concatenate([pick.normal(size=(20, 64)), cone]).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], SCHEMA)
+    found = {}
+    for r in ann.nearest(df, df.filter("vec_id < 20 OR vec_id % 100 = 0")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = {q: len(f & {i for i, _ in brute(x, ids, q, 20)}) / 20 for q, f in found.items()}
+    print("outside", np.mean([r for q, r in recall.items() if q < 20]), "all", np.mean(list(recall.values())), "least", min(recall.values()))
+    assert all(len(f) == 20 for f in found.values())
+    assert np.mean([r for q, r in recall.items() if q < 20]) > 0.9 and np.mean(list(recall.values())) > 0.9
