@@ -63,6 +63,14 @@ SIDE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form "
     "toolbar".split()
 )
+# Words that make a class name say something of a page's layout; and words of parts that
+# may be longer than the article.
+LAYOUT_WORDS = frozenset("with without no has have layout".split())
+NEVER_MAIN = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr notice "
+    "notices popup modal overlay newsletter subscribe comment comments commentlist disqus respond reply "
+    "replies discussion reactions related recommended hidden".split()
+)
 MAIN_TAGS = frozenset({"html", "body", "article", "main"})
 SCORED = frozenset("p pre td blockquote li dd".split())
 
@@ -74,17 +82,18 @@ _NO_DISPLAY = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "parent", "parts", "out", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "parts", "out", "mark", "score", "chars", "linked")
 
     def __init__(self, tag: str, parent: Element | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
+        self.mark = 0
         self.parts: list[Element | str] = []
         self.score = 0.0
         self.chars = self.linked = 0
 
 
 def is_side(tag: str, attributes: str) -> bool:
-    """Whether this element is by its own marks outside any article."""
+    """Whether this element is by its tag, role or visibility outside any article."""
     if tag in LEFT_OUT:
         return True
     if not attributes.strip() or tag in MAIN_TAGS:
@@ -93,22 +102,57 @@ def is_side(tag: str, attributes: str) -> bool:
         return True
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name in ("class", "id"):
-            for word in re.split(r"[\s_:.-]+", value):
-                if word.lower() in SIDE_WORDS:
-                    return True
-                pieces = _WORD.findall(word)
-                if len(pieces) > 1 and any(p.lower() in SIDE_WORDS for p in pieces):
-                    return True
-        elif name == "role" and value.strip().lower() in SIDE_ROLES:
+        if name == "role" and value.strip().lower() in SIDE_ROLES:
             return True
-        elif name == "style" and _NO_DISPLAY.search(value):
+        if name == "style" and _NO_DISPLAY.search(value):
             return True
-        elif name == "aria-hidden" and value.lower() == "true":
+        if name == "aria-hidden" and value.lower() == "true":
             return True
     return False
 
 
+def side_mark(tag: str, attributes: str) -> int:
+    """What class and id say: 0 nothing, 1 a side part, 2 one that is never the article."""
+    if not attributes.strip() or tag in MAIN_TAGS:
+        return 0
+    mark = 0
+    for m in _ATTRIBUTE.finditer(attributes):
+        if m[1].lower() not in ("class", "id"):
+            continue
+        for name in (m[2] or m[3] or m[4] or "").split():
+            pieces = []
+            for word in re.split(r"[_:.-]+", name):
+                pieces += [word.lower()] if word.lower() in SIDE_WORDS else [p.lower() for p in _WORD.findall(word)]
+            side = [i for i, p in enumerate(pieces) if p in SIDE_WORDS]
+            if side and LAYOUT_WORDS.isdisjoint(pieces[: side[0]]):
+                mark = max(mark, 2 if any(pieces[i] in NEVER_MAIN for i in side) else 1)
+    return mark
+
+
+def _exclude(root: Element) -> None:
+    """Marked elements go, unless they hold the main element, the largest article or most paragraphs."""
+    elements = _order(root)
+    points, chars = {}, {}
+    for e in reversed(elements):
+        own = sum(len(p) - p.count(" ") - p.count("\n") for p in e.parts if isinstance(p, str))
+        chars[e] = chars.get(e, 0) + own
+        block = e.tag in SCORED or e.tag in ("div", "section") and own >= 25
+        points[e] = points.get(e, 0) + (1 + min(chars[e] // 100, 3) if block and chars[e] >= 25 else 0)
+        if e.parent is not None:
+            chars[e.parent] = chars.get(e.parent, 0) + chars[e]
+            points[e.parent] = points.get(e.parent, 0) + points[e]
+    held = set()
+    mains = [e for e in elements if e.tag == "main"] or [e for e in elements if e.tag == "article"]
+    if mains:
+        up = max(mains, key=chars.__getitem__)
+        while up is not None:
+            held.add(up)
+            up = up.parent
+    for e in elements:
+        most = points[e] * 2 > points[root]
+        e.out = e.mark == 1 and not (most or e in held) or e.mark == 2 and not (most and e in held)
+
+
 def _tag_end(page: str, start: int, last_quote: dict[str, int]) -> int:
     """The index of the ``>`` that ends the tag; a ``>`` inside quotes does not."""
     end = page.find(">", start)
@@ -194,6 +238,7 @@ def parse(page: str) -> Element:
                     here = leave(here)
                 here = leave(here)
         element = Element(tag, here, here.out or is_side(tag, attributes))
+        element.mark = side_mark(tag, attributes)
         here.parts.append(element)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
@@ -251,6 +296,7 @@ def density(e: Element) -> float:
 
 def article(root: Element) -> list[Element]:
     """The best container with its siblings, in page order."""
+    _exclude(root)
     elements = _order(root)
     _measure(elements)
     best, most = None, 0.0
@@ -264,6 +310,11 @@ def article(root: Element) -> list[Element]:
             best, most = e, points
     if best is None:
         return [root]
+    whole = best
+    while whole is not None and whole.tag not in ("article", "main"):
+        whole = whole.parent
+    if whole is not None:
+        return [whole]
     if best.parent is None:
         return [best]
     kept = []
@@ -277,7 +328,11 @@ def article(root: Element) -> list[Element]:
 
 
 def _write(e: Element, out: list[str]) -> None:
-    """The text of an element, with a blank at the borders of blocks; depth costs no recursion."""
+    """The text of an element, with a blank at the borders of blocks; depth costs no recursion.
+
+    Only what is marked as a side part is dropped inside an article; beyond it lists of links go too.
+    """
+    inside = e.tag in ("article", "main")
     stack: list[tuple[Element, int]] = [(e, 0)]
     while stack:
         e, at = stack.pop()
@@ -289,7 +344,7 @@ def _write(e: Element, out: list[str]) -> None:
             at += 1
             if isinstance(part, str):
                 out.append(part)
-            elif not part.out and not _link_list(part):
+            elif not part.out and (inside or not _link_list(part)):
                 stack.append((e, at))
                 stack.append((part, 0))
                 break

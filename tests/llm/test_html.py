@@ -42,3 +42,23 @@ def test_query_rows(spark):
     out = html.extract(df).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in out) == [(0, "", 0), (1, "a", 1), (1, "a", 1), (2, "", 0)]
     assert html.extract(df.limit(0)).count() == 0
+
+
+BODY = "".join(f"<p>Paragraph {i} of the article, with commas, and words enough to be counted.</p>" for i in range(4))
+TEXT = " ".join(f"Paragraph {i} of the article, with commas, and words enough to be counted." for i in range(4))
+
+
+@pytest.mark.parametrize("mark", ["class='content with-sidebar'", "class=no-sidebar", "class=has-header", "class=layout--nav-left", "id=form1", "id='sidebar'"])
+@pytest.mark.parametrize("tag", ["div", "article"])
+def test_layout_words_do_not_remove_the_page(mark, tag):
+    side = "<div class='sidebar'><p>Side text, short, and long enough to count.</p></div>"
+    page = f"<body><nav>menu</nav><div {mark}><{tag}>{BODY}</{tag}>{side}</div><div class=comments>{BODY}{BODY}</div>"
+    assert html.main_text(page.replace(f"<div class=comments>{BODY}{BODY}</div>", "")) == TEXT
+    if tag == "article":
+        assert html.main_text(page) == TEXT
+
+
+def test_an_article_keeps_its_small_parts():
+    end = "<section><h3>Sources</h3><ul><li><a href=a>First source</a><li><a href=b>Second source</a></ul></section>"
+    page = f"<body><article><div>{BODY}</div>Loose text. {end}<section>Short end.</section><div class=share>Share</div></article>"
+    assert html.main_text(page) == f"{TEXT} Loose text. Sources First source Second source Short end."
