@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsmart.llm import ann, bpe, chat, html, langid, mixing, pii, rules, simhash, suffixes
+from opsmart.llm import (
+    ann,
+    bpe,
+    chat,
+    filteraudit,
+    html,
+    langid,
+    mixing,
+    pii,
+    repair,
+    rules,
+    secretscan,
+    simhash,
+    suffixes,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffixes.op1_suffix_dedup,
@@ -19,9 +33,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": chat.op8_chat,
     "op9_html": html.op9_html,
     "op10_bpe": bpe.op10_bpe,
+    "op11_filter_audit": filteraudit.op11_filter_audit,
+    "op12_secret_scan": secretscan.op12_secret_scan,
+    "op13_repair": repair.op13_repair,
 }
 
 SQL: dict[str, str] = {
     "op4_mix": mixing.OP4_SQL,
     "op8_chat": chat.OP8_SQL,
+    "op11_filter_audit": filteraudit.OP11_SQL,
 }
