@@ -11,13 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmart.llm import bpe, mixing, nearcopies, pii, rules
+from opsmart.llm import bpe, mixing, pii, rules, simhash
 from opsmart.llm.common import stored, table
 
-#: Near-duplicates in the pipeline: shingles of five words, and the share of them that near copies
-#: have in common at least.
-NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learned rules reject go."""
@@ -25,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one of smallest id."""
-    return nearcopies.one_of_each(docs, NEAR_SIMILARITY, NEAR_SHINGLE)
+    """One document of each group of linked fingerprints stays, the one of smallest id."""
+    return simhash.one_of_each(docs, simhash.RADIUS, simhash.SHINGLE)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
