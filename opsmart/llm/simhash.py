@@ -21,6 +21,7 @@ null ``doc_id`` take part and can only be chosen as component id if no other row
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,30 +32,50 @@ from pyspark.sql import functions as F
 from opsmart.llm.common import importable, map_rows, stored, table, tasks, text_or_empty
 
 RADIUS, SHINGLE, SEED, LIMIT = 2, 3, 42, 2048
+#: Bytes of a text whose shingles are hashed together, and where a stretch may end.
+STRETCH = 1 << 20
+BLANK = re.compile(rb"[ \t-\r]")
 
 
 # --- fingerprints ---
 
 
+def _stretches(data: bytes, shingle: int) -> Iterator[list[bytes]]:
+    """The words of a text in stretches of about ``STRETCH`` bytes; each begins with the last
+    ``shingle - 1`` words of the one before, so every shingle lies in exactly one."""
+    held: list[bytes] = []
+    at = 0
+    while at < len(data):
+        gap = BLANK.search(data, at + STRETCH)
+        end = gap.start() if gap else len(data)
+        words = held + data[at:end].split()  # at space and bytes 9 to 13
+        at = end
+        if len(words) >= shingle:
+            yield words
+            held = words[len(words) - shingle + 1 :]
+        else:
+            held = words
+
+
 def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The 64-bit fingerprint of one text; zero without a word."""
+    """The 64-bit fingerprint of one text; zero without a word. Holds one stretch of a text."""
     import xxhash
 
-    data = text.encode().lower()  # lowers A-Z only
-    words = data.split()  # at space and bytes 9 to 13
-    if not words:
-        return 0
     hashed = xxhash.xxh64_intdigest
-    line = b" ".join(words)
-    if len(words) <= shingle:
-        values = [hashed(line, seed)]
-    else:
+    data = text.encode().lower()  # lowers A-Z only
+    counts, total = np.zeros(64, np.int64), 0
+    for words in _stretches(data, shingle):
+        line = b" ".join(words)
         ends = list(itertools.accumulate(map(len, words), lambda a, b: a + b + 1))
-        starts = [0, *[e + 1 for e in ends[: -shingle]]]
+        starts = [0, *[e + 1 for e in ends[: len(ends) - shingle]]]
         values = [hashed(line[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :])]
-    bits = np.unpackbits(np.array(values, "<u8").view(np.uint8), bitorder="little")
-    set_bits = bits.reshape(-1, 64).sum(axis=0, dtype=np.int64) * 2 > len(values)
-    return int(np.packbits(set_bits, bitorder="little").view("<u8")[0])
+        bits = np.unpackbits(np.array(values, "<u8").view(np.uint8), bitorder="little")
+        counts += bits.reshape(-1, 64).sum(axis=0, dtype=np.int64)
+        total += len(values)
+    if not total:
+        words = data.split()  # fewer words than a shingle has
+        return hashed(b" ".join(words), seed) if words else 0
+    return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
 
 
 def _fingerprints(rows: Iterator[tuple], shingle: int) -> Iterator[tuple]:

@@ -93,3 +93,15 @@ def test_rows_without_id_link_others(spark, monkeypatch):
     found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(df).collect()}
     # None and 9 hang on 5 through the row without id; 2 differs from 5 in one bit.
     assert found == {(5, 0): 2, (None, 3): 2, (9, 15): 2, (None, -1): None, (2, 1 << 40): 2}
+
+
+def test_long_texts_in_stretches(monkeypatch):
+    pick = random.Random(6)
+    texts = [" ".join(pick.choice(["a", "bc", "déf", "X"]) for _ in range(n)) for n in (1, 2, 3, 50, 400)]
+    texts += [t.replace(" ", "  \n") for t in texts] + ["x" * 90, " " * 70 + "a b c d", "a " + "y" * 100 + " b c"]
+    for stretch in (1, 7, 64):
+        monkeypatch.setattr(simhash, "STRETCH", stretch)
+        assert [simhash.fingerprint(t) for t in texts] == [brute_fingerprint(t) for t in texts]
+    monkeypatch.undo()
+    long = "one two three four five six seven " * 1_500_000  # 51 MB
+    assert simhash.fingerprint(long) == simhash.fingerprint("one two three four five six seven " * 20_000)
