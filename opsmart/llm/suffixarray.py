@@ -25,10 +25,14 @@ def _smaller(text: np.ndarray) -> np.ndarray:
 
 def _ranks(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each entry in its run of equal keys, and which entries end a run."""
-    last = np.append(sorted_keys[1:] != sorted_keys[:-1], True)
-    starts = np.flatnonzero(np.append(True, last[:-1]))
-    sizes = np.diff(np.append(starts, len(sorted_keys)))
-    return np.arange(len(sorted_keys)) - np.repeat(starts, sizes), last
+    n = len(sorted_keys)
+    last = np.ones(n, bool)
+    np.not_equal(sorted_keys[1:], sorted_keys[:-1], out=last[:-1])
+    starts = np.zeros(n, np.int64)
+    turns = last[:-1].nonzero()[0] + 1
+    starts[turns] = turns
+    np.maximum.accumulate(starts, out=starts)
+    return np.arange(n) - starts, last
 
 
 def _induce_larger(text: np.ndarray, order: np.ndarray, smaller: np.ndarray, heads: np.ndarray) -> None:
@@ -37,7 +41,7 @@ def _induce_larger(text: np.ndarray, order: np.ndarray, smaller: np.ndarray, hea
     while at < n:
         end = min(n, at + size)
         before = order[at:end] - 1
-        where = np.flatnonzero(before >= 0)
+        where = (before >= 0).nonzero()[0]
         where = where[~smaller[before[where]]]
         if not len(where):
             at, size = end, min(2 * size, 1 << 16)
@@ -68,7 +72,7 @@ def _induce_smaller(text: np.ndarray, order: np.ndarray, smaller: np.ndarray, ta
     while at > 0:
         end = max(0, at - size)
         before = order[end:at][::-1] - 1
-        where = np.flatnonzero(before >= 0)
+        where = (before >= 0).nonzero()[0]
         where = where[smaller[before[where]]]
         if not len(where):
             at, size = end, min(2 * size, 1 << 16)

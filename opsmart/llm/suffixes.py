@@ -8,9 +8,10 @@ strings mostly share theirs, so the text around an anchor travels as one segment
    its documents that have them; an anchor of two or more documents is shared, and its blocks are told.
 2. Each block sends the segments of its shared anchors, every distinct one once with the smallest of
    its documents. Segments of one anchor land in one shard.
-3. A shard puts the distinct segments of each anchor side by side, builds their suffix array by
-   induced sorting and the permuted common prefixes, and so finds the runs of suffixes that share 50
-   bytes. Strings that also start in a smaller document are answered to the blocks that hold them.
+3. A shard puts the distinct segments of its anchors side by side, without the stretches whose strings
+   have a rolling hash of their own, builds their suffix array by induced sorting and the permuted
+   common prefixes, and so finds the runs of suffixes that share 50 bytes. Strings that also start in a
+   smaller document are answered to the blocks that hold them.
 4. Each block removes what it was told, and what it knows itself from equal segments inside it.
 
 An anchor of more than ``HOT`` documents does not travel as segments: each of its 50-byte strings is
@@ -347,9 +348,59 @@ _ANSWERS = pa.schema(
 )
 
 
+def seen_twice(hashes: np.ndarray) -> np.ndarray:
+    """Which hashes occur more than once. Two counts by some of their bits leave few to be sorted."""
+    left = np.arange(len(hashes))
+    bits = max(10, int(4 * len(hashes)).bit_length())
+    for shift in (0, bits):
+        part = ((hashes[left] >> np.uint64(shift)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+        left = left[np.bincount(part, minlength=1 << bits)[part] > 1]
+    _, number, count = np.unique(hashes[left], return_inverse=True, return_counts=True)
+    out = np.zeros(len(hashes), bool)
+    out[left[count[number] > 1]] = True
+    return out
+
+
 def repeated_ranges(segments: list[bytes], docs: np.ndarray, span: int = SPAN) -> list[np.ndarray]:
     """Per segment the stretches (flat: from, to, ...) covered by ``span``-byte strings that also
-    stand in a segment of a smaller document, by suffix array and common prefixes."""
+    stand in a segment of a smaller document.
+
+    A string whose rolling hash occurs once is no repeat: only the stretches of segments that strings
+    with a repeated hash cover are sorted.
+    """
+    out = [np.zeros(0, "<i4")] * len(segments)
+    sizes = np.array([len(s) for s in segments], np.int64)
+    base = np.cumsum(sizes) - sizes
+    joined = b"".join(segments)
+    usable = np.maximum(sizes - span + 1, 0)
+    starts = _spread(base, usable)
+    owner = np.repeat(np.arange(len(segments)), usable)
+    again = seen_twice(content_hash(np.frombuffer(joined, np.uint8), starts, starts + span))
+    starts, owner = starts[again], owner[again]
+    if not len(starts):
+        return out
+    first = np.flatnonzero(np.append(True, (np.diff(starts) > span) | (np.diff(owner) != 0)))
+    last = np.append(first[1:], len(starts)) - 1
+    low, high, of = starts[first], starts[last] + span, owner[first]
+    # Equal stretches are sorted once, for the smallest document; the others repeat it as a whole.
+    numbers: dict[bytes, int] = {}
+    number = np.array([numbers.setdefault(joined[a:b], len(numbers)) for a, b in zip(low.tolist(), high.tolist())])
+    smallest = np.full(len(numbers), _LAST)
+    np.minimum.at(smallest, number, docs[of])
+    found = sorted_ranges(list(numbers), smallest, span)
+    whole = docs[of] > smallest[number]
+    shifted = [
+        np.array([a, b], "<i4") if w else found[n] + np.int32(a)
+        for w, n, a, b in zip(whole.tolist(), number.tolist(), (low - base[of]).tolist(), (high - base[of]).tolist())
+    ]
+    cuts = np.flatnonzero(np.append(True, np.diff(of) != 0))
+    for i, j in zip(cuts, [*cuts[1:], len(of)]):
+        out[of[i]] = np.concatenate(shifted[i:j])
+    return out
+
+
+def sorted_ranges(segments: list[bytes], docs: np.ndarray, span: int = SPAN) -> list[np.ndarray]:
+    """``repeated_ranges`` of segments, by suffix array and common prefixes."""
     sizes = np.array([len(s) + 1 for s in segments])
     text = np.frombuffer(b"\0".join([*segments, b""]), np.uint8).astype(np.int64) + 2
     ends = np.cumsum(sizes) - 1
@@ -540,7 +591,7 @@ def deduplicated(
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     buckets = max(1, size // (SPAN - GRAM) * 2 // BUCKET_ANCHORS)
-    block = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).alias("block")
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")
     placed = docs.select("doc_id", "text", block)
     by_block = placed.groupBy("block")
     named = by_block.applyInArrow(

@@ -69,3 +69,33 @@ def test_edges(spark):
     df = spark.createDataFrame([(1, "x" * 49), (2, "x" * 49), (3, None)], "doc_id long, text string")
     assert [r.n_removed for r in suffixes.deduplicated(df).collect()] == [0, 0, 0]
     assert suffixes.deduplicated(df.limit(0)).count() == 0
+
+
+def test_only_repeats_are_sorted(monkeypatch):
+    pick = random.Random(7)
+    shared = ["".join(pick.choice("abcdef ") for _ in range(120)).encode() for _ in range(5)]
+    segments = [
+        b"".join(pick.choice(shared)[pick.randint(0, 30) :] + str(pick.random()).encode() * 3 for _ in range(3))
+        for _ in range(40)
+    ]
+    docs = np.array([pick.randint(0, 30) for _ in segments])
+    whole = [r.tolist() for r in suffixes.sorted_ranges(segments, docs)]
+    sizes = []
+    plain = suffixes.sorted_ranges
+
+    def counted(segments, docs, span=50):
+        sizes.append(sum(map(len, segments)))
+        return plain(segments, docs, span)
+
+    monkeypatch.setattr(suffixes, "sorted_ranges", counted)
+    assert [r.tolist() for r in suffixes.repeated_ranges(segments, docs)] == whole
+    assert sum(sizes) < 0.7 * sum(map(len, segments))
+    assert suffixes.seen_twice(np.array([5, 1, 5, 2, 1 << 40, 9], np.uint64)).tolist() == [True, False, True, False, False, False]
+
+
+def test_a_text_of_many_megabytes(spark):
+    unit = "".join(random.Random(3).choice("abcdefgh ") for _ in range(997))
+    rows = [(1, unit * 50), (2, unit * 50_000), (3, "z" * 40 + unit[:60])]  # 50 MB
+    out = {r.doc_id: r for r in suffixes.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), False).collect()}
+    assert (out[1].n_removed, out[2].n_bytes, out[2].n_removed, out[2].n_spans) == (0, 49_850_000, 49_850_000, 1)
+    assert (out[3].n_removed, out[3].n_spans) == (60, 1)
