@@ -163,7 +163,8 @@ class Tables:
 
     @cached_property
     def exported_tickets(self) -> DataFrame:
-        """Ticket export rows: text only, dirty codes, a second version of every fourth ticket."""
+        """Ticket export rows: text only, dirty codes, some unreadable ids, a second version of every
+        fourth ticket."""
         k, when, code = F.col("o_orderkey"), self._ticket_times(), self._ticket_codes()
         version = F.col("version")
         as_text = {n: c.cast("string") for n, c in code.items()}
@@ -175,7 +176,7 @@ class Tables:
         )
         updated = F.when(k % 10 != 0, _hours_after(F.col("o_orderdate"), k % 72 + version))
         raw = {
-            "id": k,
+            "id": F.when(k % 487 == 0, F.lit("null")).otherwise(k.cast("string")),
             "entities_id": k % 3,
             "itilcategories_id": k % 21,
             "locations_id": k % 29,
@@ -393,11 +394,11 @@ class Tables:
 
     @cached_property
     def exported_reservations(self) -> DataFrame:
-        """Reservation export rows."""
+        """Reservation export rows, some without a readable id."""
         ids = self._reservation_ids()
         start, end = self._reservation_times()
         raw = {
-            "id": ids["reservation_id"],
+            "id": F.when(ids["reservation_id"] % 97 != 0, ids["reservation_id"]),
             "users_id": ids["user_id"],
             "reservationitems_id": ids["reservation_item_id"],
             "group": ids["group_id"],

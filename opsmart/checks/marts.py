@@ -62,7 +62,7 @@ def _(t):
     return silver.tickets(t.bronze_tickets, t.run_ts)
 
 
-@check("sv_reservations", "SELECT * FROM rs")
+@check("sv_reservations", "SELECT * FROM rss")
 def _(t):
     return silver.reservations(t.bronze_reservations, t.run_ts)
 

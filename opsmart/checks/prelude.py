@@ -122,15 +122,15 @@ CTES: dict[str, str] = {
         FROM (SELECT *, 0 AS version FROM tk_base UNION ALL
               SELECT *, 1 AS version FROM tk_base WHERE o_orderkey % 4 = 0) b""",
     "tks": f"""
-        SELECT o_orderkey AS ticket_id, o_orderkey % 3 AS entity_id, o_orderkey % 21 AS category_id,
-          o_orderkey % 5 AS request_type_id, o_orderkey % 29 AS location_id,
+        SELECT CASE WHEN o_orderkey % 487 <> 0 THEN o_orderkey END AS ticket_id, o_orderkey % 3 AS entity_id,
+          o_orderkey % 21 AS category_id, o_orderkey % 5 AS request_type_id, o_orderkey % 29 AS location_id,
           o_custkey AS requester_user_id, last_updater_user_id, nullif(trim(raw_name), '') AS title,
           created_ts, updated_ts, solved_ts, closed_ts, {whole("raw_status")} AS status_code,
           priority_code, type_code, deleted AS is_deleted, {DAY} AS ingestion_date,
           'orders' AS _source_file, 'glpi' AS _source_system, bronze_ts AS _ingest_bronze_ts,
           {TS} AS _ingest_silver_ts, {whole("raw_solve_delay")} AS solve_delay_sec,
           {real("raw_validation")} AS validation_percent, o_orderkey % 4 AS slas_id_ttr
-        FROM tkb QUALIFY row_number() OVER (PARTITION BY o_orderkey
+        FROM tkb QUALIFY row_number() OVER (PARTITION BY o_orderkey, CASE WHEN o_orderkey % 487 = 0 THEN version END
           ORDER BY updated_ts DESC NULLS LAST, bronze_ts DESC NULLS LAST) = 1""",
     # --- users ---
     "us_base": """
@@ -158,7 +158,8 @@ CTES: dict[str, str] = {
           TIMESTAMP '2024-01-01 08:00:00' + to_hours(version) AS _ingest_bronze_ts, {TS} AS _ingest_silver_ts
         FROM (SELECT *, 0 AS version FROM us_named UNION ALL
               SELECT *, 1 AS version FROM us_named WHERE c_custkey % 3 = 0)
-        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY updated_ts DESC NULLS LAST,
+        QUALIFY row_number() OVER (PARTITION BY user_id, CASE WHEN user_id IS NULL THEN 2 * c_custkey + version END
+          ORDER BY updated_ts DESC NULLS LAST,
           _ingest_bronze_ts DESC NULLS LAST, user_name DESC NULLS LAST, first_name DESC NULLS LAST,
           last_name DESC NULLS LAST, full_name DESC NULLS LAST, is_active DESC NULLS LAST) = 1""",
     # --- items ---
@@ -209,6 +210,12 @@ CTES: dict[str, str] = {
         SELECT * FROM rsv QUALIFY row_number() OVER (PARTITION BY reservation_id ORDER BY
           _ingest_bronze_ts DESC NULLS LAST, start_ts DESC NULLS LAST, end_ts DESC NULLS LAST,
           user_id DESC NULLS LAST, reservation_item_id DESC NULLS LAST) = 1""",
+    "rss": """
+        SELECT * EXCLUDE (n) REPLACE (CASE WHEN reservation_id % 97 <> 0 THEN reservation_id END AS reservation_id)
+        FROM (SELECT *, row_number() OVER (PARTITION BY reservation_id ORDER BY _ingest_bronze_ts DESC NULLS LAST,
+                start_ts DESC NULLS LAST, end_ts DESC NULLS LAST, user_id DESC NULLS LAST,
+                reservation_item_id DESC NULLS LAST) AS n FROM rsv)
+        WHERE n = 1 OR reservation_id % 97 = 0""",
     # --- rooms ---
     "rmb": """
         SELECT CASE WHEN p_partkey % 53 = 0 THEN '-' ELSE ' ' || p_brand || ' ' END AS viilage,
