@@ -5,10 +5,17 @@ sidebars, notices, adverts, forms, scripts, comments - are left out by tag, role
 their class and id. Every paragraph then passes points to its ancestors, one plus one per comma and
 per hundred characters (three at most), whole to the parent, half to the grandparent, a third of the
 rest upwards; a container's points are discounted by the share of its text that stands in links. The
-best container and those of its siblings that score well or hold a real paragraph are the article.
-Its text is written block by block.
+best container (the ``<article>`` or ``<main>`` around it, if there is one) and its siblings are the
+article, but for siblings that are lists of links, or boxes without a paragraph at either end. Its
+text is written block by block.
 
-Parsing is one pass over the page; unclosed, crossed and missing tags are closed as browsers do.
+Inside the article a part goes for its tag, role or a whole name of its class or id that says it is a
+side part (``share``, ``comments-section``); one word of a name (``section-header``, ``related-work``)
+does not decide there. So text of the article is never dropped for its length or its links.
+
+Parsing is one linear pass over the page, with attributes read as HTML's tokenizer does; a quoted value
+of any length ends at its quote. Unclosed, crossed and missing tags are closed as browsers do. A quote
+that never closes is an ordinary character.
 
 Defined results: a null or empty page, and one without text outside the parts left out, gives the
 empty text; rows are judged one by one, so repeated rows repeat; other columns are not read.
@@ -18,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,60 +81,80 @@ NEVER_MAIN = frozenset(
 )
 MAIN_TAGS = frozenset({"html", "body", "article", "main"})
 SCORED = frozenset("p pre td blockquote li dd".split())
+#: Siblings of the best container that belong to it wherever they stand.
+BESIDE = frozenset(
+    "h1 h2 h3 h4 h5 h6 p pre blockquote figure figcaption dl ul ol table b i em strong span a br code".split()
+)
+
+# Words that add nothing to the name of a side part; side words that also name parts of an
+# article, and the words that settle them.
+FILLING = frozenset(
+    "list lists box boxes wrapper wrap container area block inner outer item items bar links link button "
+    "buttons icon icons section content top bottom left right sticky fixed floating primary secondary main "
+    "post posts article articles story stories entry page site global user reader row col column".split()
+)
+AMBIGUOUS = frozenset(
+    "header footer foot form search notice alert legal tags skip banner reply replies response respond dialog "
+    "overlay hidden reactions discussion notices comment recommendations menu login".split()
+)
+PLACES = frozenset("page site global top bottom main left right bar wrapper container box list".split())
 
 _NAME = re.compile(r"/?[A-Za-z][^\s/>]*")
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
-_BARE_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|$|/)""", re.I)
+# The end of a tag, or an attribute with its value as HTML's tokenizer reads it.
+_ATTRIBUTE = re.compile(
+    r"""[\s/]*+(?:(>)|([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))?)?)"""
+)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _NO_DISPLAY = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "parent", "parts", "out", "mark", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "parts", "side", "out", "mark", "score", "chars", "linked")
 
-    def __init__(self, tag: str, parent: Element | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Element | None, side: bool):
+        self.tag, self.parent, self.side, self.out = tag, parent, side, side
         self.mark = 0
         self.parts: list[Element | str] = []
         self.score = 0.0
         self.chars = self.linked = 0
 
 
-def is_side(tag: str, attributes: str) -> bool:
+def is_side(tag: str, attributes: dict[str, str]) -> bool:
     """Whether this element is by its tag, role or visibility outside any article."""
     if tag in LEFT_OUT:
         return True
-    if not attributes.strip() or tag in MAIN_TAGS:
+    if not attributes or tag in MAIN_TAGS:
         return False
-    if _BARE_HIDDEN.search(attributes):
-        return True
-    for m in _ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "role" and value.strip().lower() in SIDE_ROLES:
-            return True
-        if name == "style" and _NO_DISPLAY.search(value):
-            return True
-        if name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
-
-
-def side_mark(tag: str, attributes: str) -> int:
-    """What class and id say: 0 nothing, 1 a side part, 2 one that is never the article."""
-    if not attributes.strip() or tag in MAIN_TAGS:
+    return (
+        "hidden" in attributes
+        or attributes.get("role", "").strip().lower() in SIDE_ROLES
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or _NO_DISPLAY.search(attributes.get("style", "")) is not None
+    )
+
+
+def _whole_name(pieces: list[str]) -> bool:
+    """Whether all of a name says that it is a side part."""
+    side = [p for p in pieces if p in SIDE_WORDS]
+    rest = [p for p in pieces if p not in SIDE_WORDS and not p.isdigit()]
+    return bool(side) and FILLING.issuperset(rest) and (PLACES.issuperset(rest) or not AMBIGUOUS.issuperset(side))
+
+
+def side_mark(tag: str, attributes: dict[str, str]) -> int:
+    """What class and id say: 0 nothing, 1 a side part by one word, 2 one that is never the article;
+    4 is added if a whole name says so."""
+    if tag in MAIN_TAGS:
         return 0
-    mark = 0
-    for m in _ATTRIBUTE.finditer(attributes):
-        if m[1].lower() not in ("class", "id"):
-            continue
-        for name in (m[2] or m[3] or m[4] or "").split():
-            pieces = []
-            for word in re.split(r"[_:.-]+", name):
-                pieces += [word.lower()] if word.lower() in SIDE_WORDS else [p.lower() for p in _WORD.findall(word)]
-            side = [i for i, p in enumerate(pieces) if p in SIDE_WORDS]
-            if side and LAYOUT_WORDS.isdisjoint(pieces[: side[0]]):
-                mark = max(mark, 2 if any(pieces[i] in NEVER_MAIN for i in side) else 1)
-    return mark
+    mark = sure = 0
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        pieces = []
+        for word in re.split(r"[_:.-]+", name):
+            pieces += [word.lower()] if word.lower() in SIDE_WORDS else [p.lower() for p in _WORD.findall(word)]
+        side = [i for i, p in enumerate(pieces) if p in SIDE_WORDS]
+        if side and LAYOUT_WORDS.isdisjoint(pieces[: side[0]]):
+            mark = max(mark, 2 if any(pieces[i] in NEVER_MAIN for i in side) else 1)
+            sure = sure or 4 * _whole_name(pieces)
+    return mark + sure
 
 
 def _exclude(root: Element) -> None:
@@ -150,42 +178,38 @@ def _exclude(root: Element) -> None:
             up = up.parent
     for e in elements:
         most = points[e] * 2 > points[root]
-        e.out = e.mark == 1 and not (most or e in held) or e.mark == 2 and not (most and e in held)
-
-
-def _tag_end(page: str, start: int, last_quote: dict[str, int]) -> int:
-    """The index of the ``>`` that ends the tag; a ``>`` inside quotes does not."""
-    end = page.find(">", start)
-    while end >= 0:
-        inside = page[start:end]
-        open_quote = ""
-        if '"' in inside or "'" in inside:
-            for c in re.findall("[\"']", inside):
-                if not open_quote:
-                    open_quote = c
-                elif c == open_quote:
-                    open_quote = ""
-        if not open_quote or last_quote[open_quote] < end:
-            return end
-        close = page.find(open_quote, end)
-        if close - start > 10_000:  # a lost quote, not a value
-            return end
-        end = page.find(">", close)
-    return end
+        kind = e.mark & 3
+        e.out = kind == 1 and not (most or e in held) or kind == 2 and not (most and e in held)
+
+
+def _attributes(page: str, at: int) -> tuple[dict[str, str], int, bool]:
+    """The attributes of the tag whose name ends at ``at``, where the tag ends (-1: nowhere), and
+    whether it closes itself."""
+    found: dict[str, str] = {}
+    unquoted = -1
+    while match := _ATTRIBUTE.match(page, at):
+        at = match.end()
+        if match[1]:
+            return found, at, page[at - 2] == "/" and unquoted != at - 1
+        value = match[3] or match[4] or match[5] or ""
+        found.setdefault(match[2].lower(), html.unescape(value) if "&" in value else value)
+        unquoted = at if match[5] else -1
+    return found, -1, False
 
 
 def parse(page: str) -> Element:
     """The element tree of a page."""
     root = Element("html", None, False)
-    here, at, size = root, 0, len(page)
-    last_quote = {'"': page.rfind('"'), "'": page.rfind("'")}
-    open_tags: dict[str, int] = {}
+    path, at, size = [root], 0, len(page)
+    opened: dict[str, list[int]] = {}  # by tag the depths at which it is open
 
-    def leave(element: Element) -> Element:
-        open_tags[element.tag] -= 1
-        return element.parent or root
+    def leave(depth: int) -> None:
+        """Close everything from a depth on."""
+        while len(path) > depth:
+            opened[path.pop().tag].pop()
 
     while at < size:
+        here = path[-1]
         start = page.find("<", at)
         if start < 0:
             start = size
@@ -206,53 +230,44 @@ def parse(page: str) -> Element:
             here.parts.append("<")
             at = start + 1
             continue
-        end = _tag_end(page, name.end(), last_quote)
+        attributes, end, closed = _attributes(page, name.end())
         if end < 0:
             break
-        tag, at = name[0].lower(), end + 1
+        tag, at = name[0].lower(), end
         if tag[0] == "/":
             tag = tag[1:]
-            if open_tags.get(tag):
-                while here.tag != tag or here is root:
-                    here = leave(here)
-                here = leave(here)
+            if opened.get(tag):
+                leave(opened[tag][-1])
             elif tag in ("p", "br"):
                 here.parts.append(" ")
             continue
-        attributes = page[name.end() : end]
         if tag in ("html", "body"):
             continue
-        if tag in CLOSES_P and open_tags.get("p"):
-            while here.tag != "p":
-                here = leave(here)
-            here = leave(here)
+        if tag in CLOSES_P and opened.get("p"):
+            leave(opened["p"][-1])
         elif tag in SAME_CLOSES:
             closing, borders = SAME_CLOSES[tag]
-            seen, found = here, None
-            while seen is not root and seen.tag not in borders:
-                if seen.tag in closing:
-                    found = seen
-                seen = seen.parent
-            if found is not None:
-                while here is not found:
-                    here = leave(here)
-                here = leave(here)
-        element = Element(tag, here, here.out or is_side(tag, attributes))
-        element.mark = side_mark(tag, attributes)
+            border = max((opened[t][-1] for t in borders if opened.get(t)), default=0)
+            first = [d[bisect_right(d, border) :][:1] for d in (opened.get(t, ()) for t in closing)]
+            if any(first):
+                leave(min(d[0] for d in first if d))
+        here = path[-1]
+        element = Element(tag, here, here.side or is_side(tag, attributes))
+        element.mark = side_mark(tag, attributes) if attributes else 0
         here.parts.append(element)
-        if tag in VOID or attributes.endswith("/") and tag not in BLOCKS and tag not in RAW:
+        if tag in VOID or closed and tag not in BLOCKS and tag not in RAW:
             continue
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
             if not close:
                 break
-            if not element.out:
+            if not element.side:
                 element.parts.append(page[at : close.start()])
             end = page.find(">", close.end())
             at = size if end < 0 else end + 1
             continue
-        open_tags[tag] = open_tags.get(tag, 0) + 1
-        here = element
+        opened.setdefault(tag, []).append(len(path))
+        path.append(element)
     return root
 
 
@@ -294,8 +309,8 @@ def density(e: Element) -> float:
     return e.linked / e.chars if e.chars else 0.0
 
 
-def article(root: Element) -> list[Element]:
-    """The best container with its siblings, in page order."""
+def article(root: Element) -> list[Element | str]:
+    """The best container with its siblings and the text between them, in page order."""
     _exclude(root)
     elements = _order(root)
     _measure(elements)
@@ -317,22 +332,28 @@ def article(root: Element) -> list[Element]:
         return [whole]
     if best.parent is None:
         return [best]
-    kept = []
-    for e in best.parent.parts:
-        if isinstance(e, str) or e.out:
-            continue
-        paragraph = e.tag in ("p", "blockquote", "pre") and e.chars >= 60 and density(e) < 0.25
-        if e is best or e.score * (1 - density(e)) >= max(10, 0.2 * most) or paragraph:
-            kept.append(e)
-    return kept
+    near = [p for p in best.parent.parts if p is best or isinstance(p, str) or not (p.out or _link_list(p))]
+    real = [p is best or not isinstance(p, str) and _holds_text(p) for p in near]
+    first, last = real.index(True), len(real) - real[::-1].index(True)
+    return [p for i, p in enumerate(near) if first <= i < last or isinstance(p, str) or p.tag in BESIDE]
+
+
+def _holds_text(e: Element) -> bool:
+    """Whether a sibling holds a paragraph: it scores, or is one."""
+    return density(e) < 0.5 and (e.score > 0 or e.tag in SCORED and e.chars >= 25)
+
 
+def _link_list(e: Element) -> bool:
+    """Lists and boxes that are links and little else."""
+    return e.tag in ("ul", "ol", "div", "section", "table", "dl", "p") and e.chars > 0 and density(e) > 0.6
 
-def _write(e: Element, out: list[str]) -> None:
-    """The text of an element, with a blank at the borders of blocks; depth costs no recursion.
 
-    Only what is marked as a side part is dropped inside an article; beyond it lists of links go too.
-    """
-    inside = e.tag in ("article", "main")
+def _write(e: Element | str, out: list[str]) -> None:
+    """The text of a part of the article, with a blank at the borders of blocks; depth costs no
+    recursion. What its tag, role or a whole name marks as a side part is dropped, nothing else."""
+    if isinstance(e, str):
+        out.append(e)
+        return
     stack: list[tuple[Element, int]] = [(e, 0)]
     while stack:
         e, at = stack.pop()
@@ -344,7 +365,7 @@ def _write(e: Element, out: list[str]) -> None:
             at += 1
             if isinstance(part, str):
                 out.append(part)
-            elif not part.out and (inside or not _link_list(part)):
+            elif not (part.side or part.out and part.mark & 4):
                 stack.append((e, at))
                 stack.append((part, 0))
                 break
@@ -353,11 +374,6 @@ def _write(e: Element, out: list[str]) -> None:
                 out.append(" ")
 
 
-def _link_list(e: Element) -> bool:
-    """Lists and boxes that are links and little else."""
-    return e.tag in ("ul", "ol", "div", "section", "table", "dl") and e.chars > 0 and density(e) > 0.6
-
-
 def main_text(page: str) -> str:
     """The main text of a page."""
     out: list[str] = []
