@@ -4,29 +4,31 @@ Every source is cut into blocks. With integer weights ``a`` that add up to a cyc
 block k (from 0) of a source is released at slot ``floor(k P / a)`` and due by slot
 ``ceil((k + 1) P / a)``. One block per slot is taken by earliest deadline among the released ones;
 for a single sequence of slots this meets every deadline, so after any number of slots each source
-stands less than one block away from its exact share. The schedule repeats after ``P`` slots: only
-one cycle is computed (weights are a bounded parameter), blocks of all cycles follow by
-arithmetic.
+stands less than one block away from its exact share, however many sources there are. The schedule
+repeats after ``P`` slots: only one cycle is computed, blocks of all cycles follow by arithmetic.
+
+Sources of one weight have equal releases and deadlines, so they are scheduled as one class: its k-th
+blocks are a batch, taken source by source. Between two releases the earliest batch runs on, so a cycle
+is a list of segments (class, k, first source, number, slot). Their number depends on the weights
+alone: with weights up to 100 there are at most 5050 batches and as many releases, for any number of
+sources. Equal deadlines go to the smaller weight, then to the smaller hash of the source.
 
 A source that runs out gives its slots up and the order of the rest closes ranks, so every row has a
 place. ``in_ratio`` marks the rows before the first source runs out, for which the bound holds.
 
-No source is sorted as a whole: rows are ordered by a hash of ``doc_id``, cut into ranges of hashes,
-numbered inside (source, range), and shifted by the sizes of the earlier ranges. A source with a
-third of all rows is as evenly spread as the others.
-
-Defined results: a null source is a source of its own; rows with equal ``doc_id`` (also null) follow
-one another, ordered by text; an empty table gives an empty result.
+No source is sorted as a whole: rows are ordered by a hash of ``doc_id`` (and of the text, if there is
+one), cut into ranges of hashes, numbered inside (source, range), and shifted by the sizes of the
+earlier ranges. A source with a third of all rows is as evenly spread as the others.
 
-One cycle of more than ``MAX_SOURCES`` sources would no longer be a small table. They are dealt into
-groups of about ``FAN`` by a hash, groups into groups again, until few are left; every group has a
-schedule of its own members, whose slots are its own blocks in the schedule one level up. With each
-level a source may stand up to one block further away from its share, and the weight of a group is
-the sum of its members' rounded to 1 / ``SCALE`` of the largest group's.
+Defined results: a null source is a source of its own; rows of one hash follow one another by
+``doc_id``; repeated rows count each; columns may have any name, those called like the new ones are
+replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,10 +36,10 @@ from pyspark.sql.window import Window
 from opsmart.llm.common import stored, table, tasks
 
 BLOCK = 32
-#: Largest integer weight; the sum over the sources is the length of a cycle.
+#: Largest integer weight.
 SCALE = 100
-MAX_SOURCES, FAN = 200, 50
 RANGE_ROWS = 100_000
+ADDED = ("block", "slot", "position", "in_ratio")
 
 
 def source_key(column: str = "source") -> Column:
@@ -57,239 +59,216 @@ def tempered_weights(docs: DataFrame, exponent: float = 0.5, scale: int = SCALE)
     return sizes.select("key", "n", weight.alias("weight"))
 
 
-def listed(weights: DataFrame) -> DataFrame:
-    """All sources as one row: ``sources`` (structs of key, n and weight) and ``cycle``."""
-    sources = F.sort_array(F.collect_list(F.struct("key", "n", "weight")))
-    return _with_cycle(weights.agg(sources.alias("sources")))
+def _down(a: Column, b: Column) -> Column:
+    """``a / b`` rounded down, in whole numbers."""
+    return F.call_function("div", a, b)
+
 
+def _up(a: Column, b: Column) -> Column:
+    return F.call_function("div", a + b - 1, b)
 
-def _with_cycle(one: DataFrame) -> DataFrame:
-    total = F.aggregate("sources", F.lit(0).cast("long"), lambda s, x: s + x["weight"])
-    return one.withColumn("cycle", total)
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
 
 
 def schedule(weights: DataFrame) -> DataFrame:
-    """One cycle, a row per slot: ``slot, key, weight, turn, before``.
+    """The segments of one cycle: ``weight, turn, first, count, slot``.
 
-    ``turn`` counts the source's earlier slots in the cycle, ``before`` those of every source in the
-    order of ``listed``. At most MAX_SOURCES * SCALE rows of MAX_SOURCES numbers, 32 MB.
+    From ``slot`` on, ``count`` sources of a weight, from number ``first`` in their order, place block
+    ``turn`` of their cycle, one a slot. The fold has one row of the distinct weights; its steps are at
+    most twice the sum of these.
     """
-    return _slots(listed(weights))
-
-
-def _slots(one: DataFrame) -> DataFrame:
-    """The schedule of every row's ``sources``, with the row's other columns."""
-    others = [c for c in one.columns if c not in ("sources", "cycle")]
-
-    def due(taken: Column, t: Column) -> Column:
-        """Deadline and index of each source's next block, null where it is not released."""
-        return F.transform(
-            F.arrays_zip(taken.alias("taken"), F.col("sources").alias("source")),
-            lambda x, i: F.when(
-                (x["taken"] < x["source"]["weight"])
-                & (F.floor(x["taken"] * F.col("cycle") / x["source"]["weight"]) <= t),
-                F.struct(
-                    F.ceil((x["taken"] + 1) * F.col("cycle") / x["source"]["weight"]).alias("due"),
-                    i.alias("at"),
+    counts = weights.groupBy("weight").agg(F.count("*").alias("members"))
+    classes = F.sort_array(F.collect_list(F.struct("weight", "members")))
+    total, steps = F.sum(F.col("weight") * F.col("members")), F.sum("weight")
+    one = counts.agg(classes.alias("classes"), total.alias("cycle"), steps.alias("steps"))
+    cycle = F.col("cycle")
+
+    def next_batch(taken: Column, t: Column) -> Column:
+        """The earliest deadline among released batches, with its class; null after the last."""
+        return F.array_min(
+            F.transform(
+                F.arrays_zip(taken.alias("taken"), F.col("classes").alias("of")),
+                lambda x, i: _let(
+                    _down(x["taken"], x["of"]["members"]),
+                    lambda k: F.when(
+                        (k < x["of"]["weight"]) & (_down(k * cycle, x["of"]["weight"]) <= t),
+                        F.struct(_up((k + 1) * cycle, x["of"]["weight"]).alias("due"), i.alias("at"), k.alias("turn")),
+                    ),
                 ),
-            ),
+            )
         )
 
-    def step(state: Column, t: Column) -> Column:
-        taken = state["taken"]
-        chosen = F.array_min(due(taken, t))["at"]
-        return F.struct(
-            F.transform(taken, lambda k, i: k + (i == chosen).cast("long")).alias("taken"),
-            F.concat(
-                state["picks"], F.array(F.struct(chosen.alias("at"), taken.alias("before")))
-            ).alias("picks"),
+    def next_release(t: Column) -> Column:
+        """The first slot after ``t`` at which a batch is released."""
+        found = F.transform(
+            "classes",
+            lambda c: _let(
+                _up((t + 1) * c["weight"], cycle),
+                lambda k: F.when(k < c["weight"], _down(k * cycle, c["weight"])),
+            ),
         )
+        return F.coalesce(F.array_min(found), cycle)
+
+    def run(state: Column, batch: Column) -> Column:
+        of = F.element_at("classes", batch["at"] + 1)
+        first = F.element_at(state["taken"], batch["at"] + 1) - batch["turn"] * of["members"]
+        count = F.least(of["members"] - first, next_release(state["t"]) - state["t"])
+        return _let(
+            F.struct(first.alias("first"), count.alias("count")),
+            lambda s: F.struct(
+                (state["t"] + s["count"]).alias("t"),
+                F.transform(state["taken"], lambda n, i: n + F.when(i == batch["at"], s["count"]).otherwise(0)).alias("taken"),
+                F.concat(
+                    state["found"],
+                    F.array(
+                        F.struct(
+                            of["weight"].alias("weight"), batch["turn"].alias("turn"), s["first"].alias("first"),
+                            s["count"].alias("count"), state["t"].alias("slot"),
+                        )
+                    ),
+                ).alias("found"),
+            ),
+        )
 
+    nothing = "array<struct<weight:bigint,turn:bigint,first:bigint,count:bigint,slot:bigint>>"
     start = F.struct(
-        F.transform("sources", lambda x: F.lit(0).cast("long")).alias("taken"),
-        F.array().cast("array<struct<at:int,before:array<bigint>>>").alias("picks"),
+        F.lit(0).cast("long").alias("t"),
+        F.transform("classes", lambda c: F.lit(0).cast("long")).alias("taken"),
+        F.array().cast(nothing).alias("found"),
     )
-    slots = F.sequence(F.lit(0).cast("long"), F.col("cycle") - 1)
-    picks = F.aggregate(slots, start, step, lambda state: state["picks"])
-    source = F.element_at("sources", F.col("pick")["at"] + 1)
-    return (
-        one.filter("cycle > 0")
-        .select(*others, "sources", F.posexplode(picks).alias("slot", "pick"))
-        .select(
-            *others,
-            F.col("slot").cast("long").alias("slot"),
-            source["key"].alias("key"),
-            source["weight"].alias("weight"),
-            F.element_at(F.col("pick")["before"], F.col("pick")["at"] + 1).alias("turn"),
-            F.col("pick")["before"].alias("before"),
-        )
+    found = F.aggregate(
+        F.sequence(F.lit(1).cast("long"), 2 * F.col("steps")),
+        start,
+        lambda state, _: _let(
+            next_batch(state["taken"], state["t"]), lambda b: F.when(b.isNull(), state).otherwise(run(state, b))
+        ),
+        lambda state: state["found"],
     )
+    return one.filter("cycle > 0").select(F.inline(found))
 
 
-def numbered(docs: DataFrame, weights: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``, its ``_weight`` and ``_rank``, the row's number in its source from 0."""
-    ranges = tasks(docs.sparkSession, docs.count(), RANGE_ROWS)
-    hashed = F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("z"))
-    prefix = F.coalesce(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long"), F.lit((1 << 32) - 1))
-    keyed = (
-        docs.withColumn("_key", source_key())
-        .withColumn("_hash", hashed)
-        .withColumn("_range", F.floor(prefix * ranges / (1 << 32)).cast("long"))
-    )
-    earlier = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+def _ranked(rows: DataFrame, count: int, ties: list[str]) -> DataFrame:
+    """``rows`` (``count`` of them, with ``key`` and a hexadecimal ``hash``) with ``rank``, the row's
+    number in its key from 0, in the order of the hash."""
+    ranges = tasks(rows.sparkSession, count, RANGE_ROWS)
+    prefix = F.conv(F.substring("hash", 1, 8), 16, 10).cast("long")
+    dealt = rows.withColumn("range", F.floor(prefix * ranges / (1 << 32)).cast("long"))
+    earlier = Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        keyed.groupBy("_key", "_range")
-        .agg(F.count("*").alias("_n"))
-        .select("_key", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-        .join(weights.select(F.col("key").alias("_key"), F.col("weight").alias("_weight")), "_key")
+        dealt.groupBy("key", "range")
+        .agg(F.count("*").alias("size"))
+        .select("key", "range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"))
     )
-    ties = [F.xxhash64("text")] if "text" in docs.columns else []
-    inside = Window.partitionBy("_key", "_range").orderBy("_hash", "doc_id", *ties)
+    inside = Window.partitionBy("key", "range").orderBy("hash", *ties)
     return (
-        keyed.withColumn("_row", F.row_number().over(inside))
-        .join(offsets, ["_key", "_range"])
-        .withColumn("_rank", F.col("_offset") + F.col("_row") - 1)
-        .drop("_hash", "_range", "_row", "_offset")
+        dealt.withColumn("number", F.row_number().over(inside))
+        .join(offsets, ["key", "range"])
+        .withColumn("rank", F.col("offset") + F.col("number") - 1)
+        .drop("range", "number", "offset")
     )
 
 
-def mixed(docs: DataFrame, weights: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+class _Plan:
+    """The schedule of one table: stored sources (``key, n, weight, member``), stored segments by
+    (weight, turn), and what follows from both."""
+
+    def __init__(self, weights: DataFrame, block: int):
+        self.block = block
+        own = stored(weights.select("key", "n", "weight"), "mix-weights")
+        sources, rows, cycle = own.agg(F.count("*"), F.sum("n"), F.sum("weight")).first()
+        self.rows, self.cycle = rows or 0, cycle or 0
+        if not self.cycle:
+            return
+        classes = own.select(F.col("weight").alias("key"), F.md5("key").alias("hash"), F.struct("key", "n").alias("own"))
+        members = _ranked(classes, sources, ["own"])
+        self.sources = stored(members.select("own.*", F.col("key").alias("weight"), F.col("rank").alias("member")), "mix-sources")
+        runs = F.collect_list(F.struct("first", "count", "slot")).alias("runs")
+        self.segments = stored(schedule(own).groupBy("weight", "turn").agg(runs), "mix-segments")
+        # The block after a source's last one marks the slot at which it has run out.
+        blocks = F.ceil(F.col("n") / block)
+        ends = self.sources.withColumn("block", F.explode(F.array(blocks, F.greatest(F.lit(0), blocks - 1))))
+        over = F.col("block") >= blocks
+        self.stop, self.last = (
+            self.slots(ends).agg(F.min(F.when(over, F.col("slot"))), F.max(F.when(~over, F.col("slot")))).first()
+        )
+
+    def slots(self, blocks: DataFrame) -> DataFrame:
+        """``slot`` of each row's ``block``, by its ``weight`` and ``member``. The segments are a small
+        stored table, which Spark broadcasts by its size."""
+        turned = blocks.withColumns(
+            {"turn": F.col("block") % F.col("weight"), "round": _down(F.col("block"), F.col("weight"))}
+        )
+        run = F.filter(
+            "runs", lambda r: (r["first"] <= F.col("member")) & (F.col("member") < r["first"] + r["count"])
+        )[0]
+        slot = F.col("round") * self.cycle + run["slot"] + F.col("member") - run["first"]
+        return turned.join(self.segments, ["weight", "turn"]).withColumn("slot", slot).drop("turn", "round", "runs")
+
+    def placed(self, docs: DataFrame, content: Column | None = None) -> DataFrame:
+        """The rows as structs ``row``, with ``rank`` in their source, ``block`` and ``slot``."""
+        if content is None and "text" in docs.columns:
+            content = F.xxhash64("text")
+        named = F.col("doc_id").cast("string")
+        hashed = F.coalesce(F.md5(named), F.lit("ffffffff"))
+        if content is not None:
+            hashed = F.md5(F.concat_ws(":", named, content.cast("string")))
+        rows = docs.select(
+            source_key().alias("key"), hashed.alias("hash"), "doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+        )
+        numbered = _ranked(rows, self.rows, ["doc_id"]).withColumn("block", F.floor(F.col("rank") / self.block))
+        known = self.sources.select("key", "weight", "member")
+        return self.slots(numbered.join(known, "key"))
+
+
+def mixed(
+    docs: DataFrame, weights: DataFrame | None = None, block: int = BLOCK, content: Column | None = None
+) -> DataFrame:
     """``docs`` with ``block``, ``slot``, ``position`` (from 0, without gaps) and ``in_ratio``.
 
     ``weights`` has ``key`` (see ``source_key``), ``n`` rows and an integer ``weight`` for every
-    source of ``docs``; without it sizes are tempered by a square root. Columns of ``docs`` with the
-    names of the new ones are replaced.
+    source of ``docs``; without it sizes are tempered by a square root. ``content`` stands for the
+    text in the order of the rows, by default the XXH64 of ``text``.
     """
-    weights = tempered_weights(docs) if weights is None else weights
-    added = ("block", "slot", "position", "in_ratio")
-    docs = docs.drop(*added)
-    if weights.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        return _nested(docs, weights, block).select(*docs.columns, *added)
-    cycle = schedule(weights)
-    one = listed(weights)
-    own = cycle.select(F.col("key").alias("_key"), "turn", F.col("slot").alias("_slot"), "before")
-    placed = (
-        numbered(docs, weights)
-        .withColumn("block", F.floor(F.col("_rank") / block))
-        .withColumn("turn", F.col("block") % F.col("_weight"))
-        .withColumn("_round", F.floor(F.col("block") / F.col("_weight")))
-        .join(F.broadcast(own), ["_key", "turn"])
-        .withColumn("sources", one.select("sources").scalar())
-    )
-    before = F.aggregate(
-        F.arrays_zip("before", "sources"),
-        F.lit(0).cast("long"),
-        lambda total, x: total
-        + F.least(
-            x["sources"]["n"], block * (F.col("_round") * x["sources"]["weight"] + x["before"])
-        ),
-    )
-    slot = F.col("_round") * one.select("cycle").scalar() + F.col("_slot")
-    return (
-        placed.withColumn("slot", slot)
-        .withColumn("position", before + F.col("_rank") % block)
-        .withColumn("in_ratio", F.col("slot") < _first_end(cycle, one, block).scalar())
-        .select(*docs.columns, *added)
-    )
-
-
-def _first_end(cycle: DataFrame, one: DataFrame, block: int) -> DataFrame:
-    """The first slot for which a source has no block left, as one value."""
-    sources = one.select("cycle", F.explode("sources").alias("source")).select(
-        "cycle",
-        F.col("source.key").alias("key"),
-        F.ceil(F.col("source.n") / block).alias("blocks"),
-    )
-    turn = F.col("blocks") % F.col("weight")
-    slot = F.floor(F.col("blocks") / F.col("weight")) * F.col("cycle") + F.col("slot")
-    return cycle.join(sources, "key").filter(F.col("turn") == turn).agg(F.min(slot))
-
-
-def _levels(weights: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Per level ``key, parent, weight, cycle, slots`` (the slots of a cycle that are the key's own),
-    and the same without ``parent`` for what is left on top."""
-    own = F.sort_array(F.collect_list("slot")).alias("slots")
-    nodes, found = weights.select("key", "n", "weight"), []
-    while (count := nodes.count()) > MAX_SOURCES:
-        parent = F.pmod(F.xxhash64("key", F.lit(len(found))), F.lit(-(-count // FAN)))
-        nodes = stored(nodes.withColumn("parent", parent.cast("string")), "mix-nodes")
-        sources = F.sort_array(F.collect_list(F.struct("key", "n", "weight")))
-        one = _with_cycle(nodes.groupBy("parent").agg(sources.alias("sources")))
-        found.append(
-            _slots(one)
-            .groupBy("key", "parent", "weight")
-            .agg(own)
-            .join(one.select("parent", "cycle"), "parent")
-        )
-        sums = nodes.groupBy(F.col("parent").alias("key")).agg(
-            F.sum("n").alias("n"), F.sum("weight").alias("total")
-        )
-        share = SCALE * F.col("total") / sums.agg(F.max("total")).scalar()
-        nodes = sums.select("key", "n", F.greatest(F.lit(1), F.round(share)).cast("long").alias("weight"))
-    top = schedule(nodes).groupBy("key", "weight").agg(own)
-    return found, top.withColumn("cycle", listed(nodes).select("cycle").scalar())
-
-
-def _nested(docs: DataFrame, weights: DataFrame, block: int) -> DataFrame:
-    """``mixed`` for any number of sources."""
-    spark = docs.sparkSession
-    weights = stored(weights.select("key", "n", "weight"), "mix-weights")
-    levels, top = _levels(weights)
-    # The last block of a source holds no row: it marks where the source has run out.
-    blocks = weights.select(
-        "key",
-        F.col("key").alias("_key"),
-        "n",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / block))).alias("block"),
-    ).withColumn("slot", F.col("block"))
-    turn = F.element_at("slots", (F.col("slot") % F.col("weight") + 1).cast("int"))
-    slot = F.floor(F.col("slot") / F.col("weight")) * F.col("cycle") + turn
-    for level in levels:
-        blocks = (
-            blocks.join(level, "key")
-            .withColumn("slot", slot)
-            .drop("key", "weight", "cycle", "slots")
-            .withColumnRenamed("parent", "key")
-        )
-    blocks = blocks.join(F.broadcast(top), "key").withColumn("slot", slot)
-    rows = F.greatest(F.lit(0), F.least(F.lit(block), F.col("n") - block * F.col("block")))
-    blocks = stored(blocks.select("_key", "block", "slot", rows.alias("rows")), "mix-blocks")
-
-    ends = blocks.agg(F.max("slot").alias("last"), F.min(F.when(F.col("rows") == 0, F.col("slot"))).alias("stop"))
-    last, stop = ends.first()
-    ranges = tasks(spark, blocks.count(), RANGE_ROWS)
-    dealt = blocks.filter("rows > 0").withColumn(
-        "_range", F.floor(F.col("slot").cast("decimal(38,0)") * ranges / (last + 1)).cast("long")
+    plan = _Plan(tempered_weights(docs) if weights is None else weights, block)
+    own = [f"row.`{c}`" for c in docs.columns if c not in ADDED]
+    if not plan.cycle:
+        empty = [F.lit(None).cast(t).alias(n) for n, t in zip(ADDED, ("long", "long", "long", "boolean"))]
+        return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(*own, *empty).limit(0)
+    placed = plan.placed(docs, content)
+    ranges = tasks(docs.sparkSession, plan.rows // block + 1, RANGE_ROWS)
+    blocks = (
+        placed.groupBy("slot")
+        .agg(F.count("*").alias("rows"))
+        .withColumn("range", F.floor(F.col("slot").cast("decimal(38,0)") * ranges / (plan.last + 1)).cast("long"))
     )
     # One row per range.
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        dealt.groupBy("_range")
+        blocks.groupBy("range")
         .agg(F.sum("rows").alias("sum"))
-        .select("_range", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("offset"))
-    )
-    inside = Window.partitionBy("_range").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    places = dealt.join(F.broadcast(offsets), "_range").select(
-        "_key",
-        "block",
-        "slot",
-        (F.col("offset") + F.coalesce(F.sum("rows").over(inside), F.lit(0))).alias("_before"),
+        .select("range", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("offset"))
     )
+    inside = Window.partitionBy("range").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("offset") + F.coalesce(F.sum("rows").over(inside), F.lit(0))
+    places = blocks.join(offsets, "range").select("slot", before.alias("before"))
     return (
-        numbered(docs, weights)
-        .withColumn("block", F.floor(F.col("_rank") / block))
-        .join(places, ["_key", "block"])
-        .withColumn("position", F.col("_before") + F.col("_rank") % block)
-        .withColumn("in_ratio", F.col("slot") < F.lit(stop))
+        placed.join(places, "slot")
+        .withColumn("position", F.col("before") + F.col("rank") % block)
+        .withColumn("in_ratio", F.col("slot") < plan.stop)
+        .select(*own, *ADDED)
     )
 
 
 def ordered(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in mixed order, with their own columns."""
-    own = docs.select(
-        F.struct(*docs.columns).alias("row"), "doc_id", "source", F.xxhash64("text").alias("text")
-    )
-    return mixed(own).orderBy("position").select("row.*")
+    plan = _Plan(tempered_weights(docs), BLOCK)
+    if not plan.cycle:
+        return docs.limit(0)
+    rows = plan.placed(docs).orderBy("slot", "rank")
+    return rows.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,19 +280,20 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = """
 WITH RECURSIVE sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 weights AS (
-    SELECT source, n, CAST(greatest(1, round(100 * sqrt(n / (SELECT max(n) FROM sizes)))) AS BIGINT) AS a
+    SELECT source, n, CAST(greatest(1, round(100 * sqrt(n / (SELECT max(n) FROM sizes)))) AS BIGINT) AS a,
+        md5(coalesce('1' || source, '0')) AS name
     FROM sizes
 ),
 total AS (SELECT CAST(sum(a) AS BIGINT) AS p FROM weights),
 edf AS (
-    SELECT CAST(-1 AS BIGINT) AS t, source, a, p, CAST(0 AS BIGINT) AS k, false AS pick
+    SELECT CAST(-1 AS BIGINT) AS t, source, name, a, p, CAST(0 AS BIGINT) AS k, false AS pick
     FROM weights, total
     UNION ALL
-    SELECT t, source, a, p, k,
+    SELECT t, source, name, a, p, k,
         row_number() OVER (
-            ORDER BY k < a AND (k * p) // a <= t DESC, ((k + 1) * p + a - 1) // a, source
+            ORDER BY k < a AND (k * p) // a <= t DESC, ((k + 1) * p + a - 1) // a, a, name
         ) = 1
-    FROM (SELECT t + 1 AS t, source, a, p, k + CAST(pick AS BIGINT) AS k FROM edf)
+    FROM (SELECT t + 1 AS t, source, name, a, p, k + CAST(pick AS BIGINT) AS k FROM edf)
     WHERE t < p
 ),
 slots AS (SELECT t, source, a, p, k FROM edf WHERE pick),
