@@ -45,8 +45,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The place is a function of the rows, whatever their order; it also tells rows without ``doc_id``
     apart, so it is the key by which the digests come back.
     """
-    hashed = docs.select("doc_id", "source", F.xxhash64("text").alias("text"), F.struct("text").alias("own"))
-    placed = stored(mixing.mixed(hashed).drop("text"), "pipeline-places")
+    named = docs.select("doc_id", "source", F.struct("text").alias("own"))
+    placed = stored(mixing.mixed(named, content=F.xxhash64("own.text")), "pipeline-places")
     digests = bpe.digests(placed.select(F.col("position").alias("doc_id"), "own.text"))
     return (
         digests.withColumnRenamed("doc_id", "position")
