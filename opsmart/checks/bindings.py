@@ -161,10 +161,27 @@ class Tables:
         """Stored bronze tickets."""
         return self.stored("bronze_tickets", lambda: self.exported_tickets)
 
-    @cached_property
+    @property
     def exported_tickets(self) -> DataFrame:
         """Ticket export rows: text only, dirty codes, some unreadable ids, a second version of every
         fourth ticket."""
+        return self.ticket_exports.drop("_key", "_version")
+
+    def ticket_day(self, number: int) -> DataFrame:
+        """The export of one of three days: every row comes on one of them, and the second version of
+        every eighth ticket was created forty days later."""
+        k, version = F.col("_key"), F.col("_version")
+        created = F.to_timestamp(F.when(F.col("date_creation").startswith("0"), None).otherwise(F.col("date_creation")))
+        moved = _text_ts(F.timestamp_add("DAY", F.lit(40), created))
+        late = (version == 1) & (k % 8 == 0) & created.isNotNull()
+        rows = self.ticket_exports.where((k + version) % 3 == number)
+        return rows.withColumn("date_creation", F.when(late, moved).otherwise(F.col("date_creation"))).drop(
+            "_key", "_version", "ingestion_date", "_source_file", "_source_system", "_ingest_bronze_ts"
+        )
+
+    @cached_property
+    def ticket_exports(self) -> DataFrame:
+        """``exported_tickets`` with the ticket's key and version."""
         k, when, code = F.col("o_orderkey"), self._ticket_times(), self._ticket_codes()
         version = F.col("version")
         as_text = {n: c.cast("string") for n, c in code.items()}
@@ -204,7 +221,7 @@ class Tables:
         return (
             self.source("orders")
             .withColumn("version", versions)
-            .select(*exported, *[c.alias(n) for n, c in stamps.items()])
+            .select(*exported, *[c.alias(n) for n, c in stamps.items()], k.alias("_key"), version.alias("_version"))
         )
 
     # --- users <- customer ---

@@ -142,7 +142,8 @@ def _(t):
     return counted(t.bronze_users, numbers.to_long(F.col("id")).alias("user_id"), name="rows")
 
 
-@check("sf_07_parse_ts", "SELECT CAST(o_orderkey AS VARCHAR) AS id, created_ts, updated_ts FROM tkb")
+@check("sf_07_parse_ts", """SELECT CASE WHEN o_orderkey % 487 = 0 THEN 'null' ELSE CAST(o_orderkey AS VARCHAR) END AS id,
+    created_ts, updated_ts FROM tkb""")
 def _(t):
     return t.bronze_tickets.select(
         "id",

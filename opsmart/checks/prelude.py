@@ -58,16 +58,18 @@ def hours(start: str, end: str) -> str:
     return f"CASE WHEN {end} >= {start} THEN date_diff('second', {start}, {end}) / 3600.0::DOUBLE END"
 
 
-def rollup(keys: str, aggs: str = "count(*) AS ticket_count", null_period: bool = False) -> str:
+def rollup(
+    keys: str, aggs: str = "count(*) AS ticket_count", null_period: bool = False, table: str = "tk"
+) -> str:
     """Both grains of a ticket mart, written as two aggregations."""
     lead = f"{keys}, " if keys else ""
     group = f"GROUP BY {keys}" if keys else ""
     also = f", {keys}" if keys else ""
     where = "" if null_period else "WHERE created_ts IS NOT NULL"
     return f"""
-        SELECT 'ALL' AS period, {lead}{aggs} FROM tk {group}
+        SELECT 'ALL' AS period, {lead}{aggs} FROM {table} {group}
         UNION ALL
-        SELECT strftime(created_ts, '%Y-%m') AS period, {lead}{aggs} FROM tk {where}
+        SELECT strftime(created_ts, '%Y-%m') AS period, {lead}{aggs} FROM {table} {where}
         GROUP BY strftime(created_ts, '%Y-%m'){also}"""
 
 
@@ -132,6 +134,14 @@ CTES: dict[str, str] = {
           {real("raw_validation")} AS validation_percent, o_orderkey % 4 AS slas_id_ttr
         FROM tkb QUALIFY row_number() OVER (PARTITION BY o_orderkey, CASE WHEN o_orderkey % 487 = 0 THEN version END
           ORDER BY updated_ts DESC NULLS LAST, bronze_ts DESC NULLS LAST) = 1""",
+    "tkm": f"""
+        SELECT CASE WHEN o_orderkey % 487 <> 0 THEN o_orderkey END AS ticket_id, nullif(trim(raw_name), '') AS title,
+          CASE WHEN version = 1 AND o_orderkey % 8 = 0 THEN created_ts + INTERVAL 40 DAY ELSE created_ts END AS created_ts,
+          updated_ts, solved_ts, closed_ts, {whole("raw_status")} AS status_code, priority_code,
+          o_orderkey % 21 AS category_id, o_orderkey % 29 AS location_id, o_custkey AS requester_user_id,
+          last_updater_user_id, CAST(DATE '2024-01-29' + CAST((o_orderkey + version) % 3 AS INTEGER) AS DATE) AS ingestion_date
+        FROM tkb QUALIFY row_number() OVER (PARTITION BY o_orderkey, CASE WHEN o_orderkey % 487 = 0 THEN version END
+          ORDER BY updated_ts DESC NULLS LAST, (o_orderkey + version) % 3 DESC) = 1""",
     # --- users ---
     "us_base": """
         SELECT c_custkey, CASE WHEN c_custkey % 15 = 0 THEN '' WHEN c_custkey % 10 = 0 THEN 'admin' || c_custkey

@@ -11,7 +11,7 @@ from opsmart.functions import facility, numbers, times
 from opsmart.operators.audit import key_report
 from opsmart.operators.latest import latest_per_key
 from opsmart.operators.lookup import attach, attach_codes, in_role
-from opsmart.operators.rollup import bucketize, counted, period_rollup, stacked_rollup, with_share
+from opsmart.operators.rollup import bucketize, counted, period_rollup, with_share
 from opsmart.operators.select import asc, desc, page, pivot_sum, top_k
 from opsmart.plans import gold_reservations as gr
 from opsmart.plans import gold_tickets as gt
@@ -244,7 +244,9 @@ def _(t):
 # --- set operations ---
 @check("so_01_union_by_name", "SELECT * FROM n_status")
 def _(t):
-    return stacked_rollup(t.tickets, "created_ts", ["status_code"])
+    dated = t.tickets.where(F.col("created_ts").isNotNull())
+    monthly = counted(dated, F.date_format("created_ts", "yyyy-MM").alias("period"), "status_code")
+    return counted(t.tickets, "status_code").withColumn("period", F.lit("ALL")).unionByName(monthly)
 
 
 @check("so_02_distinct", "SELECT DISTINCT user_id, reservation_item_id FROM rsv")

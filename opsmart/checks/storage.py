@@ -14,12 +14,12 @@ from pyspark.sql import types as T
 
 from opsmart.checks.bindings import SNAPSHOT_DAY, Tables
 from opsmart.checks.marts import dimension_usage, gold
-from opsmart.checks.prelude import STAMP
+from opsmart.checks.prelude import STAMP, rollup
 from opsmart.checks.registry import check
 from opsmart.contracts import SERVING_KEYS, serving_tables
 from opsmart.functions import numbers
 from opsmart.operators.audit import key_report, observed
-from opsmart.plans import dims, jobs
+from opsmart.plans import dims, incremental, jobs
 from opsmart.sources import lake, landing, publish
 from opsmart.streaming.landing_stream import ingest_available
 
@@ -304,6 +304,85 @@ def _(t):
     )
 
 
+MERGE_DAYS = ("2024-01-29", "2024-01-30", "2024-01-31")
+
+
+def _merged_days(t: Tables, after_day=lambda silver_root: None) -> str:
+    """Three daily exports taken into silver one by one."""
+    root, bronze, silver_root = t.scratch("landing"), t.scratch("bronze"), t.scratch("silver")
+    for number, day in enumerate(MERGE_DAYS):
+        t.ticket_day(number).write.json(f"{root}/tickets/{lake.INGESTION_DATE}={day}")
+        jobs.ingest(t.spark, "tickets", root, bronze, t.run_ts)
+        incremental.merge_silver(t.spark, "tickets", bronze, silver_root, t.run_ts)
+        after_day(silver_root)
+    return silver_root
+
+
+@check("jb_6_merge_silver", """SELECT ticket_id, title, created_ts, updated_ts, solved_ts, closed_ts, status_code, priority_code,
+    category_id, location_id, requester_user_id, last_updater_user_id, ingestion_date FROM tkm""")
+def _(t):
+    return lake.read_table(t.spark, f"{_merged_days(t)}/tickets").select(
+        "ticket_id", "title", "created_ts", "updated_ts", "solved_ts", "closed_ts", "status_code", "priority_code",
+        "category_id", "location_id", "requester_user_id", "last_updater_user_id", "ingestion_date",
+    )
+
+
+def _mart_rows(name: str, key_1: str = "NULL", key_2: str = "NULL", tickets: str = "ticket_count", figure: str = "NULL"):
+    return [
+        f"'{name}' AS mart", "period", f"CAST({key_1} AS BIGINT) AS key_1", f"CAST({key_2} AS BIGINT) AS key_2",
+        f"CAST({tickets} AS BIGINT) AS tickets", f"CAST({figure} AS DOUBLE) AS figure",
+    ]
+
+
+def _per(keys: str, aggs: str = "count(*) AS ticket_count", null_period: bool = False) -> str:
+    return f"({rollup(keys, aggs, null_period, 'tkm')})"
+
+
+_CARDS = """count(*) AS ticket_count, count(*) FILTER (WHERE solved_ts IS NULL AND closed_ts IS NULL) AS is_open,
+    count(DISTINCT last_updater_user_id) AS technicians"""
+_SHARED = f"(SELECT *, ticket_count / sum(ticket_count) OVER (PARTITION BY period)::DOUBLE AS share FROM {_per('category_id')})"
+#: Serving name -> how its rows are compared, and the SQL table of the same rows.
+_PERIOD_MARTS = {
+    "tickets_cards": (("cards", "is_open", "technicians", "total_tickets", "open_rate"), None),
+    "kpi_status_distribution_period": (("status", "status_code"), _per("status_code")),
+    "kpi_priority_distribution_period": (("priority", "priority_code"), _per("priority_code")),
+    "kpi_tickets_by_category_period": (("category", "category_id", "NULL", "ticket_count", "share"), _SHARED),
+    "kpi_tickets_by_location_period": (("location", "location_id"), _per("location_id")),
+    "kpi_tickets_by_requester_period": (("requester", "requester_user_id"), _per("requester_user_id")),
+    "kpi_tickets_by_technician_period": (("technician", "last_updater_user_id"), _per("last_updater_user_id")),
+    "kpi_load_by_technician_priority_period": (
+        ("load", "last_updater_user_id", "priority_code"),
+        _per("last_updater_user_id, priority_code"),
+    ),
+    "kpi_tickets_by_month": (
+        ("month",),
+        "(SELECT strftime(created_ts, '%Y-%m') AS period, count(*) AS ticket_count FROM tkm WHERE created_ts IS NOT NULL GROUP BY 1)",
+    ),
+}
+_MERGED_SQL = [
+    f"SELECT {', '.join(_mart_rows('cards', 'is_open', 'technicians', 'ticket_count', 'is_open / ticket_count::DOUBLE'))} "
+    f"FROM {_per('', _CARDS, True)}"
+] + [f"SELECT {', '.join(_mart_rows(*how))} FROM {sql}" for how, sql in _PERIOD_MARTS.values() if sql]
+
+
+@check("jb_7_merge_marts", " UNION ALL ".join(_MERGED_SQL))
+def _(t):
+    gold_root = t.scratch("gold")
+
+    def refresh(silver_root: str) -> None:
+        if lake.current_version(t.spark, f"{silver_root}/users") is None:
+            jobs.build_dimensions(t.spark, silver_root)
+            lake.replace_snapshot(t.users, f"{silver_root}/users")
+        incremental.refresh_ticket_marts(t.spark, silver_root, gold_root, t.run_ts)
+
+    _merged_days(t, refresh)
+    marts = [
+        lake.read_table(t.spark, f"{gold_root}/tickets/{name}").selectExpr(*_mart_rows(*how))
+        for name, (how, _) in _PERIOD_MARTS.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), marts)
+
+
 _MART_OF = {
     "space_room_current": "rc", "space_kpi_global_current": "s_global", "space_kpi_by_site_current": "s_site",
     "space_kpi_by_site_space_type_current": "s_space_type", "space_kpi_by_site_org_type_current": "s_org_type",

@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Order:
+    """Which of two rows of one key is newer: ``newest`` columns, then ``ties``, all descending."""
+
+    key: str
+    newest: Sequence[str]
+    ties: Sequence[str] = ()
+
+
 def newest_first(*names: str) -> list[Column]:
     """Descending order with NULLs last for each name."""
     return [F.col(n).desc_nulls_last() for n in names]

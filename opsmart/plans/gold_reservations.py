@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from opsmart.functions import times as when_
 from opsmart.operators.latest import latest_per_key
 from opsmart.operators.lookup import attach, in_role
-from opsmart.operators.rollup import bucketize, counted
+from opsmart.operators.rollup import bucketize, counted, distinct_totals
 
 # Duration buckets in hours, lower edge inclusive.
 BUCKET_EDGES = (1, 2, 4, 8)
@@ -102,20 +102,18 @@ def _invalid_count() -> Column:
 
 
 def cards_current(reservations: DataFrame, run_ts: Column | None = None) -> DataFrame:
-    """Totals over all reservations, as one row.
-
-    The fact is reduced to (item, user) first, so both distinct counts expand only that result.
-    """
-    pairs = reservations.groupBy("reservation_item_id", "user_id").agg(
-        F.count(F.lit(1)).alias("_rows"), *hour_aggs(), _invalid_count()
-    )
-    kpis = pairs.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_reservations"),
-        F.sum("_seconds").alias("_seconds"),
-        F.coalesce(F.sum("_timed"), F.lit(0)).alias("_timed"),
-        F.coalesce(F.sum("invalid_duration_count"), F.lit(0)).alias("invalid_duration_count"),
-        F.countDistinct("reservation_item_id").alias("distinct_items"),
-        F.countDistinct("user_id").alias("distinct_users"),
+    """Totals over all reservations, as one row; what is shuffled are bitmaps of ids."""
+    seconds, timed = hour_aggs()
+    sums = {
+        "total_reservations": F.count(F.lit(1)),
+        "_seconds": seconds,
+        "_timed": timed,
+        "invalid_duration_count": _invalid_count(),
+    }
+    ids = {"distinct_items": "reservation_item_id", "distinct_users": "user_id"}
+    counts = [n for n in sums if n != "_seconds"]
+    kpis = distinct_totals(reservations, ids, sums).withColumns(
+        {n: F.coalesce(n, F.lit(0)) for n in counts}
     )
     names = ["total_reservations", "reserved_hours", "avg_duration_hours",
              "invalid_duration_count", "distinct_items", "distinct_users"]

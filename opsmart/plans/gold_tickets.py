@@ -1,7 +1,8 @@
 """Service ticket marts.
 
 As with reservations, the KPI marts aggregate the silver fact on its ids and attach labels and
-names to the aggregated rows.
+names to the aggregated rows. The period marts take the fact or the monthly states that stand for it
+(``STATES``, kept up to date by ``plans.incremental``).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from opsmart.functions import times as when_
 from opsmart.functions.numbers import ratio
 from opsmart.operators.lookup import attach, attach_codes, in_role
-from opsmart.operators.rollup import counted, period_rollup, with_share
+from opsmart.operators.rollup import MONTH, counted, period_rollup, with_share
 
 REQUESTER = {
     "user_id": "requester_user_id",
@@ -35,6 +36,15 @@ CODE_OF = {
     "ticket_location": "location_id",
 }
 CREATED = "created_ts"
+#: Monthly states: name -> keys. Each has ``ticket_count``, ``is_open`` and ``is_resolved``.
+STATES = {
+    "status": ["status_code"],
+    "priority": ["priority_code"],
+    "category": ["category_id"],
+    "location": ["location_id"],
+    "requester": ["requester_user_id"],
+    "technician": ["last_updater_user_id", "priority_code"],
+}
 
 
 def is_open() -> Column:
@@ -81,6 +91,21 @@ def enriched(
     )
 
 
+def state_sums(sign: Column | None = None) -> dict[str, Column]:
+    """The additive figures of a group of tickets; with a sign, of tickets that come and go."""
+    one = F.lit(1) if sign is None else sign
+    counts = {"ticket_count": one, "is_open": F.when(is_open(), one), "is_resolved": F.when(~is_open(), one)}
+    return {name: F.coalesce(F.sum(c), F.lit(0)) for name, c in counts.items()}
+
+
+def _per_month(tickets: DataFrame) -> DataFrame:
+    """Tickets with a creation time per month, as ``_month`` and ``ticket_count``."""
+    if MONTH in tickets.columns:
+        return tickets.where(F.col(MONTH).isNotNull()).groupBy(MONTH).agg(F.sum("ticket_count").alias("ticket_count"))
+    dated = tickets.where(F.col(CREATED).isNotNull())
+    return counted(dated, when_.month_start(F.col(CREATED)).alias(MONTH))
+
+
 def _finish(df: DataFrame, columns: list[str], run_ts: Column | None) -> DataFrame:
     stamp = when_.run_stamp(run_ts).alias("gold_kpi_build_ts")
     return df.select(*columns, stamp)
@@ -91,14 +116,10 @@ def cards(tickets: DataFrame, run_ts: Column | None = None) -> DataFrame:
     kpis = period_rollup(
         tickets,
         CREATED,
-        sums={
-            "total_tickets": F.count(F.lit(1)),
-            "is_open": F.count_if(is_open()),
-            "is_resolved": F.count_if(~is_open()),
-        },
+        sums=state_sums(),
         distinct={"technicians": "last_updater_user_id"},
         keep_null_period=True,
-    )
+    ).withColumnRenamed("ticket_count", "total_tickets")
     kpis = kpis.withColumn("open_rate", ratio(F.col("is_open"), F.col("total_tickets"), 0.0))
     names = ["period", "total_tickets", "is_open", "is_resolved", "technicians", "open_rate"]
     return _finish(kpis, names, run_ts)
@@ -138,15 +159,13 @@ def by_location(tickets, codes, run_ts=None) -> DataFrame:
 
 def by_year(tickets: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Tickets per year of creation."""
-    dated = tickets.where(F.col(CREATED).isNotNull())
-    return _finish(counted(dated, F.year(CREATED).alias("year")), ["year", "ticket_count"], run_ts)
+    years = _per_month(tickets).groupBy(F.year(MONTH).alias("year"))
+    return _finish(years.agg(F.sum("ticket_count").alias("ticket_count")), ["year", "ticket_count"], run_ts)
 
 
 def by_month(tickets: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Tickets per month of creation."""
-    dated = tickets.where(F.col(CREATED).isNotNull())
-    counts = counted(dated, when_.month_start(F.col(CREATED)).alias("_month"))
-    labelled = counts.withColumn("period", when_.month_label(F.col("_month")))
+    labelled = _per_month(tickets).withColumn("period", when_.month_label(F.col(MONTH)))
     return _finish(labelled, ["period", "ticket_count"], run_ts)
 
 

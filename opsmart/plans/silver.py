@@ -15,7 +15,7 @@ from opsmart.functions import facility as place
 from opsmart.functions import numbers as num
 from opsmart.functions import people, text
 from opsmart.functions import times as when_
-from opsmart.operators.latest import latest_per_key
+from opsmart.operators.latest import Order, latest_per_key
 
 STAMPS = ("_source_file", "_source_system", "_ingest_bronze_ts")
 
@@ -62,8 +62,33 @@ def _business(columns: dict[str, Column], *keys: str) -> list[str]:
     return [c for c in columns if c not in keys and c != "_ingest_silver_ts"]
 
 
-def _versioned(df: DataFrame, columns: dict[str, Column], key: str, newest: list[str]) -> DataFrame:
+#: Business key of each table that has one, and what makes a row newer than another of its key.
+KEYS = {
+    "users": "user_id",
+    "tickets": "ticket_id",
+    "reservations": "reservation_id",
+    "reserveditems": "reservation_item_id",
+}
+NEWEST = {
+    "users": ["updated_ts", "_ingest_bronze_ts", "ingestion_date"],
+    "tickets": ["updated_ts", "_ingest_bronze_ts", "ingestion_date"],
+    "reservations": ["ingestion_date", "_ingest_bronze_ts"],
+    "reserveditems": ["_ingest_bronze_ts"],
+}
+
+
+def order_of(entity: str) -> Order:
+    """How rows of one key are ordered in the silver table of an entity."""
+    if entity not in KEYS:
+        raise ValueError(f"{entity} has no key to merge by")
+    names = silver_schema(entity).names
+    ties = [c for c in names if c not in (KEYS[entity], *NEWEST[entity], "_ingest_silver_ts")]
+    return Order(KEYS[entity], NEWEST[entity], ties)
+
+
+def _versioned(df: DataFrame, columns: dict[str, Column], entity: str) -> DataFrame:
     """One row per key; rows without a readable key are no versions of each other and all stay."""
+    key, newest = KEYS[entity], NEWEST[entity]
     apart = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     rows = _project(df, columns).withColumn("_unkeyed", apart)
     ties = [c for c in _business(columns, key) if c not in newest]
@@ -88,8 +113,7 @@ def users(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
         "last_login_ts": when_.parse_ts(F.col("last_login")),
         **_stamps(run_ts),
     }
-    newest = ["updated_ts", "_ingest_bronze_ts", "ingestion_date"]
-    return conform(_versioned(bronze, columns, "user_id", newest), silver_schema("users"))
+    return conform(_versioned(bronze, columns, "users"), silver_schema("users"))
 
 
 def ticket_columns(run_ts: Column | None = None, wide: bool = False) -> dict[str, Column]:
@@ -124,8 +148,7 @@ def ticket_columns(run_ts: Column | None = None, wide: bool = False) -> dict[str
 
 def tickets(bronze: DataFrame, run_ts: Column | None = None, wide: bool = False) -> DataFrame:
     """Tickets, newest version per ``ticket_id``; ``wide`` keeps the SLA and delay fields."""
-    newest = ["updated_ts", "_ingest_bronze_ts", "ingestion_date"]
-    rows = _versioned(bronze, ticket_columns(run_ts, wide), "ticket_id", newest)
+    rows = _versioned(bronze, ticket_columns(run_ts, wide), "tickets")
     return rows if wide else conform(rows, silver_schema("tickets"))
 
 
@@ -149,8 +172,7 @@ def reservations(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
         "comment": text.clean_str(F.col("comment")),
         **_stamps(run_ts),
     }
-    newest = ["ingestion_date", "_ingest_bronze_ts"]
-    rows = _versioned(bronze, columns, "reservation_id", newest)
+    rows = _versioned(bronze, columns, "reservations")
     return conform(rows, silver_schema("reservations"))
 
 
@@ -166,7 +188,7 @@ def reserveditems(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
         **_stamps(run_ts),
     }
     keyed = bronze.where(num.to_long(F.col("id")).isNotNull())
-    rows = _versioned(keyed, columns, "reservation_item_id", ["_ingest_bronze_ts"])
+    rows = _versioned(keyed, columns, "reserveditems")
     return conform(rows, silver_schema("reserveditems"))
 
 
@@ -197,14 +219,6 @@ def rooms(bronze: DataFrame, run_ts: Column | None = None) -> DataFrame:
     return conform(typed, silver_schema("space_repartition"))
 
 
-#: Business key of each table that has one.
-KEYS = {
-    "users": "user_id",
-    "tickets": "ticket_id",
-    "reservations": "reservation_id",
-    "reserveditems": "reservation_item_id",
-}
-
 BUILDERS = {
     "users": users,
     "tickets": tickets,

@@ -2,7 +2,9 @@
 
 A day of a date-partitioned table counts as loaded once its manifest, the list of its files, is
 written after the job's commit. A snapshot is a folder of versions; a version is visible once its
-mark is written after the commit, and the former version stays for readers that still use it.
+mark is written after the commit, and the former version stays for readers that still use it. A table
+in parts is a snapshot whose mark names, for every part, the version that holds it: a new version
+writes the parts that change and shares the others.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import json
 import logging
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -120,11 +122,33 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     version = current_version(spark, path)
     if version is None:
         return spark.read.parquet(path)
+    mark = read_mark(spark, version)
+    if "parts" in mark:
+        return read_parts(spark, path, mark)
     # The stored schema keeps the types of partition columns, whose folder names hold only text.
-    schema = T.StructType.fromJson(json.loads(_read_text(spark, f"{version}/{_MARK}")))
+    schema = T.StructType.fromJson(mark)
     return spark.read.schema(schema).parquet(version).select(*[f"`{n}`" for n in schema.names])
 
 
+def read_mark(spark: SparkSession, version: str) -> dict:
+    """What a committed version says of itself: its schema, or of a table in parts its ``schema``,
+    the ``parts`` (label -> name of the version that holds it), their ``column`` and a ``note``."""
+    return json.loads(_read_text(spark, f"{version}/{_MARK}"))
+
+
+def read_parts(
+    spark: SparkSession, path: str, mark: Mapping, labels: Iterable[str] | None = None, extra: str = ""
+) -> DataFrame:
+    """The rows of some parts (all without ``labels``) as a mark names them. No other folder is listed.
+    ``extra`` are stored columns beyond the schema, as DDL."""
+    schema = T.StructType.fromJson(mark["schema"])
+    if extra:
+        schema = T.StructType([*schema.fields, *T.StructType.fromDDL(extra).fields])
+    wanted = sorted(mark["parts"] if labels is None else set(labels) & set(mark["parts"]))
+    folders = [f"{path}/{_VERSIONS}/{mark['parts'][label]}/{mark['column']}={label}" for label in wanted]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 def latest_folder(spark: SparkSession, root: str, column: str = INGESTION_DATE) -> str:
     """Folder of the newest date partition; no partition at all is an error."""
     dates = partition_dates(spark, root, column)
@@ -194,6 +218,68 @@ def current_version(spark: SparkSession, path: str) -> str | None:
     return f"{folder}/{versions[-1]}"
 
 
+def _next_version(names: Sequence[str]) -> str:
+    """The name of a version after all those in a folder."""
+    number = 1 + max((version_number(n) for n in names if n.startswith("v-")), default=0)
+    return f"v-{number:010d}-{uuid.uuid4().hex[:8]}"
+
+
+def version_number(name: str) -> int:
+    """The number in a version's name or folder."""
+    return int(name.rsplit("/", 1)[-1].split("-")[1])
+
+
+def last_versions(spark: SparkSession, path: str, count: int = 2) -> list[str]:
+    """Folders of the newest committed versions of a snapshot, newest first; none if there is none."""
+    return [f"{path}/{_VERSIONS}/{n}" for n in reversed(_committed(spark, path)[-count:])]
+
+
+def replace_parts(
+    df: DataFrame,
+    path: str,
+    column: str,
+    touched: Iterable[str],
+    schema: T.StructType,
+    note: Mapping[str, object],
+    version: str | None = None,
+) -> None:
+    """A new version of a table in parts: the ``touched`` parts hold the rows of ``df``, whose
+    ``column`` is the label, all others stay the files they are.
+
+    ``df`` may read the table itself. A part without rows is gone. Readers see the former version until
+    the mark of the new one is written; a failed write changes nothing. ``schema`` is what readers of
+    the table get. Parts that neither this version nor the one before names are deleted.
+    """
+    spark, folder = df.sparkSession, f"{path}/{_VERSIONS}"
+    before = _names(spark, folder)
+    former = last_versions(spark, path, 1)
+    old = read_mark(spark, former[0])["parts"] if former else {}
+    name = version or _next_version(before)
+    out = df.hint("rebalance", column).sortWithinPartitions(column)
+    out.write.partitionBy(column).parquet(f"{folder}/{name}")
+    written = [n.split("=", 1)[1] for n in _names(spark, f"{folder}/{name}") if n.startswith(f"{column}=")]
+    gone = set(touched)
+    parts = {k: v for k, v in old.items() if k not in gone} | dict.fromkeys(written, name)
+    mark = {"schema": json.loads(schema.json()), "parts": parts, "column": column, "note": dict(note)}
+    _write_text(spark, f"{folder}/{name}/{_MARK}", json.dumps(mark))
+    named = {(v, k) for m in (old, parts) for k, v in m.items()}
+    for other in before:
+        used = {k for v, k in named if v == other}
+        if not used and not (former and former[0].endswith(other)):
+            fs, unused = _located(spark, f"{folder}/{other}")
+            fs.delete(unused, True)
+            continue
+        for entry in _names(spark, f"{folder}/{other}"):
+            if entry.startswith(f"{column}=") and entry.split("=", 1)[1] not in used:
+                fs, unused = _located(spark, f"{folder}/{other}/{entry}")
+                fs.delete(unused, True)
+
+
+def new_version(spark: SparkSession, path: str) -> str:
+    """The name that the next version of a snapshot gets."""
+    return _next_version(_names(spark, f"{path}/{_VERSIONS}"))
+
+
 def replace_snapshot(
     df: DataFrame,
     path: str,
@@ -214,8 +300,7 @@ def replace_snapshot(
     spark, folder = df.sparkSession, f"{path}/{_VERSIONS}"
     before = _names(spark, folder)
     kept = _committed(spark, path)[-1:]
-    number = 1 + max((int(n.split("-")[1]) for n in before if n.startswith("v-")), default=0)
-    version = f"{folder}/v-{number:010d}-{uuid.uuid4().hex[:8]}"
+    version = f"{folder}/{_next_version(before)}"
     out = df
     if partition_by is not None:
         out = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster_by)

@@ -66,11 +66,32 @@ def test_period_rollup_counts_distinct_at_both_grains(facts):
     assert rows(out) == [(None, 1, 0), ("2024-01", 2, 1), ("2024-02", 2, 2), ("ALL", 5, 2)]
 
 
-def test_stacked_rollup_is_the_same(facts):
-    one, two = rollup.period_rollup(facts, "ts", ["k"]), rollup.stacked_rollup(facts, "ts", ["k"])
+def test_states_stand_for_their_rows(facts):
+    states = rollup.by_month(facts, "ts", ["k", "who"], ticket_count=F.count(F.lit(1)))
+    one, two = rollup.period_rollup(facts, "ts", ["k"]), rollup.period_rollup(states, "ts", ["k"])
     assert rows(one) == rows(two.select(one.columns))
 
 
+def test_distinct_ids_of_any_size(spark):
+    ids = [0, 1, -1, -40_000, 32_768, 32_769, 1 << 33, (1 << 62) + 5, -(1 << 62), None]
+    values = [(f"2024-0{i % 2 + 1}-01 00:00:00", v) for i, v in enumerate(ids * 3)]
+    df = spark.createDataFrame(values, "ts string, who long").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = rollup.period_rollup(df, "ts", sums={"n": F.count(F.lit(1))}, distinct={"people": "who"})
+    assert rows(out) == [("2024-01", 15, 5), ("2024-02", 15, 4), ("ALL", 30, 9)]
+    totals = rollup.distinct_totals(df.withColumn("half", F.col("who") % 2), {"a": "who", "b": "half"}, {"n": F.count(F.lit(1))})
+    assert rows(totals) == [(30, 9, 3)]
+    assert rows(rollup.distinct_totals(df.limit(0), {"a": "who"}, {"n": F.count(F.lit(1))})) == [(None, 0)]
+
+
+def test_distinct_ids_are_not_shuffled_one_by_one(spark):
+    df = spark.range(100_000).selectExpr("timestamp'2024-01-01 00:00:00' + make_interval(0, id % 5) AS ts", "id AS who")
+    out = rollup.period_rollup(df, "ts", sums={"n": F.count(F.lit(1))}, distinct={"people": "who"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert shuffles and not any("who" in line.replace("_bucket_people", "") for line in shuffles)
+    assert {(r.period, r.people) for r in out.collect()} == {("2024-01", 20_000), ("2024-02", 20_000), ("2024-03", 20_000), ("2024-04", 20_000), ("2024-05", 20_000), ("ALL", 100_000)}
+
+
 def test_rollup_of_nothing(facts):
     assert rows(rollup.period_rollup(facts.limit(0), "ts", ["k"])) == []
 
