@@ -23,14 +23,20 @@ ROOM_MART = "space_room_current"
 
 
 def ingest(
-    spark: SparkSession, entity: str, landing_root: str, bronze_root: str, run_ts: Column | None = None
+    spark: SparkSession,
+    entity: str,
+    landing_root: str,
+    bronze_root: str,
+    run_ts: Column | None = None,
+    verify: bool = False,
 ) -> dict[str, object]:
-    """Landing to bronze: load the days bronze lacks; nothing to do is not an error."""
+    """Landing to bronze: load the days bronze lacks; nothing to do is not an error. ``verify`` lists
+    the files of every day and loads those again that have lost one."""
     pin(spark)
     src, dst = f"{landing_root}/{entity}", f"{bronze_root}/{entity}"
     if entity in CSV_ENTITIES:
-        return landing.ingest_csv(spark, src, dst, entity, run_ts)
-    return landing.ingest_json(spark, src, dst, landing_schema(entity), run_ts)
+        return landing.ingest_csv(spark, src, dst, entity, run_ts, verify)
+    return landing.ingest_json(spark, src, dst, landing_schema(entity), run_ts, verify)
 
 
 def build_dimensions(spark: SparkSession, silver_root: str, site: str = dims.DEFAULT_SITE) -> None:

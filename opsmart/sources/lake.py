@@ -9,6 +9,7 @@ writes the parts that change and shares the others.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 import re
@@ -88,18 +89,67 @@ def has_files(spark: SparkSession, folder: str) -> bool:
     return any(s.isFile() and not s.getPath().getName().startswith(("_", ".")) for s in listing)
 
 
-def _manifest(root: str, column: str, day: str) -> str:
-    return f"{root}/{_MANIFESTS}/{column}={day}"
+def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """Path and size of every file of a folder that is not hidden, by path."""
+    fs, path = _located(spark, folder)
+    listing = [(s.getPath(), s.getLen()) for s in fs.listStatus(path) if s.isFile()]
+    return sorted((p.toString(), size) for p, size in listing if not p.getName().startswith(("_", ".")))
 
 
-def is_loaded(spark: SparkSession, root: str, day: str, column: str = INGESTION_DATE) -> bool:
-    """Whether the day's manifest is whole and all files it lists are there."""
-    text = _read_text(spark, _manifest(root, column, day))
-    count, _, rest = (text or "").partition("\n")
-    files = rest.split("\n") if rest else []
-    if count != str(len(files)):
-        return False
-    return set(files) <= set(_data_files(spark, f"{root}/{column}={day}"))
+def read_head(spark: SparkSession, name: str, length: int) -> str:
+    """The first bytes of a file as text."""
+    fs, path = _located(spark, name)
+    stream = fs.open(path)
+    try:
+        io = spark._jvm.org.apache.commons.io
+        return io.IOUtils.toString(io.input.BoundedInputStream(stream, length), "UTF-8")
+    finally:
+        stream.close()
+
+
+def byte_size(spark: SparkSession, key: str) -> int:
+    """A setting of the session that is a size."""
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+
+
+class Manifests:
+    """Which days of a date-partitioned table are loaded: by day the number of its files and a digest of
+    their names.
+
+    A run writes one manifest that holds all days, its own among them, and then deletes those it has
+    read; where two runs overlap both manifests stay and hold together. Opening it is one listing and
+    mostly one file, however many days there are.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, column: str = INGESTION_DATE):
+        self.spark, self.root, self.column = spark, root, column
+        self.folder = f"{root}/{_MANIFESTS}"
+        self.names = sorted(n for n in _names(spark, self.folder) if n.startswith(f"{column}-"))
+        self.days: dict[str, list] = {}
+        for name in self.names:
+            self.days |= json.loads(_read_text(spark, f"{self.folder}/{name}") or "{}")
+
+    def describe(self, day: str) -> list:
+        """What a manifest says of the day as it is now."""
+        files = _data_files(self.spark, f"{self.root}/{self.column}={day}")
+        return [len(files), hashlib.sha256("\n".join(files).encode()).hexdigest()]
+
+    def loaded(self, verify: bool = False) -> set[str]:
+        """Days that are recorded and whose folder is there; with ``verify`` also all their files."""
+        there = self.days.keys() & set(partition_dates(self.spark, self.root, self.column))
+        return {d for d in there if self.describe(d) == self.days[d]} if verify else there
+
+    def write(self, without: Iterable[str] = (), also: Iterable[str] = ()) -> None:
+        """Record days as they are now, and forget others."""
+        gone = set(without)
+        days = {d: v for d, v in self.days.items() if d not in gone} | {d: self.describe(d) for d in also}
+        number = 1 + max((int(n.split("-")[-2]) for n in self.names), default=0)
+        name = f"{self.column}-{number:010d}-{uuid.uuid4().hex[:8]}"
+        _write_text(self.spark, f"{self.folder}/{name}", json.dumps(days))
+        for old in self.names:
+            fs, path = _located(self.spark, f"{self.folder}/{old}")
+            fs.delete(path, False)
+        self.names, self.days = [name], days
 
 
 def missing_dates(
@@ -108,13 +158,15 @@ def missing_dates(
     bronze: str,
     landing_column: str = INGESTION_DATE,
     bronze_column: str = INGESTION_DATE,
+    verify: bool = False,
 ) -> list[str]:
     """Landing dates that bronze does not have yet, oldest first.
 
-    An empty or half-written bronze folder is not a loaded day: the manifest decides.
+    An empty or half-written bronze folder is not a loaded day: the manifest decides. The folders of
+    recorded days are listed only to ``verify`` that no file of theirs was lost.
     """
-    dates = partition_dates(spark, landing, landing_column)
-    return [d for d in dates if not is_loaded(spark, bronze, d, bronze_column)]
+    loaded = Manifests(spark, bronze, bronze_column).loaded(verify)
+    return [d for d in partition_dates(spark, landing, landing_column) if d not in loaded]
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -180,13 +232,12 @@ def replace_partitions(
     """Write a frame so that only the dates it contains are replaced, then record those days.
 
     ``days`` names the days the frame was read from; by default the days found in it are recorded.
-    Named days lose their manifest before the write, so a write that fails midway leaves them to be
-    loaded again.
+    Named days that are recorded are forgotten before the write, so a write that fails midway leaves
+    them to be loaded again.
     """
-    spark, seen = df.sparkSession, Observation()
-    for day in days or ():
-        fs, path = _located(spark, _manifest(root, column, day))
-        fs.delete(path, False)
+    spark, seen, manifests = df.sparkSession, Observation(), Manifests(df.sparkSession, root, column)
+    if manifests.days.keys() & set(days or ()):
+        manifests.write(without=days)
     out = df.observe(seen, F.collect_set(F.col(column).cast("string")).alias("days"))
     (
         out.write.mode("overwrite")
@@ -194,9 +245,7 @@ def replace_partitions(
         .partitionBy(column)
         .parquet(root)
     )
-    for day in sorted({*(days or ()), *seen.get["days"]}):
-        files = _data_files(spark, f"{root}/{column}={day}")
-        _write_text(spark, _manifest(root, column, day), "\n".join([str(len(files)), *files]))
+    Manifests(spark, root, column).write(also={*(days or ()), *seen.get["days"]})
 
 
 def _committed(spark: SparkSession, path: str) -> list[str]:

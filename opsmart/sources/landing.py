@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from opsmart.functions import times as when_
 from opsmart.operators.audit import observed
-from opsmart.sources import lake
+from opsmart.sources import csv_splits, lake
 
 # Source systems, partition columns, reader options and header rules of the exports.
 JSON_SYSTEM = "glpi"
@@ -31,6 +31,8 @@ CSV_OPTIONS = {
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
 }
+#: Bytes of a file that are read for its header, and files read at a time.
+HEAD_BYTES, HEADS_AT_A_TIME = 64 << 10, 16
 WORD_BREAKS = r"[ \-/]+"
 NOT_IN_NAMES = r"[^a-z0-9_]"
 NAMELESS = "col"
@@ -58,26 +60,25 @@ def clean_names(names: Sequence[str]) -> list[str]:
 def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """JSON lines (column ``value``) as declared text fields, with nothing lost.
 
-    Fields beyond ``schema`` are kept in the map ``_extra_fields`` (NULL if there are none), a broken
-    line in ``_corrupt_record``. A line that holds a list gives one row for each of its elements.
-    The schema is fixed, so there is no inference pass and bronze does not drift from day to day.
+    Every record is parsed once, into a map, and the declared fields are taken from it. Fields beyond
+    ``schema`` are kept in the map ``_extra_fields`` (NULL if there are none), a line that is no JSON
+    object in ``_corrupt_record``. A line that holds a list gives one row for each of its elements.
+    The fields are fixed, so there is no inference pass and bronze does not drift from day to day.
     """
     others = [c for c in lines.columns if c != "value"]
     listed = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>"))
     records = lines.where(F.col("value").rlike(r"\S")).select(
         *others, F.explode(F.coalesce(listed, F.array("value"))).alias("_record")
     )
-    declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     known = [F.lit(name) for name in schema.names]
-    parsed = records.select(
+    parsed = records.select(*others, "_record", F.from_json("_record", "map<string,string>").alias("_fields"))
+    extra = F.map_filter("_fields", lambda name, _: ~name.isin(known))
+    return parsed.select(
+        *[F.try_element_at("_fields", F.lit(name)).alias(name) for name in schema.names],
+        F.when(F.col("_fields").isNull(), F.col("_record")).alias(CORRUPT),
+        F.when(F.size(extra) > 0, extra).alias(EXTRA),
         *others,
-        F.from_json("_record", declared, {"columnNameOfCorruptRecord": CORRUPT}).alias("_fields"),
-        F.map_filter(
-            F.from_json("_record", "map<string,string>"), lambda name, _: ~name.isin(known)
-        ).alias(EXTRA),
     )
-    extra = F.when(F.size(EXTRA) > 0, F.col(EXTRA)).alias(EXTRA)
-    return parsed.select("_fields.*", extra, *others)
 
 
 def read_json_day(
@@ -94,41 +95,66 @@ def read_json_day(
     return parse_lines(lines, schema)
 
 
-def _files_by_header(spark: SparkSession, folders: Sequence[str]) -> list[list[str]]:
-    """The CSV files of ``folders``, grouped by header line.
-
-    One text scan with a minimum per file gives the headers; only file names and headers reach the
-    driver, which lists the files for every scan anyway. A header that a quoted line break splits is
-    not compared: its file is a group of its own.
+def _first_record(text: str) -> str | None:
+    """The first record of a CSV text that is not blank, None if the text ends inside it."""
+    held: list[str] = []
+    for line in text.removeprefix("\ufeff").split("\n")[:-1]:
+        held.append(line)
+        if "\n".join(held).count('"') % 2 == 0:
+            record = "\n".join(held).removesuffix("\r")
+            if record.strip():
+                return record
+            held = []
+    return None
+
+
+def _header(spark: SparkSession, path: str, size: int) -> tuple[str, bool]:
+    """The header record of a file, empty if it has none, and whether its lines end with carriage
+    returns. Reads the first block only, longer ones for a header that does not fit."""
+    length = HEAD_BYTES
+    while True:
+        text = lake.read_head(spark, path, length)
+        record = _first_record(text if length < size else text + "\n")
+        if record is not None or length >= size:
+            return record or "", text.partition("\n")[0].endswith("\r")
+        length *= 8
+
+
+def _files_by_header(spark: SparkSession, folders: Sequence[str]) -> dict[tuple[str, bool, bool], list[str]]:
+    """The CSV files of ``folders`` by header record, by whether they are larger than a split, and if so
+    by their line ends.
+
+    The driver, which lists the files anyway, reads the head of each, some at a time.
     """
-    lines = spark.read.text(list(folders)).where(
-        (F.col("_metadata.file_block_start") == 0) & F.col("value").rlike(r"\S")
-    )
-    placed = lines.select(
-        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")
-    )
-    headers = placed.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    groups: dict[str, list[str]] = {}
-    for file, header in sorted(tuple(r) for r in headers.collect()):
-        whole = header.count('"') % 2 == 0
-        groups.setdefault(header if whole else file, []).append(unquote(file))
-    return list(groups.values())
+    files = [f for folder in folders for f in lake.data_files(spark, folder)]
+    most = lake.byte_size(spark, "spark.sql.files.maxPartitionBytes")
+    with ThreadPoolExecutor(HEADS_AT_A_TIME) as pool:
+        headers = list(pool.map(lambda f: _header(spark, *f), files))
+    groups: dict[tuple[str, bool, bool], list[str]] = {}
+    for (path, size), (header, returns) in zip(files, headers):
+        if header:
+            groups.setdefault((header, size > most, size > most and returns), []).append(path)
+    return groups
 
 
 def csv_scans(spark: SparkSession, folders: Sequence[str]) -> list[DataFrame]:
     """One scan for each distinct header among the files of ``folders``: every value as text,
     cleaned header names, and the file each row comes from.
 
-    ``multiLine`` keeps a file in one task, so exports should come as many files.
+    Files larger than a split are read by several tasks (``csv_splits``); of the others ``multiLine``
+    keeps each in one task.
     """
     scans = []
-    for files in _files_by_header(spark, folders):
-        raw = spark.read.options(**CSV_OPTIONS).csv(files)
-        file = F.col("_metadata.file_path")
+    for (header, large, returns), files in sorted(_files_by_header(spark, folders).items()):
+        if large:
+            raw = csv_splits.parsed(spark, files, header, CSV_OPTIONS, returns)
+        else:
+            raw = spark.read.options(**CSV_OPTIONS).csv(files).withColumn("_source_file", F.col("_metadata.file_path"))
         # The position stands for the name until the names are clean.
-        numbered = raw.toDF(*[f"_c{i}" for i in range(len(raw.columns))])
-        named = [F.col(f"_c{i}").alias(n) for i, n in enumerate(clean_names(raw.columns))]
-        scans.append(numbered.select(*named, file.alias("_source_file")))
+        cells = raw.columns[:-1]
+        numbered = raw.toDF(*[f"_c{i}" for i in range(len(cells))], "_source_file")
+        named = [F.col(f"_c{i}").alias(n) for i, n in enumerate(clean_names(cells))]
+        scans.append(numbered.select(*named, "_source_file"))
     return scans
 
 
@@ -156,13 +182,15 @@ def ingest_json(
     bronze: str,
     schema: T.StructType | None = None,
     run_ts: Column | None = None,
+    verify: bool = False,
 ) -> dict[str, object]:
-    """Load every landing day that bronze lacks, all of them in one job.
+    """Load every landing day that bronze lacks, all of them in one job; with ``verify`` also those
+    that have lost a file.
 
     The scan is split by file blocks and written without a shuffle; one heavy day is simply more
     splits. Running it again loads nothing; deleting a bronze day and running restores that day.
     """
-    dates = lake.missing_dates(spark, landing, bronze)
+    dates = lake.missing_dates(spark, landing, bronze, verify=verify)
     folders = [f"{landing}/{lake.INGESTION_DATE}={d}" for d in dates]
     folders = [f for f in folders if lake.has_files(spark, f)]
     if not folders:
@@ -176,7 +204,12 @@ def ingest_json(
 
 
 def ingest_csv(
-    spark: SparkSession, landing: str, bronze: str, entity: str, run_ts: Column | None = None
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    entity: str,
+    run_ts: Column | None = None,
+    verify: bool = False,
 ) -> dict[str, object]:
     """The same for CSV exports, whose columns come from each file's own header.
 
@@ -184,7 +217,7 @@ def ingest_csv(
     number of distinct headers, not with the number of days. Groups are united by column name: a
     reordered header does not shift values, and a column a file lacks is NULL there.
     """
-    dates = lake.missing_dates(spark, landing, bronze, bronze_column=CSV_PARTITION)
+    dates = lake.missing_dates(spark, landing, bronze, bronze_column=CSV_PARTITION, verify=verify)
     folders = {d: f"{landing}/{lake.INGESTION_DATE}={d}" for d in dates}
     folders = {d: f for d, f in folders.items() if lake.has_files(spark, f)}
     scans = csv_scans(spark, list(folders.values())) if folders else []

@@ -91,12 +91,53 @@ def test_only_recorded_days_are_loaded(spark, roots):
     assert landing.ingest_json(spark, src, dst, USERS)["dates"] == ["2024-01-01", "2024-01-02"]
     assert days(spark, dst) == {"2024-01-01": 2, "2024-01-02": 1}
     next(half.glob("*.parquet")).unlink()
-    assert landing.ingest_json(spark, src, dst, USERS)["dates"] == ["2024-01-01"]
+    assert landing.ingest_json(spark, src, dst, USERS)["dates"] == []
+    assert landing.ingest_json(spark, src, dst, USERS, verify=True)["dates"] == ["2024-01-01"]
     assert days(spark, dst) == {"2024-01-01": 2, "2024-01-02": 1}
-    lake._write_text(spark, f"{dst}/_loaded/ingestion_date=2024-01-02", "3\npart-0")
+
+
+def test_a_failed_reload_leaves_the_day_to_be_loaded(spark, roots):
+    src, dst = roots
+    landing.ingest_json(spark, src, dst, USERS)
+    bad = lake.read_table(spark, dst).withColumn("name", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        lake.replace_partitions(bad, dst, days=["2024-01-02"])
     assert lake.missing_dates(spark, src, dst) == ["2024-01-02", "2024-01-03"]
 
 
+def test_overlapping_runs_keep_both_records(spark, folder):
+    path = f"{folder}/t"
+    one = lake.Manifests(spark, path)
+    for day in ("2024-01-01", "2024-01-02"):
+        spark.range(1).write.parquet(f"{path}/ingestion_date={day}")
+    two = lake.Manifests(spark, path)
+    one.write(also=["2024-01-01"])
+    two.write(also=["2024-01-02"])
+    assert lake.Manifests(spark, path).loaded(verify=True) == {"2024-01-01", "2024-01-02"}
+    lake.Manifests(spark, path).write()
+    assert len(list((Path(path) / "_loaded").glob("ingestion*"))) == 1
+
+
+def test_calls_do_not_grow_with_the_loaded_days(spark, folder, monkeypatch):
+    calls = []
+    located = lake._located
+    monkeypatch.setattr(lake, "_located", lambda *a: calls.append(a) or located(*a))
+    counts = []
+    for n in (5, 500):
+        src, dst = f"{folder}/{n}/landing", f"{folder}/{n}/bronze"
+        days = [f"20{10 + i // 300}-{i // 28 % 10 + 1:02d}-{i % 28 + 1:02d}" for i in range(n)]
+        manifests = lake.Manifests(spark, dst)
+        for day in days:
+            (Path(src) / f"ingestion_date={day}").mkdir(parents=True, exist_ok=True)
+            (Path(dst) / f"ingestion_date={day}").mkdir(parents=True, exist_ok=True)
+        manifests.write(also=set(days))
+        export(src, "2023-12-31", [{"id": 1}])
+        calls.clear()
+        assert landing.ingest_json(spark, src, dst, USERS)["dates"] == ["2023-12-31"]
+        counts.append(len(calls))
+    assert counts[0] == counts[1] < 20
+
+
 def test_ingest_json_can_infer(spark, folder):
     src, dst = f"{folder}/landing", f"{folder}/bronze"
     export(src, "2024-01-01", [{"id": 1, "name": "a"}])
@@ -222,6 +263,73 @@ def test_csv_plan_grows_with_headers_not_days(spark, folder):
     assert [tuple(r) for r in counts] == [("1", "2", 300)]
 
 
+def _messy_csv(pick, rows, ends):
+    def cell():
+        kind = pick.random()
+        if kind < 0.2:
+            return pick.choice(["", '""'])
+        if kind < 0.5:
+            inside = "".join(pick.choice(["a", "\n", "\r\n", ",", '""', "é", " "]) for _ in range(pick.randint(0, 30)))
+            return f'"{inside}"'
+        return "".join(pick.choice("ab é1-") for _ in range(pick.randint(0, 6)))
+
+    return ends.join(",".join(cell() for _ in range(pick.choice([3, 3, 3, 2, 4]))) for _ in range(rows))
+
+
+@pytest.fixture
+def small_splits(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_one_csv_file_of_many_splits(spark, folder, small_splits, seed):
+    import random
+
+    pick = random.Random(seed)
+    path = Path(folder) / "day" / "big 1.csv"
+    path.parent.mkdir()
+    long = '"' + "x\n" * 2500 + '"'  # a cell over several splits
+    ends, header = pick.choice(["\n", "\r\n"]), '"Sal\nle",Étage,Étage'
+    parts = ["", header, _messy_csv(pick, 400, ends), f"{long},1,2", header, _messy_csv(pick, 300, ends)]
+    text = ends.join(parts) + pick.choice(["", ends])
+    path.write_text(text, encoding="utf-8", newline="")
+    whole = spark.read.options(**landing.CSV_OPTIONS).csv(str(path))
+    out = landing.read_csv(spark, str(path.parent))
+    assert out.columns == landing.clean_names(whole.columns)
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, map(tuple, whole.collect())))
+    scan = landing.csv_splits.records(spark, [str(path)])
+    assert scan.select(F.spark_partition_id()).distinct().count() > 3
+    files = {r._source_file for r in landing.csv_scans(spark, [str(path.parent)])[0].collect()}
+    assert len(files) == 1 and files.pop().endswith("big%201.csv")
+
+
+def test_small_and_large_files_of_one_header(spark, folder, small_splits):
+    day = Path(folder) / "day"
+    day.mkdir()
+    (day / "a.csv").write_text("A,B\n" + "1,2\n" * 1000)
+    (day / "b.csv").write_text("A,B\n3,4\n")
+    (day / "c.csv").write_text("B,A\n" + '4,"3"\n' * 900)
+    counts = landing.read_csv(spark, str(day)).groupBy("a", "b").count().collect()
+    assert sorted(map(tuple, counts)) == [("1", "2", 1000), ("3", "4", 901)]
+
+
+def test_heads_longer_than_a_block(spark, folder, monkeypatch):
+    monkeypatch.setattr(landing, "HEAD_BYTES", 16)
+    day = Path(folder) / "day"
+    day.mkdir()
+    (day / "a.csv").write_text('\n\n"' + "é" * 300 + '\n",B\n1,2\n', encoding="utf-8")
+    (day / "b.csv").write_text("A,B", encoding="utf-8")
+    (day / "c.csv").write_text("\n\n", encoding="utf-8")
+    groups = landing._files_by_header(spark, [str(day)])
+    assert sorted(h for h, *_ in groups) == ['"' + "é" * 300 + '\n",B', "A,B"]
+
+
 def test_stream_loads_each_file_once(spark, folder):
     src, dst, state = (f"{folder}/{n}" for n in ("landing", "bronze", "state"))
     export(src, "2024-01-01", [{"id": 1}, {"id": 2}])
