@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-
-from opsmart.plans import dims
+from collections.abc import Mapping
 
 STAMP = "2024-02-01 00:00:00+00"
 TS = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -39,12 +38,34 @@ def capital(c: str) -> str:
     return f"(upper(left({c}, 1)) || lower(substr({c}, 2)))"
 
 
+# The labels of the ticket codes, written out here apart from those under test.
+LABELS = {
+    "ticket_status": """
+        (1, 'New'), (2, 'In progress (Assigned)'), (3, 'In progress (Planned)'), (4, 'Pending'), (5, 'Solved'),
+        (6, 'Closed')""",
+    "ticket_priority": """
+        (2, 'Low'), (3, 'Medium'), (4, 'High'), (5, 'Very high'), (6, 'Major')""",
+    "ticket_type": """
+        (1, 'Incident'), (2, 'Request')""",
+    "ticket_category": """
+        (0, NULL), (1, 'IT and Support'), (2, 'Maintenance'), (3, 'Security'), (4, 'Purchasing'), (5, 'Event'),
+        (6, 'Finishing & decoration'), (7, 'Room rental'), (8, 'Electricity'), (9, 'Inventory'),
+        (10, 'Daily preventive check'), (11, 'Client sales'), (12, 'Preventive'), (13, 'Hygiene'),
+        (14, 'Equipment rental'), (15, 'Plumbing'), (16, 'Fluids'), (17, 'External event'), (18, 'Data analysis'),
+        (19, 'External intervention')""",
+    "ticket_location": """
+        (0, NULL), (1, 'Medianet'), (2, 'Site'), (3, 'Externe de Site'), (4, 'Saphir Consult'),
+        (6, '9ème - Coworking'), (7, 'Cilié'), (8, 'Medianet Ennaser'), (9, 'Express FM'), (11, 'Cochef'),
+        (12, '1er étage'), (13, 'Salle Avant Première'), (14, 'Salle COSY'), (15, 'Salle de Stock'),
+        (16, '9éme étage'), (17, 'Grand Terrasse'), (18, 'Hors Site'), (19, 'Salle 13'),
+        (20, 'Salle Confidentielle'), (21, 'Salle 11'), (22, 'Salle 12'), (23, 'Dépôt-Principale'),
+        (25, 'Dépôt-Technique'), (26, 'LT'), (27, 'Studio')""",
+}
+
+
 def codes(table: str, key: str, label: str) -> str:
-    rows = ", ".join(
-        f"({code}, {'NULL' if text is None else chr(39) + text + chr(39)})"
-        for code, text in dims.code_tables()[table].items()
-    )
-    return f"SELECT CAST({key} AS BIGINT) AS {key}, CAST({label} AS VARCHAR) AS {label} FROM (VALUES {rows}) AS v({key}, {label})"
+    values = " ".join(LABELS[table].split())
+    return f"SELECT CAST({key} AS BIGINT) AS {key}, CAST({label} AS VARCHAR) AS {label} FROM (VALUES {values}) AS v({key}, {label})"
 
 
 def window_label(hour: str) -> str:
@@ -375,19 +396,27 @@ CTES: dict[str, str] = {
 }
 
 
-def _needs(sql: str) -> list[str]:
-    words = set(re.findall(r"\b[a-z]+(?:_[a-z]+)*\b", sql))
-    return [name for name in CTES if name in words]
+#: The marts' inputs as the silver builders make them of the exports.
+BUILT = {
+    "tk": "SELECT * FROM tks",
+    "us": "SELECT user_id, user_name, full_name FROM uss",
+    "it": "SELECT reservation_item_id, reservation_item_name FROM its",
+    "rs": "SELECT * FROM rss",
+}
+
+
+def complete(sql: str, instead: Mapping[str, str] | None = None) -> str:
+    """Prefix a query with the definitions it uses, each after those it needs itself; ``instead``
+    replaces some of them."""
+    known = CTES | dict(instead or {})
+    placed: dict[str, str] = {}
 
+    def need(text: str) -> None:
+        for name in re.findall(r"\b[a-z]+(?:_[a-z]+)*\b", text):
+            if name in known and name not in placed:
+                need(known[name])
+                placed[name] = known[name].strip()
 
-def complete(sql: str) -> str:
-    """Prefix a query with the definitions it uses, in order."""
-    wanted: set[str] = set()
-    queue = _needs(sql)
-    while queue:
-        name = queue.pop()
-        if name not in wanted:
-            wanted.add(name)
-            queue += _needs(CTES[name])
-    parts = [f"{name} AS ({CTES[name].strip()})" for name in CTES if name in wanted]
+    need(sql)
+    parts = [f"{name} AS ({text})" for name, text in placed.items()]
     return f"WITH {', '.join(parts)} {sql.strip()}" if parts else sql.strip()

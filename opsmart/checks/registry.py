@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,15 +15,17 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query over ``Tables`` and its SQL."""
+def check(
+    name: str, sql: str | None = None, instead: Mapping[str, str] | None = None
+) -> Callable[[Query], Query]:
+    """Register a query over ``Tables`` and its SQL, with some definitions of it replaced."""
 
     def keep(query: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
         QUERIES[name] = query
         if sql is not None:
-            SQL[name] = complete(sql)
+            SQL[name] = complete(sql, instead)
         return query
 
     return keep

@@ -12,7 +12,7 @@ from opsmart.operators.audit import key_report
 from opsmart.operators.latest import latest_per_key
 from opsmart.operators.lookup import attach, attach_codes, in_role
 from opsmart.operators.rollup import bucketize, counted, period_rollup, with_share
-from opsmart.operators.select import asc, desc, page, pivot_sum, top_k
+from opsmart.operators.select import asc, desc, page, page_after, pivot_sum, top_k
 from opsmart.plans import gold_reservations as gr
 from opsmart.plans import gold_tickets as gt
 
@@ -235,6 +235,16 @@ def _(t):
     return page(rows, "ticket_id", 3, 50, "created_ts", "desc")
 
 
+@check("s_06_seek", """SELECT ticket_id, title, created_ts FROM tk ORDER BY created_ts DESC NULLS FIRST, ticket_id
+    LIMIT 50 OFFSET 350""")
+def _(t):
+    rows, last = t.tickets.select("ticket_id", "title", "created_ts"), None
+    for _page in range(7):  # past the rows without creation time
+        seen = page_after(rows, "ticket_id", last, 50, "created_ts", "desc").collect()
+        last = (seen[-1].created_ts, seen[-1].ticket_id) if seen else last
+    return page_after(rows, "ticket_id", last, 50, "created_ts", "desc")
+
+
 @check("s_07_sample_per_location", """SELECT ticket_id, request_type_id, location_id, type_code, category_id, priority_code, status_code
     FROM tk QUALIFY row_number() OVER (PARTITION BY location_id ORDER BY ticket_id) = 1""")
 def _(t):

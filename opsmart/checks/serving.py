@@ -132,6 +132,18 @@ def _(t):
     return serving.ticket_list(gold(t, "tickets_enriched"), _MONTH, 2, 20, "priority", "desc")
 
 
+@check("q_t_list_seek", f"""SELECT ticket_id, title, status, priority_code AS priority, category, location,
+    last_updater_full_name AS assigned_technician, {_text_ts("created_ts")} AS created_date,
+    {_text_ts("updated_ts")} AS last_updated, {_text_ts("solved_ts")} AS resolution_date FROM te
+    WHERE created_ts >= TIMESTAMP '1997-05-01' AND created_ts < TIMESTAMP '1997-06-01'
+    ORDER BY resolution_date DESC NULLS FIRST, ticket_id LIMIT 20 OFFSET 20""")
+def _(t):
+    enriched = gold(t, "tickets_enriched")
+    first = serving.ticket_list_after(enriched, _MONTH, None, 20, "resolution_date", "desc").collect()
+    after = first[-1].ticket_id if first else None
+    return serving.ticket_list_after(enriched, _MONTH, after, 20, "resolution_date", "desc")
+
+
 # --- reservations ---
 _SHOWN = f"""SELECT * REPLACE ({_text_ts("start_ts")} AS start_ts, {_text_ts("end_ts")} AS end_ts,
     CAST(start_date AS VARCHAR) AS start_date, CAST(ingestion_date AS VARCHAR) AS ingestion_date,

@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 
 from opsmart.checks.bindings import SNAPSHOT_DAY, Tables
 from opsmart.checks.marts import dimension_usage, gold
-from opsmart.checks.prelude import STAMP, rollup
+from opsmart.checks.prelude import BUILT, STAMP, rollup
 from opsmart.checks.registry import check
-from opsmart.contracts import SERVING_KEYS, serving_tables
+from opsmart.contracts import FACT_TABLES, SERVING, SERVING_KEYS, serving_tables
 from opsmart.functions import numbers
 from opsmart.operators.audit import key_report, observed
 from opsmart.plans import dims, incremental, jobs
@@ -396,35 +396,71 @@ _MART_OF = {
     "kpi_tickets_by_requester_period": "m_requester", "kpi_tickets_by_technician_period": "m_technician",
     "kpi_tickets_by_year": "m_year", "kpi_tickets_by_location_period": "m_location", "tickets_cards": "m_cards",
 }
-_COUNTS = [f"SELECT '{table}' AS table_name, count(*) AS rows FROM {cte}" for table, cte in _MART_OF.items()]
-_COUNTS.append(
-    "SELECT 'reservations_kpi_invalid_current' AS table_name, count(*) AS rows FROM re WHERE is_invalid_duration"
+_UNTOLD = {"gold_kpi_build_ts", "_as_of_ts", "last_updated_ts"}
+
+
+def _told(table: str) -> tuple[list[str], list[str]]:
+    """Columns of a serving table that name a row, and those that are its figures."""
+    contract = SERVING[serving_tables()[table]][table]
+    fields = [tuple(f.split()) for f in contract.split(",")]
+    names = [n for n, kind in fields if kind == "string" or n.endswith(("_id", "_code", "year"))]
+    return names, [n for n, _ in fields if n not in names and n not in _UNTOLD]
+
+
+def _told_sql(table: str, cte: str) -> str:
+    """Every figure of a mart as a row; of a fact, whose rows ``k_r01`` and ``k_t01`` compare, the count."""
+    if table in FACT_TABLES or table == "reservations_kpi_invalid_current":
+        return f"SELECT '{table}' AS table_name, '' AS row_key, 'rows' AS figure, CAST(count(*) AS DOUBLE) AS value FROM {cte}"
+    names, figures = _told(table)
+    key = " || '|' || ".join(["''", *[f"coalesce(CAST({n} AS VARCHAR), '∅')" for n in names]])
+    values = ", ".join(f"{{'figure': '{n}', 'value': CAST({n} AS DOUBLE)}}" for n in figures)
+    return f"""SELECT '{table}' AS table_name, row_key, u.figure AS figure, u.value AS value
+        FROM (SELECT {key} AS row_key, unnest([{values}]) AS u FROM {cte})"""
+
+
+def _told_rows(df: DataFrame, table: str) -> DataFrame:
+    name = F.lit(table).alias("table_name")
+    if table in FACT_TABLES or table == "reservations_kpi_invalid_current":
+        rows = F.count(F.lit(1)).cast("double").alias("value")
+        return df.agg(rows).select(name, F.lit("").alias("row_key"), F.lit("rows").alias("figure"), "value")
+    names, figures = _told(table)
+    parts = [F.coalesce(F.col(n).cast("string"), F.lit("∅")) for n in names]
+    key = F.concat_ws("|", F.lit(""), *parts).alias("row_key")
+    values = F.array(*[F.struct(F.lit(n).alias("figure"), F.col(n).cast("double").alias("value")) for n in figures])
+    return df.select(name, key, F.explode(values).alias("_told")).select("table_name", "row_key", "_told.*")
+
+
+_TOLD = " UNION ALL ".join(
+    _told_sql(table, cte)
+    for table, cte in {**_MART_OF, "reservations_kpi_invalid_current": "re WHERE is_invalid_duration"}.items()
 )
 
 
-@check("jb_3_build_gold", " UNION ALL ".join(_COUNTS))
+@check("jb_3_build_gold", _TOLD, BUILT)
 def _(t):
-    silver_root = _store_silver(t, "space_repartition", "reservations", "reserveditems", "users", "tickets")
+    bronze, silver_root, gold_root = t.scratch("bronze"), t.scratch("silver"), t.scratch("gold")
+    exports = {
+        "users": t.exported_users,
+        "tickets": t.exported_tickets,
+        "reservations": t.exported_reservations,
+        "reserveditems": t.exported_items,
+        "space_repartition": t.exported_rooms,
+    }
+    for entity, rows in exports.items():
+        column = landing.CSV_PARTITION if entity in jobs.CSV_ENTITIES else lake.INGESTION_DATE
+        lake.replace_partitions(rows, f"{bronze}/{entity}", column)
+        jobs.build_silver(t.spark, entity, bronze, silver_root, t.run_ts)
     jobs.build_dimensions(t.spark, silver_root)
-    gold_root = t.scratch("gold")
     for domain in jobs.SILVER_OF:
         jobs.build_gold(t.spark, domain, silver_root, gold_root, t.run_ts)
-    counts = [
-        lake.read_table(t.spark, path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        for name, path in jobs.gold_paths(gold_root).items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    told = [_told_rows(lake.read_table(t.spark, path), name) for name, path in jobs.gold_paths(gold_root).items()]
+    return reduce(lambda a, b: a.unionByName(b), told)
 
 
-@check("jb_4_publish_frames", " UNION ALL ".join(_COUNTS))
+@check("jb_4_publish_frames", _TOLD)
 def _(t):
-    counts = [
-        publish.publish_frame(gold(t, n), n)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(n).alias("table_name"), "rows")
-        for n in serving_tables()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    told = [_told_rows(publish.publish_frame(gold(t, n), n), n) for n in serving_tables()]
+    return reduce(lambda a, b: a.unionByName(b), told)
 
 
 @check("jb_5_build_dimensions", """SELECT 'status' AS dim, CAST(status_code AS BIGINT) AS code, status AS label, count(*) AS tickets FROM te GROUP BY 2, 3
@@ -448,3 +484,19 @@ def _(t):
     return _typed_events(lake.read_table(t.spark, bronze))
 
 
+
+
+@check("st_2_stream_and_batch", _EVENTS)
+def _(t):
+    """Half of the days by batch, then a stream over all files, a replay of it, and the batch again."""
+    days = t.event_days
+    middle = F.median(F.unix_date(lake.INGESTION_DATE)).cast("int")
+    early = days.where(F.unix_date(lake.INGESTION_DATE) < days.agg(middle).scalar())
+    root, bronze = _export_events(t, early), t.scratch("bronze")
+    landing.ingest_json(t.spark, root, bronze, EVENT_SCHEMA, t.run_ts)
+    late = days.join(early.select("event_id"), "event_id", "left_anti")
+    late.write.mode("append").partitionBy(lake.INGESTION_DATE).json(root)
+    for checkpoint in (t.scratch("stream"), t.scratch("stream")):  # the second knows of nothing loaded
+        ingest_available(t.spark, root, bronze, checkpoint, EVENT_SCHEMA)
+    landing.ingest_json(t.spark, root, bronze, EVENT_SCHEMA, t.run_ts)
+    return _typed_events(lake.read_table(t.spark, bronze))

@@ -29,9 +29,8 @@ NOT_LEASED = "non loué"
 RESERVABLE = "réser"
 PER_PERSON = "personne"
 DASHES = "–—−"
-ROOM_NUMBER_AT_END = r"\(\s*S\s*-?\s*(\d+)\s*\)\s*$"
-PARENTHESES_AT_END = r"\s*\([^)]+\)\s*$"
-ITEM_ROOM_SEPARATOR = " - Salle "
+ROOM_AT_END = r"(?i) ?\( ?s ?-? ?(\d+) ?\)$"
+ITEM_ROOM = " - Salle $1"
 
 
 def floor_label(c: Column) -> Column:
@@ -73,19 +72,13 @@ def occupancy_band(rate: Column) -> Column:
     return first_match([(rate > 100, "red"), (rate < 40, "amber")], F.lit("green"))
 
 
-def _one_space(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
-
-
 def item_label(c: Column) -> Column:
     """Tidy item name; a closing ``(S-4)`` reads `` - Salle 4``.
 
     White space is collapsed, dashes unified, a dash between two word characters becomes a space.
     """
-    plain = F.translate(F.regexp_replace(F.trim(c), r"\s+", " "), DASHES, "-" * len(DASHES))
-    tidy = F.regexp_replace(plain, r"(?<=\w)-(?=\w)", " ")
-    room = F.regexp_extract(F.upper(tidy), ROOM_NUMBER_AT_END, 1)
-    base = F.trim(F.regexp_replace(tidy, PARENTHESES_AT_END, ""))
-    return _one_space(
-        F.when(room != "", F.concat(base, F.lit(ITEM_ROOM_SEPARATOR), room)).otherwise(tidy)
-    )
+    dashed = F.regexp_replace(c, rf"[{DASHES}]", "-")
+    spaced = F.regexp_replace(dashed, r"\s+|\b-\b", " ")
+    return F.trim(F.regexp_replace(F.trim(spaced), ROOM_AT_END, ITEM_ROOM))
+
+

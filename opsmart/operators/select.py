@@ -66,7 +66,7 @@ def page(
 ) -> DataFrame:
     """One page of a stable order: ``sort_by``, then the unique column.
 
-    Tasks keep all rows up to the end of the page; for deep pages use ``page_after``.
+    Tasks keep all rows up to the end of the page; to walk through pages use ``page_after``.
     """
     if page_no < 1:
         raise ValueError("pages are numbered from 1")
@@ -84,11 +84,44 @@ def page_after(
     unique: str,
     last: object | None,
     page_size: int = DEFAULT_LIMIT,
+    sort_by: str | None = None,
+    sort_order: str = "asc",
 ) -> DataFrame:
-    """The page behind the row whose unique value is ``last`` (None: the first page), by that
-    column. The seek is a filter on the scan, so a deep page costs as much as the first."""
-    rows = df if last is None else df.where(F.col(unique) > F.lit(last))
-    return top_k(rows, [asc(unique)], page_size)
+    """The page behind a row, in the order of ``page``. The seek is a filter on the scan, so a deep page
+    costs as much as the first.
+
+    ``last`` tells the row: its unique value or, with ``sort_by``, the pair (value of ``sort_by``, unique
+    value); None asks for the first page. NULL values come last in ascending order and first in
+    descending order, as in ``page``.
+    """
+    if sort_order not in ("asc", "desc"):
+        raise ValueError("sort_order is 'asc' or 'desc'")
+    if sort_by is None:
+        rows = df if last is None else df.where(F.col(unique) > F.lit(last))
+        return top_k(rows, [asc(unique)], page_size)
+    order = [(asc if sort_order == "asc" else desc)(sort_by), asc(unique)]
+    return top_k(df if last is None else df.where(_behind(sort_by, unique, last, sort_order)), order, page_size)
+
+
+def _behind(sort_by: str, unique: str, last: tuple[object, object], sort_order: str) -> Column:
+    """Rows behind a pair in the order of ``sort_by`` and then ``unique``."""
+    value, key = last
+    column, later = F.col(sort_by), F.col(unique) > F.lit(key)
+    if value is None:
+        same = column.isNull() & later
+        return same if sort_order == "asc" else same | column.isNotNull()
+    same = (column == F.lit(value)) & later
+    if sort_order == "asc":
+        return (column > F.lit(value)) | same | column.isNull()
+    return (column < F.lit(value)) | same
+
+
+def place_of(df: DataFrame, unique: str, key: object, sort_by: str) -> tuple[object, object]:
+    """The pair that ``page_after`` needs of the row with a unique value; one row comes to the driver."""
+    row = df.where(F.col(unique) == F.lit(key)).select(sort_by).first()
+    if row is None:
+        raise ValueError(f"no row with {unique} {key}")
+    return row[0], key
 
 
 def pivot_sum(

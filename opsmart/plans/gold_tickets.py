@@ -62,17 +62,18 @@ def enriched(
     users: DataFrame,
     codes: Mapping[str, DataFrame],
     run_ts: Column | None = None,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Tickets with labels, both users, open flag and hours to solve and close.
 
     Five broadcast joins with code tables, two with the user dimension in its two roles; the row
-    count is that of the tickets.
+    count is that of the tickets. ``hot_share`` spreads users with that share of the tickets.
     """
     out = tickets
     for table, key in CODE_OF.items():
         out = attach_codes(out, codes[table], key)
-    out = attach(out, in_role(users, REQUESTER), "requester_user_id")
-    out = attach(out, in_role(users, UPDATER), "last_updater_user_id")
+    out = attach(out, in_role(users, REQUESTER), "requester_user_id", hot_share=hot_share)
+    out = attach(out, in_role(users, UPDATER), "last_updater_user_id", hot_share=hot_share)
     created = F.col(CREATED)
     derived = {
         "is_open": is_open().cast("int"),

@@ -13,7 +13,17 @@ from pyspark.sql import functions as F
 
 from opsmart.functions.text import as_text, stamp_text
 from opsmart.functions.times import ALL_PERIODS
-from opsmart.operators.select import DEFAULT_LIMIT, asc, check_limit, desc, filter_optional, page, top_k
+from opsmart.operators.select import (
+    DEFAULT_LIMIT,
+    asc,
+    check_limit,
+    desc,
+    filter_optional,
+    page,
+    page_after,
+    place_of,
+    top_k,
+)
 
 BUILT = "gold_kpi_build_ts"
 
@@ -167,19 +177,52 @@ def ticket_list(
     sort_order: str = "asc",
 ) -> DataFrame:
     """One page of the ticket list of a period."""
-    rows = enriched
-    if period != ALL_PERIODS:
-        first = F.to_date(F.lit(f"{period}-01"))
-        in_month = (F.col("created_ts") >= first) & (F.col("created_ts") < F.add_months(first, 1))
-        rows = rows.where(in_month)
-    shaped = rows.select(
+    return page(_listed(_of_month(enriched, period)), "ticket_id", page_no, check_limit(page_size), sort_by, sort_order)
+
+
+#: Columns of the ticket list that are shown under another name or as text.
+_LISTED = {
+    "priority": "priority_code",
+    "assigned_technician": "last_updater_full_name",
+    "created_date": "created_ts",
+    "last_updated": "updated_ts",
+    "resolution_date": "solved_ts",
+}
+
+
+def ticket_list_after(
+    enriched: DataFrame,
+    period: str = ALL_PERIODS,
+    after: int | None = None,
+    page_size: int = DEFAULT_LIMIT,
+    sort_by: str | None = None,
+    sort_order: str = "asc",
+) -> DataFrame:
+    """The page of the ticket list behind the ticket ``after`` (None: the first page), in the order of
+    ``ticket_list``; sorted and cut on the stored columns, so the seek reaches the scan."""
+    rows, size = _of_month(enriched, period), check_limit(page_size)
+    column = _LISTED.get(sort_by, sort_by)
+    last = after if after is None or column is None else place_of(rows, "ticket_id", after, column)
+    order = [] if column is None else [(asc if sort_order == "asc" else desc)(column)]
+    found = page_after(rows, "ticket_id", last, size, column, sort_order)
+    return _listed(found.orderBy(*order, asc("ticket_id")))
+
+
+def _of_month(enriched: DataFrame, period: str) -> DataFrame:
+    if period == ALL_PERIODS:
+        return enriched
+    first = F.to_date(F.lit(f"{period}-01"))
+    return enriched.where((F.col("created_ts") >= first) & (F.col("created_ts") < F.add_months(first, 1)))
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "ticket_id", "title", "status", F.col("priority_code").alias("priority"), "category",
         "location", F.col("last_updater_full_name").alias("assigned_technician"),
         stamp_text(F.col("created_ts")).alias("created_date"),
         stamp_text(F.col("updated_ts")).alias("last_updated"),
         stamp_text(F.col("solved_ts")).alias("resolution_date"),
     )
-    return page(shaped, "ticket_id", page_no, check_limit(page_size), sort_by, sort_order)
 
 
 # --- reservations -------------------------------------------------------------------------

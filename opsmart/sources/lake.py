@@ -96,6 +96,23 @@ def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     return sorted((p.toString(), size) for p, size in listing if not p.getName().startswith(("_", ".")))
 
 
+def delete_files(spark: SparkSession, folder: str, prefix: str) -> None:
+    """Delete the files of a folder whose names begin with ``prefix``."""
+    fs, path = _located(spark, folder)
+    for status in fs.listStatus(path):
+        if status.getPath().getName().startswith(prefix):
+            fs.delete(status.getPath(), False)
+
+
+def move(spark: SparkSession, file: str, folder: str, name: str) -> None:
+    """Move a file into a folder, which is made if need be, under a new name."""
+    fs, path = _located(spark, folder)
+    fs.mkdirs(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path, name)
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(file), target):
+        raise OSError(f"{file} was not moved to {folder}/{name}")
+
+
 def read_head(spark: SparkSession, name: str, length: int) -> str:
     """The first bytes of a file as text."""
     fs, path = _located(spark, name)

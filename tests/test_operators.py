@@ -147,6 +147,55 @@ def test_null_order_of_the_serving_database(facts):
     assert [r.id for r in oldest.collect()] == [1, 2, 3, 5, 4]
 
 
+@pytest.mark.parametrize("order", ["asc", "desc"])
+@pytest.mark.parametrize("column", ["v", "f", "t"])
+def test_walking_all_pages_by_any_column(spark, order, column):
+    import random
+
+    pick = random.Random(1)
+    values = [(i, pick.choice([None, 1, 2, 3]), pick.choice([None, 0.5, float("nan"), -1.0]), pick.choice([None, "a", "", "b"])) for i in range(60)]
+    df = spark.createDataFrame(values, "id int, v int, f double, t string")
+    direction = select.asc if order == "asc" else select.desc
+    whole = [r.id for r in df.orderBy(direction(column), select.asc("id")).collect()]
+    walked, last = [], None
+    while page := select.page_after(df, "id", last, 7, column, order).collect():
+        walked += [r.id for r in page]
+        last = (page[-1][column], page[-1].id)
+        assert select.place_of(df, "id", last[1], column)[1] == last[1]
+    assert walked == whole
+    with pytest.raises(ValueError, match="no row"):
+        select.place_of(df, "id", 999, column)
+
+
+def test_a_seek_reaches_the_scan(spark, folder):
+    df = spark.range(100).selectExpr("id", "id % 7 AS v")
+    df.write.parquet(f"{folder}/t")
+    out = select.page_after(spark.read.parquet(f"{folder}/t"), "id", (3, 20), 5, "v", "desc")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(LessThan(v,3),And(EqualTo(v,3),GreaterThan(id,20)))]" in plan
+
+
+def test_hot_keys_are_found_and_spread(spark):
+    fact = spark.range(20_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 7 WHEN id % 11 = 0 THEN NULL ELSE id END AS k")
+    dim = spark.range(20_000).selectExpr("id AS k", "concat('n', id) AS name")
+    assert lookup.hot_keys(fact, "k", 0.05) == [7]
+    assert lookup.hot_keys(fact.where("k IS NULL"), "k", 0.05) == [] and lookup.hot_keys(fact.limit(0), "k", 0.05) == []
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = lookup.attach_spread(fact, dim, "k", 0.05, 16)
+        assert out.columns == ["k", "id", "name"]
+        sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        plain = [r[0] for r in lookup.attach(fact, dim, "k").groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(plain) > 10_000 and max(sizes) < 8000
+    assert out.where("k IS NULL").count() == fact.where("k IS NULL").count()
+    assert out.where("name IS NULL AND k IS NOT NULL OR name <> concat('n', k)").count() == 0 and out.count() == 20_000
+
+
 def test_page(facts):
     def ids(*args):
         return [r.id for r in select.page(facts, "id", *args).collect()]

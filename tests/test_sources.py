@@ -423,3 +423,28 @@ def test_publish_domain_checks_keys_before_it_empties_a_table(spark, monkeypatch
     assert written == []
     publish.publish_domain("space", gold(["a", "b"]), target, fact_partitions=64, kpi_partitions=3)
     assert dict(written)["space_room_current"] == 64 and dict(written)["space_kpi_by_site_current"] == 3
+
+
+def test_stream_and_batch_share_one_folder(spark, folder):
+    from opsmart.streaming.landing_stream import bronze_sink
+
+    src, dst = f"{folder}/landing", f"{folder}/bronze"
+    export(src, "2024-01-01", [{"id": 1}, {"id": 2}])
+    assert landing.ingest_json(spark, src, dst, USERS)["rows"] == 2
+    export(src, "2024-01-01", [{"id": 3}], "late.json")
+    export(src, "2024-01-02", [{"id": 4}])
+    ingest_available(spark, src, dst, f"{folder}/one", USERS)
+    assert days(spark, dst) == {"2024-01-01": 3, "2024-01-02": 1}
+    assert lake.missing_dates(spark, src, dst, verify=True) == []
+    ingest_available(spark, src, dst, f"{folder}/two", USERS)  # another checkpoint sees all files anew
+    assert landing.ingest_json(spark, src, dst, USERS) == {"dates": [], "rows": 0}
+    assert days(spark, dst) == {"2024-01-01": 3, "2024-01-02": 1}
+    # One batch again, also after an attempt that had moved only a part of its files.
+    rows = lake.read_table(spark, dst).where("id = 4").withColumn("_source_file", F.lit("new.json"))
+    rows.write.parquet(f"{folder}/batch")
+    batch = spark.read.parquet(f"{folder}/batch").unionByName(spark.read.parquet(f"{folder}/batch").withColumn("id", F.lit("5")))
+    take = bronze_sink(dst, "stream-x")
+    for _attempt in range(2):
+        take(batch, 7)
+        assert days(spark, dst) == {"2024-01-01": 3, "2024-01-02": 3}
+    assert lake.missing_dates(spark, src, dst, verify=True) == []
