@@ -62,7 +62,8 @@ def map_rows(
         if held:
             yield _batch(held, arrow)
 
-    return df.mapInArrow(run, schema)
+    # Inputs are told apart by their place; a name with a dot would not be resolved.
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -115,13 +115,24 @@ class Trace:
         return self.starts[start], self.ends[end - 1]
 
 
-# Cyrillic and Greek letters drawn like Latin ones, and the letters they resemble.
-LOOK_ALIKE = dict(
-    zip(
-        "АВЕЅІЈКМНОРСТХУасеѕіјорхуԁԛԝһАΑΒΕΖΗΙΚΜΝΟΡΤΥΧονα",
-        "ABESIJKMHOPCTXYacesijopxydqwhAABEZHIKMNOPTYXova",
+# Cyrillic, Greek, Armenian and rare Latin letters drawn like ASCII ones, and the letters
+# they resemble; full stops of other scripts.
+LOOK_ALIKE = {
+    c: plain
+    for odd, like in (
+        ("АВЕЅІЈКМНОРСТХУ", "ABESIJKMHOPCTXY"),
+        ("асеѕіјорхуԁԛԝһ", "acesijopxydqwh"),
+        ("кмтнгпѵү", "kmthrnvy"),
+        ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ABEZHIKMNOPTYX"),
+        ("ονα", "ova"),
+        ("ικρτυηωγσβε", "ikptunwyobe"),
+        ("օոսհցզ", "onuhgq"),
+        ("ɑɡıȷɩʋ", "agijiv"),
+        ("ᴀʙᴄᴅᴇɢʜɪᴊᴋʟᴍɴᴏᴘʀᴛᴜᴠᴡʏᴢ", "ABCDEGHIJKLMNOPRTUVWYZ"),
+        ("。｡․", "..."),
     )
-)
+    for c, plain in zip(odd, like)
+}
 # Characters without width.
 INVISIBLE = "­​‌‍⁠﻿"
 # Digit words in English, German, French and Spanish.
@@ -150,7 +161,7 @@ NO_LOCAL = frozenset(
 #: Digit words so common as other words that they are no trigger by themselves.
 WEAK = {"un", "uno", "oh", "one", "dos", "six", "null"}
 
-_ODD = re.compile("[ ­ƀ-\U0010ffff]")
+_ODD = re.compile("[ı ­ƀ-\U0010ffff]")
 # Every repetition is bounded or possessive, and no match can start inside a run of its own first
 # characters, so that matching stays linear on any text.
 _BRACKETS = re.compile(
@@ -162,10 +173,26 @@ _SPOKEN = re.compile(
     rf"(?P<domain>[a-z0-9-]{{1,64}}{_PART}(?: (?:{DOT_WORDS}) |\.)[a-z]{{2,24}}\b)",
     re.I,
 )
-_AT_DOMAIN = re.compile(rf" (?:{AT_WORDS}) [a-z0-9-]{{1,64}}\.[a-z0-9]", re.I)
+_AT_DOMAIN = re.compile(rf"\s(?:{AT_WORDS})\s+[a-z0-9-]{{1,64}}\.[a-z0-9]", re.I)
 #: An address that is already whole; what follows a spoken dot then is prose.
 _WHOLE = re.compile(r"@\S*\.(?:com|org|net|edu|gov|info|de|fr|es)\Z", re.I)
 _SIGNS = re.compile(rf" (?:(?P<at>{AT_WORDS})|(?P<dot>{DOT_WORDS})) ", re.I)
+# Signs between blanks of any kind and number, with blanks around, as entities and with underscores.
+_LOOSE = re.compile(rf"(?<!\s)\s++({AT_WORDS}|{DOT_WORDS}|@|\.)\s+", re.I)
+_SPACED = re.compile(
+    r"(?<![\w.%+-])[a-z0-9._%+-]{1,64} @ [a-z0-9-]{1,64}(?:(?: \. |\.)[a-z0-9-]{1,64}){0,8}(?: \. |\.)[a-z]{2,24}\b",
+    re.I,
+)
+_SPACED_SIGN = re.compile(r" ([@.]) ")
+_ENTITY = re.compile(r"&(?:#0*64|#x0*40|(commat)|#0*46|#x0*2e|(period));", re.I)
+_JOINED = re.compile(
+    r"(?<![A-Za-z0-9])[a-z0-9.%+-]{1,64}(?:_(?!at_)[a-z0-9.%+-]{1,64}){0,8}_at_[a-z0-9-]{1,64}(?:_dot_[a-z0-9-]{1,64}){0,8}_dot_"
+    r"[a-z]{2,24}(?![A-Za-z0-9])",
+    re.I,
+)
+_JOINED_SIGN = re.compile(r"_(at|dot)_", re.I)
+_DOTTED = re.compile(rf"(?<![\w.])[0-9]{{1,3}}(?: (?:{DOT_WORDS}) [0-9]{{1,3}}){{3}}(?![\w.])", re.I)
+_DOTTED_SIGN = re.compile(rf" (?:{DOT_WORDS}) ", re.I)
 _TOKEN = rf"(?:{'|'.join(sorted(DIGIT_WORDS, key=len, reverse=True))}|[0-9]+)"
 _SPELLED = re.compile(
     rf"(?<!\w)(?:(?:{PLUS_WORDS}) |\+)?{_TOKEN}(?:(?: (?:{DOT_WORDS}) | ?[-,.] ?| ){_TOKEN}){{3,}}(?!\w)",
@@ -228,7 +255,23 @@ def spelled_digits(trace: Trace) -> list[tuple[int, int]]:
 
 
 def signs(trace: Trace) -> None:
-    """Bracketed ``at`` and ``dot``, and spoken ones in the shape of a whole address."""
+    """Signs as entities, in brackets or joined by underscores, signs between blanks, and spoken ones in
+    the shape of a whole address."""
+    trace.rewrite([(*m.span(), "@" if m[1] or re.match(r"&#(?:0*64|x0*40);", m[0], re.I) else ".") for m in _ENTITY.finditer(trace.text)])
+    trace.rewrite([
+        (*s.span(), "@" if s[1].lower() == "at" else ".")
+        for m in _JOINED.finditer(trace.text) for s in _JOINED_SIGN.finditer(trace.text, *m.span())
+    ])
+    trace.rewrite([(*m.span(), f" {m[1]} ") for m in _LOOSE.finditer(trace.text) if m[0] != f" {m[1]} "])
+    trace.rewrite([
+        (*s.span(), s[1])
+        for m in _SPACED.finditer(trace.text)
+        if m[0].split(" ")[0].lower() not in NO_LOCAL
+        for s in _SPACED_SIGN.finditer(trace.text, *m.span())
+    ])
+    trace.rewrite([
+        (*s.span(), ".") for m in _DOTTED.finditer(trace.text) for s in _DOTTED_SIGN.finditer(trace.text, *m.span())
+    ])
     trace.rewrite([(*m.span(), "@" if m["at"] else ".") for m in _BRACKETS.finditer(trace.text)])
     edits = []
     for whole in _SPOKEN.finditer(trace.text):
@@ -257,6 +300,9 @@ def triggered(text: str) -> bool:
         _ODD.search(text)
         or _BRACKETS.search(text)
         or _AT_DOMAIN.search(text)
+        or "&" in text and _ENTITY.search(text)
+        or " @ " in text
+        or "_at_" in text.lower()
         or not _STRONG.isdisjoint(text.lower().translate(_BETWEEN).split())
     )
 

@@ -98,3 +98,51 @@ def test_words_beside_a_plain_address_stay():
         found = pii.spans(text)[1]
         assert [text[a:b] for a, b, _ in found] == [text[text.index("john") :].split()[0]]
     pii.spans("a at b." * 30_000 + "a.b " * 30_000 + "x@y dot " * 30_000)
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("mail john  at  example  dot  com now", "email", "john  at  example  dot  com"),
+        ("mail john\nat example.com now", "email", "john\nat example.com"),
+        ("mail john \t at example \n dot com now", "email", "john \t at example \n dot com"),
+        ("x john_at_example_dot_com y", "email", "john_at_example_dot_com"),
+        ("x john_doe_at_mail_dot_example_dot_com y", "email", "john_doe_at_mail_dot_example_dot_com"),
+        ("x john @ example . com y", "email", "john @ example . com"),
+        ("x john&#64;example&#46;com y", "email", "john&#64;example&#46;com"),
+        ("x john&commat;example.com y", "email", "john&commat;example.com"),
+        ("x 192 dot 168 dot 0 dot 1 y", "ip", "192 dot 168 dot 0 dot 1"),
+        ("x 192。168。0。1 y", "ip", "192。168。0。1"),
+        ("x admın@example.com y", "email", "admın@example.com"),
+        ("x кmail@example.com y", "email", "кmail@example.com"),
+    ],
+)
+def test_more_disguises_map_back(text, kind, span):
+    found = pii.spans(text)[1]
+    assert (kind, span) in [(pii.KINDS[k], text[a:b]) for a, b, k in found]
+
+
+@pytest.mark.parametrize(
+    "text", ["meet me @ Starbucks. Then home", "look_at_me_now", "a point in 5 point 6", "see you @ example.com", "1 dot 2 dot 3", "A。B。"]
+)
+def test_more_prose_stays(text):
+    assert pii.spans(text) == ([], [])
+
+
+def test_disguise_patterns_take_linear_time():
+    import time
+
+    for part in (" at a.b", "a_at_", "x @ ", "1 dot ", "&#6", " dot", "\n \t"):
+        def seconds(n, part=part):
+            start = time.perf_counter()
+            pii.spans(part * n)
+            return time.perf_counter() - start
+
+        seconds(1000)
+        assert seconds(40_000) < 40 * max(seconds(4000), 0.005), part
+
+
+def test_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "mail a@b.co", "z", 5)], "doc_id long, text string, `a.b` string, `n chars` long")
+    out = pii.redact(df)
+    assert out.columns == df.columns and out.collect() == [(1, "mail <EMAIL>", "z", 5)]
