@@ -260,6 +260,8 @@ def sample(docs: DataFrame) -> DataFrame:
 
     # At most TRAIN_DOCS * LANGUAGES short rows are broadcast, or LEAST_DOCS a language.
     texts = labelled.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"])
+    # Of repeated rows of one id one text counts.
+    texts = texts.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     return map_rows(texts.select("lang", "doc_id", "text"), "lang string, window binary", windows)
 
 

@@ -226,8 +226,9 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Data
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    # At most ``rows`` rows of two numbers.
+    # At most ``rows`` rows of two numbers; of repeated rows of one id one text counts.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
     return statistics(texts).join(F.broadcast(chosen), "doc_id")
 
 
@@ -275,7 +276,10 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rules = learned(docs, labels)
     names = docs.columns
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    count = [f"_{c}" for c in COUNTS]
+    mark = "_"
+    while any(mark + c in names for c in COUNTS):
+        mark += "_"
+    count = [mark + c for c in COUNTS]
     text_at = names.index("text")
 
     def rows(inputs: Iterator[tuple]) -> Iterator[tuple]:
@@ -283,8 +287,10 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield *row, *counts(row[text_at] or "")
 
     wide = map_rows(docs, schema + "".join(f", {c} long" for c in count), rows)
-    own = wide.select(F.struct(*names).alias("row"), *[F.col(a).alias(b) for a, b in zip(count, COUNTS)])
-    return own.filter(~base_failed() & (verdict(rules) == 0)).select("row.*")
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    own = wide.select(row, *[F.col(a).alias(b) for a, b in zip(count, COUNTS)])
+    kept = own.filter(~base_failed() & (verdict(rules) == 0))
+    return kept.select(*[F.col(f"row.`{c}`") for c in names])
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

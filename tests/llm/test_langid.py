@@ -87,3 +87,18 @@ def test_the_sample_stays_bounded():
         assert n * langid.docs_of_each(n) <= langid.LANGUAGES * langid.TRAIN_DOCS
     assert langid.docs_of_each(64) == langid.TRAIN_DOCS and langid.docs_of_each(5000) == langid.LEAST_DOCS
     assert langid.steps_for(4) == langid.STEPS and langid.units_for(40) == langid.UNITS
+
+
+def test_the_sample_is_bounded_under_repeated_rows(spark):
+    rows = [(i, "plain words of a text " * 20, "en" if i % 2 else "de") for i in range(40)] + [(2, "again and again " * 30, "de")] * 5000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.sample(docs).count()
+    ids = docs.filter(~langid.held_out()).select("doc_id").distinct().count()
+    assert 0 < found <= ids * langid.TRAIN_WINDOWS
+
+
+def test_a_text_of_many_megabytes():
+    network = langid.Network(["de", "en"], 4)
+    text = "ein langer Text " * 300_000  # 4.8 MB
+    (lang, score), (short, _) = langid.predict(network, [text, "ein langer Text"])
+    assert lang in ("de", "en") and short in ("de", "en") and 0 <= score <= 1

@@ -58,3 +58,16 @@ def test_query_rows(spark):
     assert kept.columns == ["doc_id", "text", "rule"] and kept.count() == 61
     assert rules.judged(docs, labels.limit(0)).filter("kept").count() == 121
     assert rules.judged(docs.limit(0), labels).count() == 0
+
+
+def test_repeated_rows_and_names_do_not_matter(spark):
+    rows = [(i, "some words " * (60 if i % 3 else 3)) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows + rows[:1] * 3000 + [(0, None)], "doc_id long, text string")
+    found = rules.labelled(docs, labels, 50)
+    assert found.count() == found.select("doc_id").distinct().count() <= 50
+    extra = docs.selectExpr("*", "7 AS _n_words", "8 AS n_words", "9 AS `a.b`", "1 AS row", "2 AS __n_words")
+    kept = rules.keep(extra, labels)
+    assert kept.columns == extra.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in rules.keep(docs, labels).collect())
+    assert all(tuple(r)[2:] == (7, 8, 9, 1, 2) for r in kept.collect())
