@@ -3,8 +3,11 @@
 A unit vector is turned by pseudo-rotations (three rounds of random signs and a fast Hadamard
 transform); its hash is the signed axis it then lies nearest to. Each of ``tables`` tables has its
 own rotations, ``functions`` of them joined to one bucket number. Every vector is indexed in one
-bucket per table; a query looks into the ``probes`` buckets whose axes it lies nearest to. What it
-meets is ranked exactly, by the inner product of the original vectors in double precision. Unit vectors
+bucket per table; a query looks into the ``probes`` buckets whose axes it lies nearest to. How many
+that takes depends on the rows, their dimension and their norms, and is measured: up to ``SAMPLE``
+queries are compared with every vector, and ``probes`` is the least number with which ``TARGET`` of
+their true neighbours lie in a probed bucket. It falls as a table grows, since neighbours get nearer. What
+a query meets is ranked exactly, by the inner product of the original vectors in double precision. Unit vectors
 are centred for the hash, so that a cone of vectors spreads over the buckets. A query that met fewer than
 k + 1 classes looks into eight times as many buckets, in the end into all.
 
@@ -13,8 +16,8 @@ which is all that k nearest can show of it. Buckets are cut into blocks of at mo
 ``BLOCK`` classes and ``QUERIES`` queries, and every block of classes meets every block of queries
 of its bucket, so no task holds more than that.
 
-Measured recall of the 20 nearest with the defaults: see README. With one function a table has two
-buckets per axis; for a hundred million vectors or more take two functions and more tables.
+Measured recall of the 20 nearest: see README. With one function a table has two buckets per axis; for
+a hundred million vectors or more take two functions and more tables.
 
 Defined results: vectors that are null, empty, zero, of another length than most, or hold null or
 non-finite components take no part; a repeated row counts once, and a ``vec_id`` with several vectors
@@ -33,7 +36,9 @@ from pyspark.sql.window import Window
 
 from opsmart.llm.common import importable, stored, table
 
-TABLES, FUNCTIONS, PROBES = 8, 1, 16
+TABLES, FUNCTIONS = 8, 1
+#: Queries that the number of probes is fitted on, and the share of their neighbours to be met.
+SAMPLE, TARGET = 64, 0.95
 BLOCK, QUERIES = 4096, 16384
 SEED = 20
 
@@ -170,6 +175,50 @@ def _nearest(k: int):
     return run
 
 
+def fitted_probes(
+    classes: DataFrame, asked: DataFrame, k: int, tables: int, functions: int, centre: np.ndarray
+) -> int:
+    """The least number of probes that meets ``TARGET`` of the true neighbours of a sample of queries.
+
+    One pass over all vectors, of which every task returns the k best of each sampled query; the sample
+    (``SAMPLE`` vectors) and its neighbours (k each) come to the driver.
+    """
+    chosen = asked.orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("class", "embedding").collect()
+    if not chosen:
+        return 1
+    own = np.array([r[0] for r in chosen])
+    queries = np.array([r.embedding for r in chosen], np.float64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, x = batch.column("class").to_numpy(), _matrix(batch.column("embedding"))
+            scores = queries @ x.T
+            scores[own[:, None] == ids[None, :]] = -np.inf
+            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            row = np.repeat(np.arange(len(queries)), best.shape[1])
+            found = [row, ids[best.ravel()], scores[row, best.ravel()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query", "class", "score"])
+
+    scored = classes.select("class", "embedding").mapInArrow(run, "query long, class long, score double")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "class")
+    top = scored.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    near = top.filter("score > double('-Infinity')").join(classes, "class").select("query", "embedding").collect()
+    if not near:
+        return 1
+    of = np.array([r[0] for r in near])
+    x = _unit(_unit(np.array([r.embedding for r in near], np.float64)) - centre)
+    y = _unit(_unit(queries) - centre)
+    axes = 2 << max(1, (x.shape[1] - 1).bit_length())
+    # With several functions the lists of buckets are cut where no one would probe them all.
+    most = min(axes**functions, max(axes, 1024))
+    needed = np.full(len(near), most)
+    for number in range(tables):
+        code = probed(x, number, functions, 1)[:, 0]
+        met = probed(y, number, functions, most)[of] == code[:, None]
+        needed = np.minimum(needed, np.where(met.any(axis=1), met.argmax(axis=1) + 1, most))
+    return int(np.sort(needed)[max(0, int(np.ceil(TARGET * len(needed))) - 1)])
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """``vec_id, embedding`` of the vectors that take part, each row once."""
     vectors = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
@@ -226,11 +275,12 @@ def nearest(
     k: int = 20,
     tables: int = TABLES,
     functions: int = FUNCTIONS,
-    probes: int = PROBES,
+    probes: int | None = None,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row of ``asked``.
 
-    ``asked`` holds rows of ``vectors`` (``vec_id``); a row is never its own neighbour.
+    ``asked`` holds rows of ``vectors`` (``vec_id``); a row is never its own neighbour. Without
+    ``probes`` their number is fitted.
     """
     spark = vectors.sparkSession
     importable(spark)
@@ -255,6 +305,8 @@ def nearest(
     centre = np.zeros(1) if centre is None else centre
     index = _dealt(classes, tables, functions, 1, centre)
     open_queries = queries.select("class", "embedding").dropDuplicates(["class"])
+    if probes is None:
+        probes = fitted_probes(classes, open_queries, k, tables, functions, centre)
     met = stored(_met(index, _dealt(open_queries, tables, functions, probes, centre), k).distinct(), "vectors-met")
     buckets = (2 << max(1, (len(centre) - 1).bit_length())) ** functions
     while probes < buckets:

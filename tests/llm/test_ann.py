@@ -83,3 +83,33 @@ def test_recall_of_each_query_outside_a_cone(spark):
     print("outside", np.mean([r for q, r in recall.items() if q < 20]), "all", np.mean(list(recall.values())), "least", min(recall.values()))
     assert all(len(f) == 20 for f in found.values())
     assert np.mean([r for q, r in recall.items() if q < 20]) > 0.9 and np.mean(list(recall.values())) > 0.9
+
+
+def recall_of(spark, x):
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], SCHEMA)
+    found = {}
+    for r in ann.nearest(df, df.filter("vec_id % 20 = 0")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    every = [len(f & {i for i, _ in brute(x, ids, q, 20)}) / 20 for q, f in found.items()]
+    assert len(found) == -(-len(x) // 20)
+    return float(np.mean(every))
+
+
+def test_recall_at_any_dimension_and_norm(spark):
+    pick = np.random.default_rng(5)
+    norms = np.exp(0.5 * pick.normal(size=(2000, 1)))
+    cases = {d: pick.normal(size=(2000, d)) for d in (16, 256, 768)} | {"norms": pick.normal(size=(2000, 64)) * norms}
+    for name, x in cases.items():
+        assert recall_of(spark, x.astype(np.float32)) >= 0.9, name
+
+
+def test_probes_fall_as_vectors_get_nearer(spark):
+    pick = np.random.default_rng(6)
+    centres = pick.normal(size=(50, 32))
+    fitted = []
+    for spread in (0.1, 3.0):
+        x = centres[pick.integers(0, 50, 2000)] + spread * pick.normal(size=(2000, 32))
+        classes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "class long, embedding array<float>")
+        fitted.append(ann.fitted_probes(classes, classes.filter("class % 20 = 0"), 20, 8, 1, np.zeros(1)))
+    assert 1 <= fitted[0] < fitted[1] <= 64
