@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from opsmart.contracts import SERVING, landing_schema, serving_tables
 from opsmart.operators.audit import observed
 from opsmart.plans import dims, gold_reservations, gold_space, gold_tickets, silver
-from opsmart.session import pin, shuffles_for
+from opsmart.session import pin, shared_dir, shuffles_for
 from opsmart.sources import lake, landing, publish
 
 CSV_ENTITIES = ("space_repartition",)
@@ -115,10 +115,13 @@ BUILDERS: dict[str, Builder] = {
 }
 
 
-#: The enriched facts are stored in ranges of what the serving queries filter by; the id last splits
-#: values with very many rows.
+#: The enriched facts are stored so that the filters of the serving queries skip data: reservations along a
+#: curve over the four that may be given, tickets in ranges of their creation. The id splits ties.
 FACT_LAYOUT = {
-    "reservations_enriched_current": {"cluster_by": ("start_month", "user_id", "reservation_id")},
+    "reservations_enriched_current": {
+        "curve_by": ("start_month", "user_id", "reservation_item_id", "start_hour"),
+        "cluster_by": ("reservation_id",),
+    },
     "tickets_enriched": {"cluster_by": ("created_ts", "ticket_id")},
 }
 
@@ -130,10 +133,17 @@ SILVER_OF = {
 
 
 def build_gold(
-    spark: SparkSession, domain: str, silver_root: str, gold_root: str, run_ts: Column | None = None
+    spark: SparkSession,
+    domain: str,
+    silver_root: str,
+    gold_root: str,
+    run_ts: Column | None = None,
+    hot_share: float | None = None,
 ) -> list[str]:
     """Write every gold table of a domain.
 
+    ``hot_share`` looks for users with that share of the tickets and spreads their join.
+
     KPI marts scan the stored silver table (two to four columns each); the space KPIs read the
     stored room mart, which is already one row per room.
     """
@@ -144,12 +154,24 @@ def build_gold(
         for name in SERVING[domain]:
             path = f"{gold_root}/{domain}/{name}"
             layout = FACT_LAYOUT.get(name, {})
-            lake.replace_snapshot(BUILDERS[name](tables, run_ts), path, **layout)
+            rows = BUILDERS[name](tables, run_ts)
+            if name == "tickets_enriched" and hot_share is not None:
+                rows = _T.enriched(tables["tickets"], tables["users"], tables, run_ts, hot_share)
+            if layout:  # ranges are found by reading the rows first, so they are joined once and stored
+                rows = _staged(rows)
+            lake.replace_snapshot(rows, path, **layout)
             if name == ROOM_MART:
                 tables[name] = lake.read_table(spark, path)
     return list(SERVING[domain])
 
 
+def _staged(rows: DataFrame) -> DataFrame:
+    """The rows written to the shared scratch folder and read back."""
+    path = shared_dir(rows.sparkSession, "staged")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def gold_paths(gold_root: str) -> dict[str, str]:
     """The gold catalogue: serving name -> stored folder."""
     return {table: f"{gold_root}/{domain}/{table}" for table, domain in serving_tables().items()}

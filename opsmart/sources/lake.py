@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsmart.operators.layout import along_curve
+
 _LOG = logging.getLogger(__name__)
 INGESTION_DATE = "ingestion_date"
 _DATE = r"\d{4}-\d{2}-\d{2}"
@@ -352,6 +354,7 @@ def replace_snapshot(
     rows_per_file: int = 0,
     partition_by: str | None = None,
     cluster_by: Sequence[str] = (),
+    curve_by: Sequence[str] = (),
 ) -> None:
     """Replace a whole table, schema included, by a new version.
 
@@ -360,7 +363,8 @@ def replace_snapshot(
 
     ``rows_per_file`` bounds the files a task writes (0 = no bound). ``partition_by`` stores a folder
     per value of one column: rows are rebalanced on it, so that AQE splits a value with very many
-    rows, and sorted by ``cluster_by`` inside. ``cluster_by`` alone stores ranges of those columns.
+    rows, and sorted by ``cluster_by`` inside. ``cluster_by`` alone stores ranges of those columns;
+    ``curve_by`` stores ranges along a curve over several columns, and ``cluster_by`` settles ties.
     Either way the statistics of files and row groups let filters on them skip data.
     """
     spark, folder = df.sparkSession, f"{path}/{_VERSIONS}"
@@ -370,6 +374,10 @@ def replace_snapshot(
     out = df
     if partition_by is not None:
         out = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster_by)
+    elif curve_by:
+        placed = along_curve(df, curve_by)
+        order = ["_curve", *cluster_by]
+        out = placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_curve")
     elif cluster_by:
         out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     writer = out.write.option("maxRecordsPerFile", rows_per_file)

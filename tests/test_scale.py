@@ -187,3 +187,38 @@ def test_shuffle_partitions_follow_the_input(spark, folder):
     assert spark.conf.get(key) == before
     with session.shuffles_for(spark, [f"{folder}/t"]) as n:
         assert str(n) == before
+
+
+def test_each_optional_filter_skips_stored_reservations(spark, folder):
+    """Files whose statistics admit a value, for one filter at a time."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from opsmart.plans import jobs
+
+    rows = spark.range(60_000).selectExpr(
+        "id AS reservation_id", "date_format(date_add(date'2023-01-01', cast(hash(id) % 365 AS int)), 'yyyy-MM') AS start_month",
+        "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 3 = 0 THEN 7 ELSE pmod(hash(id, 1), 5000) END AS user_id",
+        "pmod(hash(id, 2), 800) AS reservation_item_id", "cast(pmod(hash(id, 3), 24) AS int) AS start_hour",
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "256")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lake.replace_snapshot(rows, f"{folder}/t", **jobs.FACT_LAYOUT["reservations_enriched_current"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    out = lake.read_table(spark, f"{folder}/t")
+    assert out.count() == 60_000 and out.columns == rows.columns
+    files = glob.glob(f"{folder}/t/_versions/*/*.parquet")
+    assert len(files) > 200
+    for column, value in (("start_month", "2023-05"), ("user_id", 4321), ("reservation_item_id", 555), ("start_hour", 9)):
+        admitted = 0
+        for file in files:
+            meta = pq.ParquetFile(file).metadata
+            at = meta.schema.names.index(column)
+            groups = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+            admitted += any(s.has_min_max and s.min <= value <= s.max for s in groups)
+        assert admitted <= 0.6 * len(files), (column, admitted, len(files))
