@@ -56,3 +56,11 @@ def test_query_rows(spark):
     assert all(r.decoded_sha256 == hashlib.sha256(b"one two").hexdigest() for r in out if r.n_tokens)
     assert bpe.digests(df.limit(0)).count() == 0
     assert {r.decoded for r in bpe.encode(df).collect()} == {"one two", ""}
+
+
+def test_a_text_of_many_megabytes():
+    codec = bpe.codec(*bpe.default_vocabulary())
+    text = "some ordinary words, and 12345 more of them. " * 120_000 + "x" * 300_000  # 5.7 MB
+    ids = codec.encode(text)
+    assert codec.decode(ids) == text.encode()
+    assert ids[: len(ids) // 3] == codec.encode(text[:2_500_000])[: len(ids) // 3]

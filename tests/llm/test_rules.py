@@ -71,3 +71,8 @@ def test_repeated_rows_and_names_do_not_matter(spark):
     assert kept.columns == extra.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in rules.keep(docs, labels).collect())
     assert all(tuple(r)[2:] == (7, 8, 9, 1, 2) for r in kept.collect())
+
+
+def test_counts_of_a_text_of_many_megabytes():
+    text = "alpha beta gamma #\n" * 600_000  # 11 MB
+    assert tuple(rules.counts(text))[:5] == (4 * 600_000, 15 * 600_000, 600_000, 599_999, 4 * 600_000)
