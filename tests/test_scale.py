@@ -79,6 +79,11 @@ def test_hot_key_join_without_broadcast(skewed, people, no_broadcast):
     assert {r.name: r["count"] for r in salted} == expected
 
 
+def test_salted_copies_are_not_broadcast(skewed, people):
+    plan = plan_of(lookup.attach(skewed, people, "who", salts=8))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_hot_partition_is_split_at_run_time(skewed, people, no_broadcast):
     wide = skewed.repartition(6).withColumn("pad", F.sha2(F.col("ticket_id").cast("string"), 512))
     joined = lookup.attach(wide, people, "who")
