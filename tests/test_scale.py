@@ -194,6 +194,46 @@ def test_shuffle_partitions_follow_the_input(spark, folder):
         assert str(n) == before
 
 
+def test_splits_are_small_while_a_job_runs(spark, folder):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    lake.replace_snapshot(spark.range(1000), f"{folder}/t")
+    with session.shuffles_for(spark, [f"{folder}/t"]):
+        assert session.byte_size(spark, key) == 32 << 20
+    with session.shuffles_for(spark, [f"{folder}/t"], split=100, per_core=1):
+        assert 100 <= session.byte_size(spark, key) < 32 << 20
+    assert spark.conf.get(key) == before
+
+
+def test_stored_layers_are_sized_by_what_they_read(spark, folder, monkeypatch):
+    from opsmart.checks import bindings
+
+    spark.range(4000).repartition(20).write.parquet(f"{folder}/many")
+    spark.range(4000).coalesce(1).write.parquet(f"{folder}/one")
+    read = session.input_paths(spark.read.parquet(f"{folder}/many").union(spark.read.parquet(f"{folder}/one")))
+    assert [p.endswith("/many") for p in read] == [True, False]
+    assert session.stored_bytes(spark, read) > 20_000
+    seen = []
+    monkeypatch.setattr(bindings.session, "stored_bytes", lambda spark, paths: len(paths) << 40)
+    monkeypatch.setattr(bindings.lake, "replace_snapshot", lambda *a: seen.append(
+        (int(spark.conf.get("spark.sql.shuffle.partitions")), session.byte_size(spark, "spark.sql.files.maxPartitionBytes"))
+    ))
+    monkeypatch.setattr(bindings.lake, "read_table", lambda *a: None)
+    bindings.Tables(spark, folder).stored("t", lambda: spark.read.parquet(f"{folder}/one"))
+    assert seen == [(32 * 4, 256 << 20)]
+    monkeypatch.setattr(bindings.session, "stored_bytes", lambda spark, paths: 1 << 20)
+    bindings.Tables(spark, folder).stored("u", lambda: spark.read.parquet(f"{folder}/one"))
+    assert seen[1] == (4, 32 << 20)
+
+
+def test_reservation_versions_are_sorted_by_narrow_rows(spark):
+    from opsmart.checks.bindings import Tables
+
+    plan = plan_of(Tables(spark, "/root/testdata/sf0.001").typed_reservations)
+    below = plan[plan.index("WindowGroupLimit"):]
+    assert "duration_hours" not in below and "_source_system" not in below
+
+
 def test_each_optional_filter_skips_stored_reservations(spark, folder):
     """Files whose statistics admit a value, for one filter at a time."""
     import glob
