@@ -235,3 +235,18 @@ def test_counted(facts):
     assert rows(rollup.counted(facts, "who")) == [(None, 1), (10, 3), (11, 1)]
     day = rollup.counted(facts, F.to_date("ts").alias("day"), name="n").where("day is not null")
     assert rows(day)[0] == (dt.date(2024, 1, 5), 1)
+
+
+def test_place_on_the_curve_by_a_few_comparisons(spark):
+    """Ranks equal the number of cuts reached, NULL none, and each takes six comparisons."""
+    from opsmart.operators.layout import _rank, along_curve
+
+    cuts = [-3, 0, 0, 1, 4, 4, 9]
+    df = spark.createDataFrame([(x,) for x in [None, *range(-5, 12)]], "x long")
+    for r in df.select("x", _rank(F.col("x"), cuts).alias("rank")).collect():
+        assert r.rank == (0 if r.x is None else sum(r.x >= c for c in cuts))
+    rows = spark.range(500).selectExpr("cast(id AS string) AS month", "id % 7 AS n", "nullif(id % 5, 0) AS m")
+    placed = along_curve(rows, ["month", "n", "m"])
+    text = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("try_cast") + text.count("replace(") <= 6
+    assert placed.columns == [*rows.columns, "_curve"] and placed.count() == 500
