@@ -55,6 +55,18 @@ def test_merging_days_equals_one_rebuild(spark, folder):
     assert lake.read_table(spark, path).columns == ["k", "v", "t", "ingestion_date"]
 
 
+def test_rows_known_to_be_single_are_not_reduced_again(spark, folder, monkeypatch):
+    calls, newest_of = [], merged._newest
+    monkeypatch.setattr(merged, "_newest", lambda *a: calls.append(1) or newest_of(*a))
+    rows = [(k, 1, "a", "2024-01-01") for k in range(30)] + [(None, 1, "a", "2024-01-01")] * 3
+    merged.merge_newest(day(spark, rows), f"{folder}/t", ORDER, ["2024-01-01"], buckets=8, single=True)
+    assert not calls and lake.read_table(spark, f"{folder}/t").count() == 33
+    later = [(k, 2, "b", "2024-01-02") for k in range(20, 40)]
+    merged.merge_newest(day(spark, later), f"{folder}/t", ORDER, ["2024-01-02"], single=True)
+    got = {(k, v) for k, v, *_ in rows_of(lake.read_table(spark, f"{folder}/t")) if k is not None}
+    assert len(calls) == 1 and got == {(k, 1) for k in range(20)} | {(k, 2) for k in range(20, 40)}
+
+
 def test_untouched_buckets_are_neither_read_nor_written(spark, folder):
     path = f"{folder}/t"
     merged.merge_newest(day(spark, [(i, 1, "a", "2024-01-01") for i in range(200)]), path, ORDER, ["2024-01-01"], buckets=16)
